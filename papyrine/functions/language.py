@@ -38,12 +38,14 @@ def language_share(text: Column, target: str, words: dict[str, list[str]] | None
     """Share of the decided characters that is in the target language; null when no line decides."""
     words = words or FUNCTION_WORDS
     others = [name for name in words if name != target]
+    listed = sorted({word for language in words.values() for word in language})
 
     def hits(tokens: Column, language: str) -> Column:
         return F.size(F.filter(tokens, lambda word: word.isin(words[language])))
 
     def count_words(line: Column) -> Column:
         tokens = F.regexp_extract_all(F.lower(line), F.lit(r"\p{L}+"), F.lit(0))
+        tokens = F.filter(tokens, lambda word: word.isin(listed))
         return F.struct(F.length(line).alias("chars"), tokens.alias("tokens"))
 
     def score(line: Column) -> Column:

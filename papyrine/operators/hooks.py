@@ -57,12 +57,13 @@ def extract_pages(
     in order. A file that fails gives one more row, with the error. `partitions` sets how many tasks share the work.
     """
     columns = [path] if content is None else [path, content]
-    session = files.sparkSession
-    if content is not None and int(session.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > _MAX_FILES_PER_BATCH:
-        raise ValueError(
-            "file contents travel in Arrow batches: set spark.sql.execution.arrow.maxRecordsPerBatch to at most "
-            f"{_MAX_FILES_PER_BATCH}, or let the reader open the path"
-        )
+    if content is not None and isinstance(files.schema[content].dataType, T.BinaryType):
+        batch_rows = int(files.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        if batch_rows > _MAX_FILES_PER_BATCH:
+            raise ValueError(
+                "whole files travel in Arrow batches: set spark.sql.execution.arrow.maxRecordsPerBatch to at most "
+                f"{_MAX_FILES_PER_BATCH}, or let the reader open the path"
+            )
 
     def pages_of(read: Callable[..., Iterable[str | None]], values: list[Any]) -> Iterator[tuple]:
         name = values[0]

@@ -31,7 +31,15 @@ FINAL_SCHEMA = _schema(
 )
 
 # Quotes inside a field are doubled, and a backslash is an ordinary character.
-CSV_OPTIONS = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "multiLine": True, "lineSep": "\n"}
+CSV_OPTIONS = {
+    "header": True,
+    "encoding": "UTF-8",
+    "quote": '"',
+    "escape": '"',
+    "multiLine": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -85,11 +93,15 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> int:
     """
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode("overwrite").options(**CSV_OPTIONS).option("quoteAll", True)
+    writer = counted.write.mode("overwrite").options(**CSV_OPTIONS).option("quoteAll", True).option("lineSep", "\n")
     writer.option("maxRecordsPerFile", rows_per_file).csv(path)
     return seen.get["rows"]
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a CSV stage file whose texts may span lines. An empty field is null, a quoted empty one is not."""
+    """Read CSV stage files whose texts may span lines.
+
+    Empty fields are null: CSV does not tell them from empty texts. In a file whose rows end in CR LF, a CR LF
+    within a text becomes LF.
+    """
     return spark.read.schema(schema).options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path)

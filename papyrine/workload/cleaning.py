@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from papyrine.functions.cleaning import Rule, apply_rule, clean_documents, rules
+from papyrine.operators.partitioning import spread
 from papyrine.workload.inputs import MARKED_TEXT, Query, table
 
 # The rules in the oracle's dialect: name -> (pattern, replacement, flags).
@@ -35,17 +36,19 @@ def oracle_clean(text: str) -> str:
     return f"trim({text})"
 
 
+def _marked(spark, sf_dir):
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", F.expr(MARKED_TEXT).alias("text"))
+
+
 def _rule_query(rule: Rule) -> Query:
     def query(spark, sf_dir):
-        marked = table(spark, sf_dir, "documents").select("doc_id", F.expr(MARKED_TEXT).alias("text"))
-        return marked.select("doc_id", apply_rule(F.col("text"), rule).alias("cleaned"))
+        return _marked(spark, sf_dir).select("doc_id", apply_rule(F.col("text"), rule).alias("cleaned"))
 
     return query
 
 
 def clean_document_text(spark, sf_dir):
-    marked = table(spark, sf_dir, "documents").select("doc_id", F.expr(MARKED_TEXT).alias("text"))
-    return clean_documents(marked, "text", "cleaned").select("doc_id", "cleaned")
+    return clean_documents(_marked(spark, sf_dir), "text", "cleaned").select("doc_id", "cleaned")
 
 
 QUERIES = {f"clean_{rule.name}": _rule_query(rule) for rule in rules()} | {"clean_document_text": clean_document_text}

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from papyrine.operators.hooks import extract_markdown, extract_pages
+from papyrine.operators.partitioning import spread
 from papyrine.operators.relevance import mark_by_classifier
 from papyrine.workload.inputs import ID, rows_of, table
 
@@ -11,49 +14,47 @@ _FILES = f"""SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN CAST(NULL AS STRING)
 FROM documents"""
 
 
-def line_reader():
-    """Takes every line for a page and refuses short documents."""
-
-    def read(path, text):
-        if len(text) < 300:
-            raise ValueError("too short")
-        return text.split("\n")
-
-    return read
-
+def pages_hook(spark, sf_dir):
+    def line_reader():
+        """Takes every line for a page and refuses short documents."""
 
-def word_classifier():
-    """Replies as a model would, from a single word."""
+        def read(path, text):
+            if len(text) < 300:
+                raise ValueError("too short")
+            return text.split("\n")
 
-    def reply(prompt):
-        if "the" not in prompt:
-            raise ValueError("no reply")
-        return '{"reasoning":"word","answer":true}' if " und " in prompt else '{"reasoning":"word","answer":false}'
+        return read
 
-    return reply
+    pages = extract_pages(spread(rows_of(spark, sf_dir, _FILES)), line_reader, content="text")
+    return pages.withColumn("page_no", F.coalesce("page_no", F.lit(0)))
 
 
-def title_extractor():
-    """Makes a heading of the path and fails for some."""
+def classifier_hook(spark, sf_dir):
+    def word_classifier():
+        """Replies as a model would, from a single word."""
 
-    def extract(path):
-        if path.endswith("3.pdf"):
-            raise ValueError("unreadable")
-        return f"# {path}\n"
+        def reply(prompt):
+            if "the" not in prompt:
+                raise ValueError("no reply")
+            return '{"reasoning":"word","answer":true}' if " und " in prompt else '{"reasoning":"word","answer":false}'
 
-    return extract
+        return reply
 
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return mark_by_classifier(documents, word_classifier, text="text").select("doc_id", "is_relevant")
 
-def pages_hook(spark, sf_dir):
-    return extract_pages(rows_of(spark, sf_dir, _FILES), line_reader, content="text")
 
+def markdown_hook(spark, sf_dir):
+    def title_extractor():
+        """Makes a heading of the path and fails for some."""
 
-def classifier_hook(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return mark_by_classifier(documents, word_classifier, text="text").select("doc_id", "is_relevant")
+        def extract(path):
+            if path.endswith("3.pdf"):
+                raise ValueError("unreadable")
+            return f"# {path}\n"
 
+        return extract
 
-def markdown_hook(spark, sf_dir):
     files = rows_of(spark, sf_dir, _FILES).withColumnRenamed("path", "pdf_path")
     extracted = extract_markdown(files.select("doc_id", "pdf_path"), title_extractor)
     return extracted.select("doc_id", "pdf_path", "md_extraction_result", "error")
@@ -67,7 +68,7 @@ ORACLES = {
           WHERE path IS NOT NULL AND length(text) >= 300)
         SELECT path AS pdf_path, CAST(n AS INTEGER) AS page_no, parts[n] AS text, CAST(NULL AS VARCHAR) AS error
         FROM (SELECT path, parts, unnest(generate_series(1, len(parts))) AS n FROM split)
-        UNION ALL SELECT path, NULL, NULL, CASE WHEN path IS NULL THEN 'Error: PDF path is None' ELSE 'too short' END
+        UNION ALL SELECT path, 0, NULL, CASE WHEN path IS NULL THEN 'Error: PDF path is None' ELSE 'too short' END
         FROM files WHERE path IS NULL OR length(text) < 300""",
     "classify_hook": "SELECT doc_id, contains(substr(text, 1, 15000), ' und ') AS is_relevant FROM documents",
     "extract_markdown_hook": f"""SELECT doc_id, path AS pdf_path, coalesce(error, '# ' || path || chr(10))

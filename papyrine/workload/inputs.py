@@ -96,4 +96,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def rows_of(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Evaluate one of the SELECTs above: its last word is the table it reads."""
     columns, _, name = sql.rpartition("\nFROM ")
-    return spark.sql(f"{columns}\nFROM {{source}}", source=table(spark, sf_dir, name))
+    escaped = columns.replace("{", "{{").replace("}", "}}")
+    return spark.sql(f"{escaped}\nFROM {{source}}", source=table(spark, sf_dir, name))

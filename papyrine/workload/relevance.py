@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from papyrine.functions.language import FUNCTION_WORDS, is_mainly_in, language_share
 from papyrine.functions.replies import PROMPT_TEMPLATE, build_prompt, extract_tagged, parse_reply
+from papyrine.operators.partitioning import spread
 from papyrine.operators.relevance import relevant_only
 from papyrine.workload.inputs import REPLIES, rows_of, table
 
@@ -14,12 +15,12 @@ TARGET = "en"  # the tables have no Indonesian
 
 def language_relevance(spark, sf_dir):
     text = F.col("text")
-    scored = table(spark, sf_dir, "documents").select("doc_id", language_share(text, TARGET).alias("share"))
+    scored = spread(table(spark, sf_dir, "documents")).select("doc_id", language_share(text, TARGET).alias("share"))
     return scored.withColumn("is_relevant", F.coalesce(F.col("share") >= 0.8, F.lit(False)))
 
 
 def keep_relevant(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents"))
     return relevant_only(documents.withColumn("is_relevant", is_mainly_in(F.col("text"), TARGET))).select("doc_id")
 
 
