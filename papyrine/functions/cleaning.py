@@ -1,14 +1,14 @@
 """The markdown cleaner: ordered regex rules, run as native expressions.
 
-Every rule names a literal that any match must contain. `clean_documents` tests for it first, which is a byte search,
-so a document without tables, math or brackets never pays for decoding and matching those patterns.
+Every rule names a literal that any match must contain. The cleaner tests for it first, which is a byte search, so a
+document without tables, math or brackets never pays for decoding and matching those patterns.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from papyrine.functions.texts import SPACE
@@ -18,7 +18,7 @@ class Rule(NamedTuple):
     name: str
     pattern: str
     replacement: str
-    needs: str | None
+    needs: str
 
 
 CAPTION_WORD = "Gambar"
@@ -42,7 +42,7 @@ def rules(caption_word: str = CAPTION_WORD) -> list[Rule]:
         Rule("captions", rf"(?d){caption_word} \p{{Nd}}+\..*", "", caption_word),
         Rule("tables", r"\|[^\n]*\|(?:\n\|[-:| ]+\|)?(?:\n\|[^\n]*\|)*+", "", "|"),
         Rule("keywords", r"(?s)Keywords:.*?(?=\n\n)", "", "Keywords:"),
-        Rule("whitespace", rf"{SPACE}+", " ", None),
+        Rule("whitespace", rf"{SPACE}+", " ", ""),
     ]
 
 
@@ -52,23 +52,21 @@ def apply_rule(text: Column, rule: Rule) -> Column:
 
 
 def clean_text(text: Column, caption_word: str = CAPTION_WORD) -> Column:
-    """The whole cleaner as one column expression. Null stays null."""
-    for rule in rules(caption_word):
-        text = apply_rule(text, rule)
-    return F.trim(text)
+    """The whole cleaner. Null stays null.
 
+    The text travels in an array of one, so that each rule's guard can name it without repeating the expression that made
+    it. Repeated, or put in a column per rule, the expression would triple with every rule as soon as a filter on the
+    result is pushed down.
+    """
 
-def clean_documents(df: DataFrame, source: str, target: str, caption_word: str = CAPTION_WORD) -> DataFrame:
-    """Add `target`, the cleaned form of `source`; the same result as `clean_text`, faster.
+    def guarded(rule: Rule):
+        def step(value: Column) -> Column:
+            return F.when(F.contains(value, F.lit(rule.needs)), apply_rule(value, rule)).otherwise(value)
 
-    One projection per rule: the guard uses its input twice, and nesting it in one expression would double the tree
-    at every rule.
-    """
-    df = df.withColumn(target, F.col(source))
-    for rule in rules(caption_word):
-        text = F.col(target)
-        cleaned = apply_rule(text, rule)
-        if rule.needs is not None:
-            cleaned = F.when(F.contains(text, F.lit(rule.needs)), cleaned).otherwise(text)
-        df = df.withColumn(target, cleaned)
-    return df.withColumn(target, F.trim(F.col(target)))
+        return step
+
+    *marks, whitespace = rules(caption_word)
+    held = F.array(text)
+    for rule in marks:
+        held = F.transform(held, guarded(rule))
+    return F.trim(apply_rule(F.element_at(held, 1), whitespace))

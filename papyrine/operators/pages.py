@@ -76,9 +76,9 @@ def assemble_documents(
     page = F.when(F.col("page_no").isNotNull(), F.struct("page_no", text.alias("text")))
     documents = rows.groupBy(key).agg(
         F.count("page_no").cast("int").alias("page_count"),
-        F.array_sort(F.collect_list(page)).alias("_pages"),
+        F.array_join(F.sort_array(F.collect_list(page))["text"], "").alias("_joined"),
         F.min("error").alias("error"),
     )
-    joined = F.array_join(F.col("_pages.text"), "")
-    ocr_text = F.when(F.col("error").isNull(), joined).otherwise(read_error(F.col(key), F.col("error")))
+    failure = read_error(F.col(key), F.col("error"))
+    ocr_text = F.when(F.col("error").isNull(), F.col("_joined")).otherwise(failure)
     return page_range_filter(documents, above, below).select(key, "page_count", ocr_text.alias("ocr_text"), "error")

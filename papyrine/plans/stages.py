@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.functions.cleaning import clean_documents
+from papyrine.functions.cleaning import clean_text
 from papyrine.functions.paths import has_extension
 from papyrine.operators.naming import cap_candidates, collision_safe_names
 from papyrine.operators.outcome import success_rows
@@ -57,14 +57,18 @@ def extract(quality: DataFrame, to_markdown: Stage = read_text_as_markdown) -> D
 
     `to_markdown` adds `md_extraction_result`. If it is costly, write what it gives with `materialize` before cleaning.
     """
-    cleaned = clean_documents(to_markdown(relevant_only(quality)), "md_extraction_result", "extracted_meaningful_text")
-    return cleaned.select("pdf_path", "page_count", "md_extraction_result", "extracted_meaningful_text")
+    return to_markdown(relevant_only(quality)).select(
+        "pdf_path",
+        "page_count",
+        "md_extraction_result",
+        clean_text(F.col("md_extraction_result")).alias("extracted_meaningful_text"),
+    )
 
 
 def finish(extraction: DataFrame, base: str) -> DataFrame:
     """Final table (pdf_path, md_extraction_result, regex_applied_text): rows without errors, cleaned anew."""
     kept = success_rows(extraction, base).select("pdf_path", "md_extraction_result")
-    return clean_documents(kept, "md_extraction_result", "regex_applied_text")
+    return kept.withColumn("regex_applied_text", clean_text(F.col("md_extraction_result")))
 
 
 def curate_documents(
@@ -77,5 +81,9 @@ def curate_documents(
 ) -> DataFrame:
     """Page rows in, clean texts of the documents in the wanted language out."""
     quality = mark_quality(pages, lambda df: mark_by_language(df, target, threshold), above, below, key)
-    cleaned = clean_documents(relevant_only(quality), "ocr_text", "extracted_text")
-    return cleaned.select(F.col("pdf_path").alias(key), "page_count", "is_relevant", "extracted_text")
+    return relevant_only(quality).select(
+        F.col("pdf_path").alias(key),
+        "page_count",
+        F.lit(True).alias("is_relevant"),  # known after the filter; the column would be worked out a second time
+        clean_text(F.col("ocr_text")).alias("extracted_text"),
+    )

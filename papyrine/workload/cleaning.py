@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from papyrine.functions.cleaning import Rule, apply_rule, clean_documents, rules
+from papyrine.functions.cleaning import Rule, apply_rule, clean_text, rules
 from papyrine.operators.partitioning import spread
 from papyrine.workload.inputs import MARKED_TEXT, Query, table
 
@@ -48,7 +48,7 @@ def _rule_query(rule: Rule) -> Query:
 
 
 def clean_document_text(spark, sf_dir):
-    return clean_documents(_marked(spark, sf_dir), "text", "cleaned").select("doc_id", "cleaned")
+    return _marked(spark, sf_dir).select("doc_id", clean_text(F.col("text")).alias("cleaned"))
 
 
 QUERIES = {f"clean_{rule.name}": _rule_query(rule) for rule in rules()} | {"clean_document_text": clean_document_text}
