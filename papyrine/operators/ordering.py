@@ -19,7 +19,20 @@ _PLACE_BITS = 33  # monotonically_increasing_id() counts rows in its lower 33 bi
 
 
 def _sorted_and_placed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
+    """Rows in key order with their partition and their 0-based place in it.
+
+    Equal keys are ordered by the rest of the row and then by where the row came from, so that a key held by very many rows
+    still falls into several ranges.
+    """
+    rest = [name for name in df.columns if name not in keys]
+    tie = F.xxhash64(*rest) if rest else F.lit(0).cast("long")
+    order = [*keys, "_tie", "_origin"]
+    ordered = (
+        df.select("*", tie.alias("_tie"), F.monotonically_increasing_id().alias("_origin"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
     partition = F.shiftright("_id", _PLACE_BITS).alias(PARTITION)
     place = F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias(PLACE)
     return materialize(ordered.select(*df.columns, partition, place), "ordered")

@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyrine.functions.texts import is_error
+from papyrine.sources.tables import Written
 
 
 def is_success(base: str, path: str = "pdf_path", text: str = "extracted_meaningful_text") -> Column:
-    """A path below `base`, and a text that is there and is no error. Never null."""
+    """A path below `base`, and a text that is there and is no error. Null for some rows that miss one of them."""
     good_path = F.col(path).isNotNull() & F.startswith(path, F.lit(base))
     good_text = F.col(text).isNotNull() & ~is_error(F.col(text))
-    return F.coalesce(good_path & good_text, F.lit(False))
+    return good_path & good_text
 
 
 def success_rows(df: DataFrame, base: str, **columns: str) -> DataFrame:
+    """The good rows. The tests are separate conjuncts, which reach the file scan."""
     return df.filter(is_success(base, **columns))
 
 
 def error_rows(df: DataFrame, base: str, **columns: str) -> DataFrame:
-    """Exactly the rows that `success_rows` leaves out."""
-    return df.filter(~is_success(base, **columns))
+    """Exactly the rows that `success_rows` leaves out; the complement of the condition, so nothing is joined."""
+    return df.filter(~F.coalesce(is_success(base, **columns), F.lit(False)))
 
 
 def residual_errors(df: DataFrame, text: str = "extracted_meaningful_text") -> DataFrame:
@@ -60,6 +62,12 @@ def stage_counts(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
     return totals.select(F.inline(F.array(*entries)))
 
 
+def run_metrics(spark: SparkSession, runs: dict[str, Written]) -> DataFrame:
+    """One row per run on record: its name, rows and seconds, as `throughput_estimate` takes them."""
+    rows = [(name, run.rows, run.seconds) for name, run in runs.items()]
+    return spark.createDataFrame(rows, "stage string, total_rows long, total_seconds double")
+
+
 def throughput_estimate(totals: DataFrame, seconds: str = "total_seconds", rows: str = "total_rows") -> DataFrame:
     """Add the average seconds per row and what 1,000 and 10,000 rows would take; null when there are no rows."""
     average = F.try_divide(F.col(seconds).cast("double"), F.col(rows))

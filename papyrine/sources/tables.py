@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,12 +72,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Overwrite a Parquet stage table; returns the rows written, counted while writing."""
+class Written(NamedTuple):
+    """What a write reports: rows, counted on the way, and wall-clock seconds."""
+
+    rows: int
+    seconds: float
+
+
+def _write(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> Written:
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return seen.get["rows"]
+    start = time.perf_counter()
+    write(counted.write.mode("overwrite"))
+    return Written(seen.get["rows"], time.perf_counter() - start)
+
+
+def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Written:
+    """Overwrite a Parquet stage table."""
+    return _write(df, lambda writer: writer.partitionBy(*partition_by).parquet(path))
 
 
 def read_stage(spark: SparkSession, path: str, schema: T.StructType, subset_id: int | None = None) -> DataFrame:
@@ -86,16 +100,13 @@ def read_stage(spark: SparkSession, path: str, schema: T.StructType, subset_id:
     return spark.read.schema(with_subset).parquet(path).filter(F.col("subset_id") == subset_id)
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> int:
-    """Export as CSV with a header; returns the rows written.
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> Written:
+    """Export as CSV with a header, replacing what is there.
 
     Texts hold line breaks, and a file with those is read back by one task, so files are kept small.
     """
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode("overwrite").options(**CSV_OPTIONS).option("quoteAll", True).option("lineSep", "\n")
-    writer.option("maxRecordsPerFile", rows_per_file).csv(path)
-    return seen.get["rows"]
+    options = {**CSV_OPTIONS, "quoteAll": True, "lineSep": "\n", "maxRecordsPerFile": rows_per_file}
+    return _write(df, lambda writer: writer.options(**options).csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

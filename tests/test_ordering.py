@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from papyrine.operators.naming import cap_candidates, collision_safe_names
-from papyrine.operators.ordering import number_rows, rank_in_groups
+from papyrine.operators.ordering import PARTITION, _sorted_and_placed, number_rows, rank_in_groups
 from papyrine.operators.subsets import assign_subsets, subset_count, subset_manifest
 
 
@@ -43,6 +43,14 @@ def test_one_group_over_all_partitions(many_partitions):
     assert got == {i: i + 1 for i in range(1_000)}
 
 
+@pytest.mark.parametrize("columns", [["key"], ["key", "id"]])
+def test_one_key_for_all_rows_is_divided_too(many_partitions, columns):
+    df = many_partitions.range(0, 4_000, 1, 4).select(F.lit("same").alias("key"), "id").select(*columns)
+    sizes = [row["count"] for row in _sorted_and_placed(df, ["key"]).groupBy(PARTITION).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1_000
+    assert sorted(row.row_index for row in number_rows(df, ["key"]).collect()) == list(range(4_000))
+
+
 def names_one_by_one(paths):
     """Give every first file of a name its own name, then try numbers for the others, one file after the other."""
     paths = sorted(paths)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from papyrine.operators import outcome
+from papyrine.sources.tables import write_stage
 
 BASE = "/home/ubuntu/"
 ROWS = [
@@ -54,6 +55,20 @@ def test_throughput(spark):
     assert rows[400].sec_per_row == f"{2.01 / 400:.2f}"
 
 
+def test_writes_report_rows_and_time(spark, tmp_path):
+    run = write_stage(spark.range(7), str(tmp_path / "table"))
+    [row] = outcome.throughput_estimate(outcome.run_metrics(spark, {"extract": run})).collect()
+    assert (row.stage, row.total_rows) == ("extract", 7) and run.seconds > 0
+    assert row.sec_per_1000 == f"{run.seconds / 7 * 1000:.2f}"
+
+
+def test_success_filter_reaches_the_scan(spark, tmp_path):
+    write_stage(frame(spark), str(tmp_path / "table"))
+    good = outcome.success_rows(spark.read.parquet(str(tmp_path / "table")), BASE)
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(pdf_path,/home/ubuntu/)" in plan.split("PushedFilters")[1]
+
+
 def test_samples_and_previews(spark):
     df = spark.range(1_000)
     first = outcome.sample_rows(df, 10, "id").collect()

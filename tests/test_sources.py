@@ -62,7 +62,7 @@ def test_missing_folder_and_no_files(spark, tmp_path):
 
 def test_csv_roundtrip(spark, tmp_path):
     df = spark.createDataFrame(ROWS, QUALITY_SCHEMA)
-    assert write_csv(df, str(tmp_path / "csv")) == len(ROWS)
+    assert write_csv(df, str(tmp_path / "csv")).rows == len(ROWS)
     got = read_csv(spark, str(tmp_path / "csv"), QUALITY_SCHEMA)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(ROWS, key=str)
 
@@ -86,8 +86,8 @@ def test_csv_files_stay_small(spark, tmp_path):
 def test_stage_table_counts_rows_and_prunes_subsets(spark, tmp_path):
     df = spark.createDataFrame([(*row, i % 2 + 1) for i, row in enumerate(ROWS)], [*QUALITY_SCHEMA.names, "subset_id"])
     path = str(tmp_path / "quality")
-    assert write_stage(df, path, ["subset_id"]) == len(ROWS)
-    assert write_stage(df, path, ["subset_id"]) == len(ROWS)  # overwrites
+    assert write_stage(df, path, ["subset_id"]).rows == len(ROWS)
+    assert write_stage(df, path, ["subset_id"]).rows == len(ROWS)  # overwrites
     assert read_stage(spark, path, QUALITY_SCHEMA).count() == len(ROWS)
     second = read_stage(spark, path, QUALITY_SCHEMA, subset_id=2)
     assert second.count() == 2
