@@ -47,13 +47,15 @@ def valid_documents(pages: DataFrame, key: str = "pdf_path") -> DataFrame:
 def without_oversized(pages: DataFrame, key: str = "pdf_path", below: int = MAX_PAGES) -> DataFrame:
     """Leave out the pages of documents with `below` pages or more, wherever those pages are.
 
-    One document may own much of the table, so its pages must go before anything gathers rows by document. The counts read
-    the key column alone and are combined before they are shuffled. Runs a job to learn how many documents are too long.
+    One document may own much of the table, so its pages must go before anything gathers rows by document. Runs a job that
+    reads only the key column, and combines counts before it shuffles them, to learn whether and how many documents are too
+    long.
     """
-    oversized = materialize(page_counts(pages, key).filter(F.col("page_count") >= below).select(key), "oversized")
-    found = oversized.limit(BROADCAST_KEYS + 1).count()
+    oversized = page_counts(pages, key).filter(F.col("page_count") >= below).select(key)
+    found = oversized.count()
     if found == 0:
         return pages
+    oversized = materialize(oversized, "oversized")
     if found <= BROADCAST_KEYS:
         return pages.join(F.broadcast(oversized), key, "left_anti")
     salted = oversized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -40,7 +40,7 @@ FROM pages"""
 
 
 def rebase_paths(spark, sf_dir):
-    rebased = rebase_path(F.col("path"), "file:https?://(www\\.)?", "/home/ubuntu/")
+    rebased = rebase_path(F.col("path"), "file:https?://(www\\.)?", "/mnt/scrape/")
     return rows_of(spark, sf_dir, _NULLABLE_PATHS).select("page_id", rebased.alias("pdf_path"))
 
 
@@ -135,7 +135,7 @@ ORACLES = {
     "normalize_path": f"""SELECT page_id, {_UNESCAPED} AS decoded,
         CASE WHEN page_id % 5 < 2 THEN {_UNESCAPED} ELSE path END AS local FROM (
           SELECT *, ({_ESCAPED_PATHS.partition("page_id, ")[2].partition(" AS path")[0]}) AS path FROM pages)""",
-    "rebase_path": f"""SELECT page_id, regexp_replace(path, 'file:https?://(www\\.)?', '/home/ubuntu/', 'g') AS pdf_path
+    "rebase_path": f"""SELECT page_id, regexp_replace(path, 'file:https?://(www\\.)?', '/mnt/scrape/', 'g') AS pdf_path
         FROM ({_NULLABLE_PATHS})""",
     "collision_safe_names": oracle_names(FILE_PATHS),
     "candidate_cap": f"SELECT path FROM ({FILE_PATHS}) ORDER BY path LIMIT {CAP}",

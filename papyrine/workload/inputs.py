@@ -40,7 +40,7 @@ MARKED_TEXT = f"""(
 # Extraction results: some paths are missing or below another folder, some texts are missing or errors.
 EXTRACTION = f"""SELECT doc_id,
   CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN '/tmp/' || {ID} || '.pdf'
-       ELSE '/home/ubuntu/' || {ID} || ' (1).pdf' END AS pdf_path,
+       ELSE '/mnt/scrape/' || {ID} || ' (1).pdf' END AS pdf_path,
   doc_id % 40 AS page_count,
   text AS md_extraction_result,
   CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'Error: Failed to process PDF ' || {ID}

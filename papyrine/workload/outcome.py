@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from papyrine.operators import outcome
 from papyrine.workload.inputs import EXTRACTION, rows_of, table
 
-BASE = "/home/ubuntu/"
+BASE = "/mnt/scrape/"
 COLUMNS = ("doc_id", "pdf_path", "extracted_meaningful_text")
 
 

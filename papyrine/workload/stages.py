@@ -31,7 +31,7 @@ def extraction_stage(spark, sf_dir):
 
 
 def final_projection(spark, sf_dir):
-    return finish(spread(rows_of(spark, sf_dir, EXTRACTION)), "/home/ubuntu/")
+    return finish(spread(rows_of(spark, sf_dir, EXTRACTION)), "/mnt/scrape/")
 
 
 def _file_page_text(spark, sf_dir):
@@ -94,7 +94,7 @@ ORACLES = {
     "extraction_stage": f"""SELECT pdf_path, page_count, ocr_text AS md_extraction_result,
         {oracle_clean("ocr_text")} AS extracted_meaningful_text FROM ({_QUALITY}) WHERE is_relevant""",
     "final_projection": f"""SELECT pdf_path, md_extraction_result, {oracle_clean("md_extraction_result")} AS regex_applied_text
-        FROM ({EXTRACTION}) WHERE pdf_path IS NOT NULL AND starts_with(pdf_path, '/home/ubuntu/')
+        FROM ({EXTRACTION}) WHERE pdf_path IS NOT NULL AND starts_with(pdf_path, '/mnt/scrape/')
         AND extracted_meaningful_text IS NOT NULL AND NOT starts_with(extracted_meaningful_text, 'Error')""",
     "collation_manifest": oracle_names(
         f"""SELECT path FROM ({FILE_PATHS}) WHERE lower(path) LIKE '%.pdf' AND page_id % 6 <> 0"""  # the blank ones

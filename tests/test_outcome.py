@@ -5,16 +5,16 @@ from pyspark.sql import functions as F
 from papyrine.operators import outcome
 from papyrine.sources.tables import write_stage
 
-BASE = "/home/ubuntu/"
+BASE = "/mnt/scrape/"
 ROWS = [
-    ("/home/ubuntu/a.pdf", "text"),
-    ("/home/ubuntu/b.pdf", "Error: Failed"),
-    ("/home/ubuntu/c.pdf", None),
+    ("/mnt/scrape/a.pdf", "text"),
+    ("/mnt/scrape/b.pdf", "Error: Failed"),
+    ("/mnt/scrape/c.pdf", None),
     ("/tmp/d.pdf", "text"),
     (None, "text"),
     (None, None),
-    ("/home/ubuntu/e.pdf", "an Error"),
-    ("/home/ubuntu/f.pdf", ""),
+    ("/mnt/scrape/e.pdf", "an Error"),
+    ("/mnt/scrape/f.pdf", ""),
 ]
 
 
@@ -66,7 +66,7 @@ def test_success_filter_reaches_the_scan(spark, tmp_path):
     write_stage(frame(spark), str(tmp_path / "table"))
     good = outcome.success_rows(spark.read.parquet(str(tmp_path / "table")), BASE)
     plan = good._jdf.queryExecution().executedPlan().toString()
-    assert "StringStartsWith(pdf_path,/home/ubuntu/)" in plan.split("PushedFilters")[1]
+    assert "StringStartsWith(pdf_path,/mnt/scrape/)" in plan.split("PushedFilters")[1]
 
 
 def test_samples_and_previews(spark):
