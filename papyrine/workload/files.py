@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from papyrine.functions.paths import has_extension, normalize_path, rebase_path, subset_folder
 from papyrine.operators import naming, subsets
-from papyrine.sources.files import scan_files
+from papyrine.sources.files import scan_files, walk_files
 from papyrine.sources.tables import new_folder, read_csv, write_csv
 from papyrine.workload.inputs import FILE_PATHS, ID, NEWLINE, Query, rows_of, table
 
@@ -66,16 +66,27 @@ def subset_manifest(spark, sf_dir):
     return subsets.subset_manifest(_with_subsets(spark, sf_dir), "url")
 
 
-def list_files(spark, sf_dir):
-    """Write every page's html below its subset's folder, list what is there, and add up the bytes per folder."""
+def _written_pages(spark, sf_dir):
+    """Write every page's html below its subset's folder; returns the root of the tree."""
     root = new_folder(spark, "listed")
     assigned = subsets.assign_subsets(table(spark, sf_dir, "pages"), SUBSET_SIZE, ["url", "page_id"])
     assigned.select("html", "subset_id").write.partitionBy("subset_id").text(root)
-    files = scan_files(spark, root, extensions=(".TXT",))
+    return root
+
+
+def _bytes_per_folder(files):
     folder = F.regexp_extract("path", "/subset_id=([0-9]+)/[^/]*$", 1).cast("long")
     return files.groupBy(folder.alias("subset_id")).agg(F.sum("length").alias("bytes"))
 
 
+def list_files(spark, sf_dir):
+    return _bytes_per_folder(scan_files(spark, _written_pages(spark, sf_dir), extensions=(".TXT",)))
+
+
+def list_tree(spark, sf_dir):
+    return _bytes_per_folder(walk_files(spark, _written_pages(spark, sf_dir), extensions=(".TXT",)))
+
+
 CSV_SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -105,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "assign_subsets": assign_subsets,
     "subset_manifest": subset_manifest,
     "list_files": list_files,
+    "walk_files": list_tree,
     "csv_roundtrip": csv_roundtrip,
 }
 
@@ -128,6 +140,9 @@ _SUBSETS = f"""SELECT *, (row_number() OVER (ORDER BY url, page_id) - 1) // {SUB
 _UNESCAPED = """CASE page_id % 5 WHEN 0 THEN '' WHEN 1 THEN '/x y+z' ELSE '' END || url ||
     CASE page_id % 4 WHEN 0 THEN 'é.pdf' WHEN 1 THEN '100%.pdf' WHEN 2 THEN '%zzA.pdf' ELSE '.pdf' END"""
 
+# Each page is one line of a text file.
+_BYTES = f"""SELECT subset_id, CAST(sum(strlen(html) + 1) AS BIGINT) AS bytes FROM ({_SUBSETS}) GROUP BY subset_id"""
+
 ORACLES = {
     "filter_by_extension": f"SELECT page_id, path FROM ({FILE_PATHS}) WHERE regexp_matches(path, '(?i)\\.pdf$')",
     "source_file_count": f"""SELECT count(*) AS total_files, CAST(ceil(count(*) / {SUBSET_SIZE}) AS BIGINT) AS num_subsets
@@ -142,7 +157,7 @@ ORACLES = {
     "assign_subsets": f"SELECT page_id, subset_id, 'subset_' || subset_id AS folder FROM ({_SUBSETS})",
     "subset_manifest": f"""SELECT subset_id, 'subset_' || subset_id AS folder, count(*) AS files, min(url) AS first_path,
         max(url) AS last_path FROM ({_SUBSETS}) GROUP BY subset_id""",
-    "list_files": f"""SELECT subset_id, CAST(sum(strlen(html) + 1) AS BIGINT) AS bytes FROM ({_SUBSETS})
-        GROUP BY subset_id""",
+    "list_files": _BYTES,
+    "walk_files": _BYTES,
     "csv_roundtrip": _CSV_ROWS,
 }

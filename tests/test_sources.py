@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from papyrine.functions.paths import basename
-from papyrine.sources.files import list_files, scan_files
+from papyrine.sources.files import list_files, scan_files, walk_files
 from papyrine.sources.tables import QUALITY_SCHEMA, materialize, read_csv, read_stage, shared_folder, write_csv, write_stage
 
 ROWS = [
@@ -23,6 +23,7 @@ ROWS = [
 def tree(tmp_path):
     root = tmp_path / "tree"
     (root / "sub").mkdir(parents=True)
+    (root / "s p").mkdir()
     for name in ["a.pdf", "sub/B.PDF", "c d.pdf", "e%20f.pdf", "n.html"]:
         (root / name).write_bytes(b"data")
     (root / "empty.pdf").write_bytes(b"")
@@ -47,6 +48,25 @@ def test_flat_listing_and_several_roots(spark, tree):
     ]
 
 
+def test_walk_finds_the_same_and_empty_files(spark, tree):
+    walked = walk_files(spark, str(tree))
+    assert names(walked) == ["B.PDF", "a.pdf", "c d.pdf", "e%20f.pdf", "empty.pdf"]
+    assert {basename: size for basename, size in walked.select(F.substring_index("path", "/", -1), "length").collect()} == {
+        "B.PDF": 4, "a.pdf": 4, "c d.pdf": 4, "e%20f.pdf": 4, "empty.pdf": 0,
+    }
+    (tree / "s p" / "deep%").mkdir()
+    (tree / "s p" / "deep%" / "x y.Pdf").write_bytes(b"data")
+    assert f"file://{tree}/s p/deep%/x y.Pdf" in {row.path for row in walk_files(spark, f"file://{tree}/").collect()}
+    assert walk_files(spark, f"file://{tree}/sub", extensions=(".html",)).count() == 0
+    both = walk_files(spark, str(tree / "sub"), str(tree / "s p"))
+    assert names(both) == ["B.PDF", "x y.Pdf"]
+
+
+def test_walk_fails_without_the_root(spark, tmp_path):
+    with pytest.raises(Exception, match="absent"):
+        walk_files(spark, str(tmp_path / "absent"))
+
+
 def test_listing_does_not_read_contents(spark, tree):
     plan = list_files(spark, str(tree))._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
