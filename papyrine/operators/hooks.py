@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +27,14 @@ _MAX_FILES_PER_BATCH = 64
 
 
 def append_result(df: DataFrame, factory: Factory, source: str, target: str) -> DataFrame:
-    """Add string column `target`, the function's result for `source`; null where it fails or `source` is null."""
+    """Add string column `target`, the function's result for `source`; null where it fails or `source` is null.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only `source` goes to Python. The function is marked as not deterministic, so that no filter on its result makes Spark
+    call it a second time.
+    """
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         function = factory()
 
         def attempt(value: Any) -> str | None:
@@ -38,10 +44,9 @@ def append_result(df: DataFrame, factory: Factory, source: str, target: str) ->
                 return None
 
         for batch in batches:
-            results = pa.array([attempt(value) for value in batch.column(source).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, results], [*batch.schema.names, target])
+            yield pd.Series([attempt(value) for value in batch], dtype=object)
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(target, T.StringType())]))
+    return df.withColumn(target, run.asNondeterministic()(F.col(source)))
 
 
 def extract_pages(

@@ -45,34 +45,34 @@ def list_files(
     return scan_files(spark, *roots, extensions=extensions, recursive=recursive).select("path")
 
 
-def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The entries of each folder, which is named by a root and its place below that root."""
-    for batch in batches:
-        for root, folder in zip(batch.column("root").to_pylist(), batch.column("inside").to_pylist()):
-            system, top = fs.FileSystem.from_uri(root)
-            entries = system.get_file_info(fs.FileSelector(f"{top.rstrip('/')}/{folder}"))
-            for start in range(0, len(entries), _BATCH_ROWS):
-                part = entries[start : start + _BATCH_ROWS]
-                columns = [
-                    pa.array([root] * len(part), pa.string()),
-                    pa.array([f"{folder}{entry.base_name}" for entry in part], pa.string()),
-                    pa.array([entry.size for entry in part], pa.int64()),
-                    pa.array([entry.type == fs.FileType.Directory for entry in part], pa.bool_()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["root", "inside", "length", "is_folder"])
-
-
 def walk_files(spark: SparkSession, *roots: str, extensions: tuple[str, ...] = (".pdf",)) -> DataFrame:
     """Files below the roots as (path, length), each file once, empty ones too.
 
     One job per level of the tree: the folders of a level are dealt out over the tasks, and what they hold is written to
     the shared folder. A root is an absolute path or a URI that the executors can reach.
     """
+
+    def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The entries of each folder, which is named by a root and its place below that root."""
+        for batch in batches:
+            for root, folder in zip(batch.column("root").to_pylist(), batch.column("inside").to_pylist()):
+                system, top = fs.FileSystem.from_uri(root)
+                entries = system.get_file_info(fs.FileSelector(f"{top.rstrip('/')}/{folder}"))
+                for start in range(0, len(entries), _BATCH_ROWS):
+                    part = entries[start : start + _BATCH_ROWS]
+                    columns = [
+                        pa.array([root] * len(part), pa.string()),
+                        pa.array([f"{folder}{entry.base_name}" for entry in part], pa.string()),
+                        pa.array([entry.size for entry in part], pa.int64()),
+                        pa.array([entry.type == fs.FileType.Directory for entry in part], pa.bool_()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["root", "inside", "length", "is_folder"])
+
     tasks = spark.sparkContext.defaultParallelism
     folders = spark.createDataFrame([(root.rstrip("/") or "/", "") for root in roots], "root string, inside string")
     levels = []
     while not levels or not folders.isEmpty():
-        entries = materialize(folders.repartition(tasks).mapInArrow(_list_folders, _ENTRY_SCHEMA), "entries")
+        entries = materialize(folders.repartition(tasks).mapInArrow(list_folders, _ENTRY_SCHEMA), "entries")
         levels.append(entries.filter(~F.col("is_folder") & has_extension(F.col("inside"), *extensions)))
         folders = entries.filter("is_folder").select("root", F.concat("inside", F.lit("/")).alias("inside"))
     files = reduce(DataFrame.unionByName, levels)

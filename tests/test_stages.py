@@ -111,6 +111,14 @@ def test_failed_documents_are_not_sent_to_the_classifier(spark):
     assert relevant_only(marked).count() == 1
 
 
+def test_a_filter_does_not_call_the_classifier_again(pages):
+    quality = mark_quality(pages, lambda df: mark_by_classifier(df, lambda: lambda prompt: '{"answer": true}'))
+    kept = relevant_only(quality).filter(~F.startswith("pdf_path", F.lit("/none")))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert kept.count() == 2
+
+
 def test_own_extractor(spark):
     def extractor():
         def run(path):
