@@ -69,9 +69,10 @@ def assemble_documents(
     """Documents in the page range as (key, page_count, ocr_text, error).
 
     The text is every page in order, each followed by a newline. A document with an unreadable part carries the error, in
-    `error` and as its text. Texts are shuffled once, and no group holds more than `below` pages.
+    `error` and as its text. Pages that name no document belong to none. Texts are shuffled once, and no group holds more
+    than `below` pages.
     """
-    rows = without_oversized(pages, key, below)
+    rows = without_oversized(pages.filter(F.col(key).isNotNull()), key, below)
     if "error" not in pages.columns:
         rows = rows.withColumn("error", F.lit(None).cast("string"))
     text = F.concat(F.coalesce("text", F.lit("")), F.lit("\n"))

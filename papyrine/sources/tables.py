@@ -51,9 +51,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="papyrine-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="papyrine-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

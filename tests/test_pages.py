@@ -32,6 +32,7 @@ def test_assembly_orders_pages_and_carries_errors(spark):
     rows = [("a", n, f"p{n}", None) for n in (11, 2, 1, 10)]
     rows += [("e", n, "x", "second" if n == 2 else None) for n in range(3)]
     rows += [("n", n, None if n == 1 else "y", None) for n in range(3)]
+    rows += [(None, n, "z", None) for n in range(4)]
     rows += [("short", 1, "x", None), ("short", 2, "x", None), ("broken", None, None, "bad")]
     got = {row.pdf_path: row for row in P.assemble_documents(frame(spark, rows)).collect()}
     assert set(got) == {"a", "e", "n"}
