@@ -26,12 +26,18 @@ _FLUSH_ROWS = 1_000
 _MAX_FILES_PER_BATCH = 64
 
 
+def _text_maker() -> Callable[[Any], str | None]:
+    """What user code returns as a string Arrow accepts: page readers do produce lone surrogates."""
+    return lambda value: None if value is None else str(value).encode("utf-8", "replace").decode("utf-8")
+
+
 def append_result(df: DataFrame, factory: Factory, source: str, target: str) -> DataFrame:
     """Add string column `target`, the function's result for `source`; null where it fails or `source` is null.
 
     Only `source` goes to Python. The function is marked as not deterministic, so that no filter on its result makes Spark
     call it a second time.
     """
+    to_text = _text_maker()
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -39,7 +45,7 @@ def append_result(df: DataFrame, factory: Factory, source: str, target: str) ->
 
         def attempt(value: Any) -> str | None:
             try:
-                return None if value is None else function(value)
+                return None if value is None else to_text(function(value))
             except Exception:
                 return None
 
@@ -70,6 +76,8 @@ def extract_pages(
                 f"{_MAX_FILES_PER_BATCH}, or let the reader open the path"
             )
 
+    to_text = _text_maker()
+
     def pages_of(read: Callable[..., Iterable[str | None]], values: list[Any]) -> Iterator[tuple]:
         name = values[0]
         if name is None:
@@ -77,9 +85,9 @@ def extract_pages(
             return
         try:
             for number, text in enumerate(read(*values), start=1):
-                yield name, number, text, None
+                yield name, number, to_text(text), None
         except Exception as failure:
-            yield name, None, None, str(failure) or type(failure).__name__
+            yield name, None, None, to_text(failure) or type(failure).__name__
 
     def to_batch(rows: list[tuple]) -> pa.RecordBatch:
         arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), _PAGE_TYPES.types)]

@@ -8,7 +8,7 @@ from papyrine.functions.cleaning import Rule, apply_rule, clean_text, rules
 from papyrine.operators.partitioning import spread
 from papyrine.workload.inputs import MARKED_TEXT, Query, table
 
-# The rules in the oracle's dialect: name -> (pattern, replacement, flags).
+# The rules in the oracle's dialect, in order: name -> (pattern, replacement, flags).
 ORACLE_RULES = {
     "front_matter": (r"(?s)^---.*?---", "''", ""),
     "title": (r"^#\s*(.*?)\n", r"'\1' || chr(10)", ""),

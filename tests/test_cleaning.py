@@ -34,7 +34,7 @@ GOLDEN = [
     ("x\u2028## H\ny", "x ## H y"),
 ]
 
-# The rules as Python patterns, to compare with.
+# The rules as Python patterns, in order, to compare with.
 PYTHON_RULES = {
     "front_matter": (r"(?s)^---.*?---", ""),
     "title": (r"^#\s*(.*?)\n", "\\1\n"),

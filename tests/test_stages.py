@@ -52,6 +52,25 @@ def test_many_pages_are_flushed(spark):
     assert many.filter("page_no = 2500").count() == 5
 
 
+def test_odd_results_of_user_code(spark):
+    files = spark.createDataFrame([("a",), ("b",)], "path string")
+
+    def reader():
+        def read(path):
+            yield "x\ud800y"
+            yield 7
+            if path == "b":
+                raise ValueError("\udfff")
+
+        return read
+
+    got = {(row.pdf_path, row.page_no): (row.text, row.error) for row in extract_pages(files, reader).collect()}
+    assert got == {("a", 1): ("x?y", None), ("a", 2): ("7", None), ("b", 1): ("x?y", None), ("b", 2): ("7", None),
+                   ("b", None): (None, "?")}
+    marked = mark_by_classifier(files.withColumn("ocr_text", F.lit("x")), lambda: lambda prompt: True)
+    assert {row.is_relevant for row in marked.collect()} == {True}
+
+
 def test_whole_files_need_small_batches(spark, tmp_path):
     files = spark.createDataFrame([("a", bytearray(b"x\fy"))], "path string, content binary")
     reader = lambda: lambda path, content: content.decode().split("\f")
