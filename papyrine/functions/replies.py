@@ -42,16 +42,17 @@ def parse_reply(reply: Column) -> Column:
     Not JSON: true when the reply mentions "true". No reply, no object or no such key: false. An answer that is not a
     boolean: null.
     """
-    value = F.try_parse_json(reply)
-    kind = F.schema_of_variant(value)
-    is_object = F.startswith(kind, F.lit("OBJECT"))
-    answer = F.try_variant_get(value, "$.answer", "variant")
-    answer_kind = F.schema_of_variant(answer)
-    # The JSON reader stops after the first value, so an object followed by other text is caught here.
-    broken = value.isNull() | (is_object & ~reply.rlike(r"\}\s*\z"))
+    # The JSON reader stops after the first value. In brackets, what follows the value makes the reply invalid or a second
+    # element, so only a reply that is one value and nothing else gives exactly one element.
+    value = F.try_parse_json(F.concat(F.lit("["), reply, F.lit("]")))
+
+    def kind(path: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+
+    is_json = kind("$[0]").isNotNull() & kind("$[1]").isNull()
     return (
         F.when(reply.isNull(), F.lit(False))
-        .when(broken, F.contains(F.lower(reply), F.lit("true")))
-        .when(~is_object | answer_kind.isNull(), F.lit(False))
-        .when(answer_kind == "BOOLEAN", F.try_variant_get(value, "$.answer", "boolean"))
+        .when(~is_json, F.contains(F.lower(reply), F.lit("true")))
+        .when(~F.startswith(kind("$[0]"), F.lit("OBJECT")) | kind("$[0].answer").isNull(), F.lit(False))
+        .when(kind("$[0].answer") == "BOOLEAN", F.try_variant_get(value, "$[0].answer", "boolean"))
     )

@@ -71,7 +71,7 @@ FROM pages"""
 
 # Classifier replies of every kind: proper ones with the label as the answer, wrong types, broken and missing ones.
 _ANSWER = "CASE WHEN quality = 1 THEN 'true' ELSE 'false' END"
-REPLIES = f"""SELECT doc_id, CASE doc_id % 16
+REPLIES = f"""SELECT doc_id, CASE doc_id % 18
   WHEN 0 THEN '{{"answer":"true"}}'
   WHEN 1 THEN '{{"answer":1}}'
   WHEN 2 THEN '{{"answer":null}}'
@@ -85,6 +85,8 @@ REPLIES = f"""SELECT doc_id, CASE doc_id % 16
   WHEN 10 THEN '{{"answer":false, "reasoning":"it is true"'
   WHEN 11 THEN '<output>{{"answer":' || {_ANSWER} || '}}</output>'
   WHEN 12 THEN ''
+  WHEN 13 THEN '{{"answer":false}} {{"answer":true}}'
+  WHEN 14 THEN '{{"answer":false}},{{"answer":false}}'
   ELSE '{{"reasoning":"label","answer":' || {_ANSWER} || '}}' END AS reply
 FROM labels"""
 

@@ -28,6 +28,10 @@ REPLIES = [
     ("", False),
     ('{"answer":false} trailing', False),
     ('{"answer":false, "reasoning":"it is true"', True),
+    ('{"answer":false} {"answer":true}', True),
+    ('{"answer":false},{"answer":false}', False),
+    (' \n{"answer": true, "more": [1, {"answer": false}]} ', True),
+    ("  ", False),
 ]
 
 
