@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.llm import line_dedup, packing, token_files
+from papyrine.llm import fuzzy_hash, line_dedup, packing, simhash, suffix_dedup, token_files
 from papyrine.sources.tables import new_folder
 
 
@@ -14,11 +14,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeated(documents(spark, sf_dir), length=200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(documents(spark, sf_dir), tokenizer, keep_ids=False)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), width=3, distance=3)
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
@@ -30,6 +40,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, folder)
 
 
+def op10_fuzzy_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_hash.compare_with_edit(documents(spark, sf_dir))
+
+
 _LINE_KEY = f"""translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
     '{line_dedup.UPPER}', '{line_dedup.LOWER}')"""
 
@@ -47,5 +61,12 @@ FROM (SELECT l.*, coalesce(l.doc_id <> c.keeper, false) AS gone FROM lines l LEF
 GROUP BY doc_id
 """
 
-QUERIES = {"op3_packing": op3_packing, "op7_line_dedup": op7_line_dedup, "op9_token_files": op9_token_files}
+QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_packing": op3_packing,
+    "op6_simhash": op6_simhash,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_token_files": op9_token_files,
+    "op10_fuzzy_hash": op10_fuzzy_hash,
+}
 ORACLES = {"op7_line_dedup": LINE_DEDUP_SQL}
