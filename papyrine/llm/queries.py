@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.llm import fuzzy_hash, line_dedup, packing, simhash, suffix_dedup, token_files
+from papyrine.llm import fuzzy_hash, language_id, line_dedup, packing, simhash, suffix_dedup, token_files, toxicity
 from papyrine.sources.tables import new_folder
 
 
@@ -19,11 +19,23 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    examples = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, examples).withColumn("held_out", language_id.held_out(F.col("doc_id")))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(documents(spark, sf_dir), tokenizer, keep_ids=False)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language_id.identify(docs.select("doc_id", "text"), language_id.train(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), width=3, distance=3)
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
@@ -63,7 +75,9 @@ GROUP BY doc_id
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
+    "op5_language_id": op5_language_id,
     "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
     "op9_token_files": op9_token_files,
