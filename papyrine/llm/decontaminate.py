@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from papyrine.llm.arrays import distinct, flat, is_space, text_slices
 
 SEED_WORDS = 5  # shortest tile
-THRESHOLD = 0.6  # share of an item's words that must be covered
+THRESHOLD = 0.5  # share of an item's words that must be covered
 PART_CHARS = 8_000_000  # of items that go to the tasks at once
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NOT_WORD = re.compile(r"[\W_]+")

@@ -51,6 +51,9 @@ LABELLED = [
     (3, 0, 7, 0, 8, 0, 0, INSIDE, 0, 1), (25, 0.3, 40, 0, 40, 0, 0, INSIDE, 0, 1), (15, 0.5, 60, 0, 70, 0, 0, INSIDE, 0, 1),
     (200, 0.1, 0, 0, 3, 0, 0, INSIDE, 0, 1), (8, 0, 90, 0, 5, 0, 0, INSIDE, 0, 1), (2, 0, 14, 0, 1, 1, 0, INSIDE, 0, 1),
     (6, 1, 70, 0, 60, 0, 0, INSIDE, 0, 1), (30, 0, 1, 1, 1, 1, 0, INSIDE, 0, 1), (5, 0, 0, 0, 0, 0, 0, INSIDE, 0, 1),
+    (6, 0, 5, 0, 60, 0, 0, INSIDE, 1, 1), (4, 0, 3, 0, 9, 0, 0, INSIDE, 0, 1), (7, 0, 5, 0, 0, 0, 0, INSIDE, 0, 1),
+    (2, 0, 4, 0, 30, 0, 0, INSIDE, 0, 1), (5, 0, 6, 0, 6, 0, 0, INSIDE, 1, 1), (8, 0, 3, 1, 4, 0, 0, INSIDE, 0, 1),
+    (3, 0, 4, 0, 0, 0, 0, INSIDE, 0, 1), (1, 0, 5, 0, 2, 0, 0, INSIDE, 0, 1), (7, 0, 2, 0, 5, 0, 0, INSIDE, 1, 1),
     # lists of links within articles
     (5, 1, 6, 1, 7, 1, 0, INSIDE, 0, 0), (8, 1, 5, 1, 4, 1, 0, INSIDE, 0, 0), (4, 1, 9, 1, 8, 1, 0, INSIDE, 0, 0),
     (1, 1, 1, 1, 1, 1, 0, INSIDE, 0, 0), (3, 0.9, 2, 1, 3, 1, 0, INSIDE, 0, 0), (7, 0.95, 6, 1, 5, 1, 0, INSIDE, 0, 0),

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.llm import fuzzy_hash, language_id, line_dedup, packing, simhash, suffix_dedup, token_files, toxicity
+from papyrine.llm import decontaminate, fuzzy_hash, html_text, language_id, line_dedup, packing, simhash, suffix_dedup, token_files, toxicity
 from papyrine.sources.tables import new_folder
 
 
@@ -30,6 +30,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer, keep_ids=False)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.find_overlaps(documents(spark, sf_dir), items)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = language_id.identify(docs.select("doc_id", "text"), language_id.train(docs))
@@ -46,6 +51,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
     token_files.write_token_files(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"))
@@ -56,6 +65,12 @@ def op10_fuzzy_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_hash.compare_with_edit(documents(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _LINE_KEY = f"""translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
     '{line_dedup.UPPER}', '{line_dedup.LOWER}')"""
 
@@ -77,10 +92,13 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
+    "op4_decontaminate": op4_decontaminate,
     "op5_language_id": op5_language_id,
     "op6_simhash": op6_simhash,
     "op7_line_dedup": op7_line_dedup,
+    "op8_html_text": op8_html_text,
     "op9_token_files": op9_token_files,
     "op10_fuzzy_hash": op10_fuzzy_hash,
+    "pipeline": pipeline,
 }
 ORACLES = {"op7_line_dedup": LINE_DEDUP_SQL}

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.llm.arrays import flat, is_space, text_slices, words
@@ -67,16 +67,22 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, width: int = 3, seed: in
     return np.packbits(result, axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def add_fingerprint(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and the fingerprint of each text (null: empty) as a signed number, without a shuffle."""
+    """doc_id, a hash of each text (null: empty) and its fingerprint as a signed number, without a shuffle."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             prints = fingerprints(*flat(batch.column("text")), width, seed).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints)], names=["doc_id", "fingerprint"])
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(prints)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint long")
+    hashed = docs.select("doc_id", _text_hash().alias("text_hash"), "text")
+    return hashed.mapInArrow(run, f"doc_id {kind}, text_hash long, fingerprint long")
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -292,6 +298,16 @@ def _links(prints: np.ndarray, starts: np.ndarray, distance: int) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], names=["a", "b"])
 
 
+def _rooted(vertices: DataFrame, distance: int) -> DataFrame:
+    """Different fingerprints with what is known of them and `_root`, which linked ones have in common."""
+    if distance > 3:
+        raise ValueError("four parts and quarters are exact up to 3 bits")
+    vertices = write_and_read(vertices, "vertices")
+    links = write_and_read(find_links(vertices.select("fingerprint"), distance), "links")
+    roots = components(links).select(F.col("node").alias("fingerprint"), F.col("root").alias("_root"))
+    return vertices.join(roots, "fingerprint", "left").withColumn("_root", F.coalesce("_root", "fingerprint"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, seed: int = 42) -> DataFrame:
     """doc_id, fingerprint (a signed number) and component_id of every row.
 
@@ -299,13 +315,29 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, seed: in
     can be reached over links. Null and empty texts have fingerprint 0 and are linked like others; of rows without a
     doc_id the others' smallest counts (null if there is none); repeated rows are one vertex. An empty table gives no rows.
     """
-    if distance > 3:
-        raise ValueError("four parts and quarters are exact up to 3 bits")
     prints = write_and_read(add_fingerprint(docs, width, seed), "simhash")
-    vertices = write_and_read(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("_least")), "vertices")
-    links = write_and_read(find_links(vertices.select("fingerprint"), distance), "links")
-    roots = components(links).select(F.col("node").alias("fingerprint"), F.col("root").alias("_root"))
-    rooted = vertices.join(roots, "fingerprint", "left").withColumn("_root", F.coalesce("_root", "fingerprint"))
+    rooted = _rooted(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("_least")), distance)
     named = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
     members = rooted.join(named, "_root").select("fingerprint", "component_id")
     return prints.join(members, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, seed: int = 42) -> DataFrame:
+    """The row of the smallest doc_id of each group of linked rows, with all its columns.
+
+    Rows with a doc_id go before rows without; ties are broken by a hash of the text, and of equal rows one stays. Texts are
+    shuffled once, and only the group's key decides where a row goes, so groups of any size spread.
+    """
+    prints = write_and_read(add_fingerprint(docs, width, seed), "simhash")
+    first = F.struct(F.col("doc_id").isNull().alias("_unnamed"), "doc_id", "text_hash")
+    rooted = _rooted(prints.groupBy("fingerprint").agg(F.min(first).alias("_first")), distance)
+    chosen = rooted.groupBy("_root").agg(F.min("_first").alias("_first")).select("_first.doc_id", "_first.text_hash")
+    chosen = chosen.select(F.coalesce("doc_id", "text_hash").alias("_key"), F.col("doc_id").isNull().alias("_unnamed"), F.col("text_hash").alias("_hash"))
+    rows = docs.select(
+        "*",
+        F.coalesce("doc_id", _text_hash()).alias("_key"),
+        F.col("doc_id").isNull().alias("_unnamed"),
+        _text_hash().alias("_hash"),
+    )
+    key = ["_key", "_unnamed", "_hash"]
+    return rows.join(chosen, key, "left_semi").dropDuplicates(key).select(docs.columns)
