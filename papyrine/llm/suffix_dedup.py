@@ -9,7 +9,7 @@ Consecutive windows with one anchor form a context, the anchor's surroundings, o
 3. The suffixes of the other anchors' classes are sorted within each anchor. In suffix order, the previous and the next
    suffix with a smaller position share the longest prefixes that begin earlier; the longer is the longest previous factor.
    A window with a factor of `length` bytes has an earlier copy, and that copy a later one.
-   An anchor with very many classes is not sorted in one task: its windows are grouped by their hash instead.
+   An anchor with very many classes is not sorted in one task: parts of its contexts are grouped by hash instead.
 4. What a class has found goes back to all its contexts, and runs of bytes are cut from the texts.
 """
 
@@ -29,7 +29,8 @@ from papyrine.llm.scratch import write_and_read
 
 ANCHOR = 32
 LONGEST = 4096  # largest `length`
-LARGE_BUCKET = 2000  # classes of one anchor that are sorted in one task
+LARGE_BUCKET = 1500  # classes of one anchor that are sorted in one task
+CHUNK = 8  # windows of larger buckets that are compared at once
 BLOCK = 1 << 19  # bytes hashed at once
 _RANDOM = np.random.default_rng(1)
 _SEEDS = _RANDOM.integers(0, 1 << 63, 256, np.int64).astype(np.uint64)
@@ -158,25 +159,13 @@ def _context_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
 def longest_previous_factors(suffixes: list[bytes]) -> tuple[list[int], list[int]]:
     """For suffixes in order of position: the longest prefix each shares with an earlier one, and with a later one.
 
-    Suffixes are given up to a limit that bounds the result."""
+    Suffixes are given up to the length that matters, and prefixes shorter than that count as 0."""
     n = len(suffixes)
-    order = sorted(range(n), key=lambda i: (suffixes[i], i))
-    shared = [0] * n  # of a suffix and the one before it in suffix order
-    for a, b in zip(range(1, n), range(n - 1), strict=True):
-        left, right = suffixes[order[a]], suffixes[order[b]]
-        shared[a] = len(left) if left == right else _common(left, right)
-    return _factors(order, shared), _factors([n - 1 - i for i in order], shared)[::-1]
-
-
-def _common(left: bytes, right: bytes) -> int:
-    low, high = 0, min(len(left), len(right))
-    while low < high:
-        middle = (low + high + 1) // 2
-        if left[:middle] == right[:middle]:
-            low = middle
-        else:
-            high = middle - 1
-    return low
+    order = sorted(range(n), key=suffixes.__getitem__)  # equal ones stay in order of position
+    ordered = [suffixes[i] for i in order]
+    shared = [0, *(len(left) if left == right else 0 for left, right in zip(ordered, ordered[1:]))]
+    backwards = sorted(range(n), key=lambda i: suffixes[n - 1 - i])
+    return _factors(order, shared), _factors(backwards, shared)[::-1]
 
 
 def _factors(order: list[int], shared: list[int]) -> list[int]:
@@ -235,23 +224,74 @@ def _settled(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["anchor", "context", "repeats", "follows"])
 
 
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
+def _anchor_place(data: bytes, length: int) -> int:
+    """Where the anchor begins in a context; as in `contexts`."""
+    hashes = _Hashes(np.frombuffer(data[:length], np.uint8), *_power_tables()).of_width(ANCHOR)
+    return int(np.argmin(hashes >> _PLACE_BITS))
+
+
+def _rows_to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+_CHUNK_ROW = pa.schema(
+    [("anchor", pa.int64()), ("context", pa.int64()), ("row_key", pa.int64()), ("at", pa.int64()), ("window", pa.int32())]
+    + [("n", pa.int32()), ("place", pa.int32()), ("core", pa.binary()), ("full", pa.binary()), ("part", pa.binary())]
+)
+_WINDOW_ROW = pa.schema([*list(_CHUNK_ROW)[:5], ("place", pa.int32()), ("hash", pa.binary())])
+
+
 def _settle_large(classes: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many classes: windows are grouped by hash, at one place before the anchor."""
+    """The same for anchors with very many classes, dealt out by parts of contexts instead of by anchor.
+
+    Windows can only be equal at the same distance from the anchor. CHUNK windows at fixed distances have a core in common:
+    if no other class has the core, none of them repeats. If another class has the whole chunk, all of them do, and all but
+    the first such class need no closer look. What is left, mostly where a passage ends, is compared window by window.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                data, n, before = row["bytes"], row["windows"], _anchor_place(row["bytes"], length)
+                for place in range(-before // CHUNK, (n - 1 - before) // CHUNK + 1):
+                    head = place * CHUNK + before  # the chunk's first window, if the context has it
+                    first, last = max(head, 0), min(head + CHUNK, n)
+                    core = _digest(data[head + CHUNK - 1 : head + length])
+                    full = _digest(data[head : head + CHUNK + length - 1]) if last - first == CHUNK else None
+                    key = (row["anchor"], row["context"], row["row_key"], row["start"] + first, first, last - first, place)
+                    rows.append((*key, core, full, data[first : last + length - 1]))
+            yield _rows_to_batch(rows, _CHUNK_ROW)
+
+    schema = "anchor long, context long, row_key long, at long, window int, n int, place int, core binary, full binary, part binary"
+    chunks = write_and_read(classes.mapInArrow(cut, schema), "chunks")
+    here, same = F.struct("row_key", "at"), ["anchor", "place"]
+    cores = chunks.groupBy(*same, "core").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    fulls = chunks.filter("full IS NOT NULL").groupBy(*same, "full").agg(F.min(here).alias("_first"), F.count(F.lit(1)).alias("_holders"))
+    live = write_and_read(chunks.join(cores, [*same, "core"]).join(fulls, [*same, "full"], "left"), "chunks")
+    copied = F.coalesce(F.col("_first") < here, F.lit(False))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = []
             for row in batch.to_pylist():
-                n = row["windows"]
-                hashed = [hashlib.blake2b(row["bytes"][i : i + length], digest_size=16).digest() for i in range(n)]
-                columns = [[row["anchor"]] * n, [row["context"]] * n, [row["row_key"]] * n, [row["start"] + i for i in range(n)], range(n), hashed]
-                arrays = [pa.array(x, t) for x, t in zip(columns, [*[pa.int64()] * 4, pa.int32(), pa.binary()], strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "context", "row_key", "at", "window", "hash"])
-
-    single = classes.mapInArrow(windows, "anchor long, context long, row_key long, at long, window int, hash binary")
-    place = F.struct("row_key", "at")
-    groups = single.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first")).filter("_n > 1")
-    marked = single.join(groups, ["anchor", "hash"]).select("anchor", "context", "window", (F.col("_first") < place).alias("_follows"))
-    listed = marked.groupBy("anchor", "context").agg(F.collect_list(F.struct("window", "_follows")).alias("marks"))
+                key = row["anchor"], row["context"], row["row_key"]
+                for i in range(row["n"]):
+                    rows.append((*key, row["at"] + i, row["window"] + i, row["place"], _digest(row["part"][i : i + length])))
+            yield _rows_to_batch(rows, _WINDOW_ROW)
+
+    schema = "anchor long, context long, row_key long, at long, window int, place int, hash binary"
+    single = write_and_read(live.filter(~copied).drop("core", "full", "_first", "_holders").mapInArrow(windows, schema), "windows")
+    groups = single.groupBy(*same, "hash").agg(F.count(F.lit(1)).alias("_n"), F.min(here).alias("_first")).filter("_n > 1")
+    repeated = single.join(groups, [*same, "hash"]).select("anchor", "context", "window", F.lit(1).alias("n"), (F.col("_first") < here).alias("follows"))
+    whole = live.filter("_holders > 1").select("anchor", "context", "window", "n", copied.alias("follows"))
+    mark = F.struct("window", "n", "follows")
+    listed = repeated.union(whole).groupBy("anchor", "context").agg(F.collect_list(mark).alias("marks"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,7 +299,9 @@ def _settle_large(classes: DataFrame, length: int) -> DataFrame:
             for row in batch.to_pylist():
                 bits = np.zeros((2, length), bool)
                 for mark in row["marks"]:
-                    bits[:, mark["window"]] = True, mark["_follows"]
+                    own = slice(mark["window"], mark["window"] + mark["n"])
+                    bits[0, own] = True
+                    bits[1, own] |= mark["follows"]
                 rows.append((row["anchor"], row["context"], np.packbits(bits[0]).tobytes(), np.packbits(bits[1]).tobytes()))
             yield _settled(rows)
 
