@@ -9,6 +9,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from papyrine.functions.paths import rebase_path
 from papyrine.operators import outcome
@@ -41,6 +42,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     quality.add_argument("--threshold", type=float, default=0.8)
     quality.add_argument("--above", type=int, default=MIN_PAGES, help="keep documents with more pages than this")
     quality.add_argument("--below", type=int, default=MAX_PAGES, help="keep documents with fewer pages than this")
+    quality.add_argument("--subsets", help="what split wrote: divide the table by its subsets")
     rebase = command("rebase", "move the paths of a quality table to another base", "quality", "pattern", "replacement")
     extract = command("extract", "clean the texts of relevant documents", "quality")
     for one in (rebase, extract):
@@ -57,12 +59,15 @@ def result(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return stages.split(spark.read.parquet(args.manifest), args.size)
     if args.stage == "quality":
         pages = spark.read.parquet(args.pages)
-        return stages.mark_quality(
+        marked = stages.mark_quality(
             pages, lambda df: mark_by_language(df, args.language, args.threshold), args.above, args.below
         )
+        return stages.with_subset(marked, spark.read.parquet(args.subsets)) if args.subsets else marked
     if args.stage == "finish":
         return stages.finish(read_stage(spark, args.extraction, EXTRACTION_SCHEMA), args.base)
-    quality = read_stage(spark, args.quality, QUALITY_SCHEMA, args.subset)
+    divided = args.subset is None and "subset_id" in spark.read.parquet(args.quality).columns
+    schema = T.StructType([*QUALITY_SCHEMA.fields, T.StructField("subset_id", T.LongType())]) if divided else QUALITY_SCHEMA
+    quality = read_stage(spark, args.quality, schema, args.subset)
     if args.stage == "extract":
         return stages.extract(quality)
     return quality.withColumn("pdf_path", rebase_path(F.col("pdf_path"), args.pattern, args.replacement))
@@ -71,7 +76,8 @@ def result(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"papyrine {args.stage}").getOrCreate()
-    written = write_stage(result(spark, args), args.out, ["subset_id"] if args.stage == "split" else [])
+    table = result(spark, args)
+    written = write_stage(table, args.out, [name for name in table.columns if name == "subset_id"])
     if args.csv:
         write_csv(spark.read.parquet(args.out), args.csv)
     estimate = outcome.throughput_estimate(outcome.run_metrics(spark, {args.stage: written}))

@@ -7,6 +7,7 @@ within a line run line by line, so that of a long document only the lines with t
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 from itertools import groupby
@@ -29,6 +30,7 @@ class Rule(NamedTuple):
     replacement: str
     needs: str
     reach: str = TEXT
+    ends: str = ""  # no match reaches beyond the last of these
 
 
 CAPTION_WORD = "Gambar"
@@ -42,23 +44,35 @@ def rules(caption_word: str = CAPTION_WORD) -> list[Rule]:
     """
     return [
         Rule("front_matter", r"(?s)\A---.*?---", "", "---", START),
-        Rule("title", rf"(?d)\A#{SPACE}*(.*?)\n", "$1\n", "#", START),
-        Rule("h4", rf"(?md)^####{SPACE}*(.*?)\n", "$1\n", "####"),
-        Rule("h2", rf"(?md)^##{SPACE}*(.*?)\n", "$1\n", "##"),
+        Rule("title", rf"(?d)\A#{SPACE}*(.*?)\n", "$1\n", "#", START, "\n"),
+        Rule("h4", rf"(?md)^####{SPACE}*(.*?)\n", "$1\n", "####", ends="\n"),
+        Rule("h2", rf"(?md)^##{SPACE}*(.*?)\n", "$1\n", "##", ends="\n"),
         Rule("bold", r"(?d)\*\*.*?\*\*", "", "**", LINE),
         Rule("math", r"(?d)\$.*?\$", "", "$", LINE),
-        Rule("brackets", r"(?d)\[.*?\]", "", "[", LINE),
-        Rule("parens", r"(?d)\(.*?\)", "", "(", LINE),
-        Rule("captions", rf"(?d){caption_word} \p{{Nd}}+\..*", "", caption_word, LINE),
+        Rule("brackets", r"(?d)\[.*?\]", "", "[", LINE, "]"),
+        Rule("parens", r"(?d)\(.*?\)", "", "(", LINE, ")"),
+        Rule("captions", rf"(?d){re.escape(caption_word)} \p{{Nd}}+\..*", "", caption_word, LINE),
         Rule("tables", r"\|[^\n]*\|(?:\n\|[-:| ]+\|)?(?:\n\|[^\n]*\|)*+", "", "|"),
-        Rule("keywords", r"(?s)Keywords:.*?(?=\n\n)", "", "Keywords:"),
+        Rule("keywords", r"(?s)Keywords:.*?(?=\n\n)", "", "Keywords:", ends="\n\n"),
         Rule("whitespace", rf"{SPACE}+", " ", ""),
     ]
 
 
 def apply_rule(text: Column, rule: Rule) -> Column:
-    """One rule as a column expression."""
-    return F.regexp_replace(text, rule.pattern, rule.replacement)
+    """One rule as a column expression.
+
+    A lazy pattern without an end looks for it from every beginning, which takes the square of a text's length. So what
+    follows the last possible end is set aside.
+    """
+    if not rule.ends:
+        return F.regexp_replace(text, rule.pattern, rule.replacement)
+
+    def upto_last_end(value: Column) -> Column:
+        rest = F.substring_index(value, rule.ends, -1)
+        head = F.left(value, F.char_length(value) - F.char_length(rest))
+        return F.concat(F.regexp_replace(head, rule.pattern, rule.replacement), rest)
+
+    return F.element_at(F.transform(F.array(text), upto_last_end), 1)
 
 
 def _guarded(rule: Rule) -> Callable[[Column], Column]:

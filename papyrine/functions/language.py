@@ -1,7 +1,8 @@
 """How much of a text is in one language, from function words.
 
-A line belongs to the target language when it holds more of its function words than of any other language's, to another
-language when one of those has more. Lines that decide nothing are left out. The share weighs lines by their length.
+A text is cut into windows of WINDOW words, the last of which also takes what is left over. A window belongs to the target
+language when it holds more of its function words than of any other's. The share is that of the letters in such windows
+among all letters, so what is in a language or script without listed words counts against the target.
 """
 
 from __future__ import annotations
@@ -9,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Function words that are frequent in one of the languages and rare in the others.
+WINDOW = 20
+
+# Function words that are frequent in one of the languages and in no other's list. A single letter tells
+# nothing, as formulas and tables are full of them.
 FUNCTION_WORDS: dict[str, list[str]] = {
     "id": [
         "yang", "dan", "di", "dari", "untuk", "dengan", "pada", "ini", "itu", "dalam",
@@ -29,42 +33,73 @@ FUNCTION_WORDS: dict[str, list[str]] = {
     ],
     "es": [
         "el", "los", "las", "del", "una", "por", "con", "para", "como", "más",
-        "pero", "su", "al", "lo", "sus", "y", "este", "entre", "cuando", "muy",
+        "pero", "su", "al", "lo", "sus", "porque", "este", "entre", "cuando", "muy",
     ],
 }
 
 
+def _words_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
+
+
+def _digits(found: Column, words: dict[str, list[str]]) -> Column:
+    """For each word a digit that stands for its language, or nothing."""
+
+    def digit(word: Column) -> Column:
+        chosen = F.when(F.lit(False), F.lit(""))
+        for place, listed in enumerate(words.values()):
+            chosen = chosen.when(word.isin(listed), F.lit(str(place)))
+        return chosen.otherwise(F.lit(""))
+
+    return F.transform(found, digit)
+
+
+def _occurrences(digits: Column, place: int) -> Column:
+    return F.char_length(digits) - F.char_length(F.replace(digits, F.lit(str(place)), F.lit("")))
+
+
 def language_share(text: Column, target: str, words: dict[str, list[str]] | None = None) -> Column:
-    """Share of the decided characters that is in the target language; null when no line decides."""
+    """Share of the letters that stand in windows of the target language; null when there is no letter."""
     words = words or FUNCTION_WORDS
-    others = [name for name in words if name != target]
-    listed = sorted({word for language in words.values() for word in language})
+    place = list(words).index(target)
 
-    def hits(tokens: Column, language: str) -> Column:
-        return F.size(F.filter(tokens, lambda word: word.isin(words[language])))
+    def window(held: Column, number: Column, count: Column) -> Column:
+        size = F.when(number == count - 1, F.size(held["words"])).otherwise(F.lit(WINDOW))
+        own = F.array_join(F.slice(held["digits"], number * WINDOW + 1, size), "")
+        letters = F.char_length(F.array_join(F.slice(held["words"], number * WINDOW + 1, size), "")).cast("long")
+        return F.struct(letters.alias("letters"), own.alias("digits"))
 
-    def count_words(line: Column) -> Column:
-        tokens = F.regexp_extract_all(F.lower(line), F.lit(r"\p{L}+"), F.lit(0))
-        tokens = F.filter(tokens, lambda word: word.isin(listed))
-        return F.struct(F.length(line).alias("chars"), tokens.alias("tokens"))
+    def wins(one: Column) -> Column:
+        others = [_occurrences(one["digits"], other) for other in range(len(words)) if other != place]
+        return _occurrences(one["digits"], place) > F.greatest(*others, F.lit(0))
 
-    def score(line: Column) -> Column:
-        best_other = F.array_max(F.array(*[hits(line["tokens"], name) for name in others]))
-        return F.struct(line["chars"], hits(line["tokens"], target).alias("target"), best_other.alias("other"))
+    def add(total: Column, one: Column) -> Column:
+        target_letters = total["target"] + F.when(wins(one), one["letters"]).otherwise(0)
+        return F.struct(target_letters.alias("target"), (total["all"] + one["letters"]).alias("all"))
 
-    def add(total: Column, line: Column) -> Column:
-        def plus(name: str, wins: Column) -> Column:
-            return (total[name] + F.when(wins, line["chars"]).otherwise(0)).alias(name)
+    def share(held: Column) -> Column:
+        count = F.greatest(F.floor(F.size(held["words"]) / WINDOW), F.lit(1)).cast("int")
+        windows = F.transform(F.sequence(F.lit(0), count - 1), lambda number: window(held, number, count))
+        nothing = F.struct(F.lit(0).cast("long").alias("target"), F.lit(0).cast("long").alias("all"))
+        return F.aggregate(windows, nothing, add, lambda total: F.try_divide(total["target"], total["all"]))
 
-        return F.struct(plus("target", line["target"] > line["other"]), plus("other", line["other"] > line["target"]))
+    # The words travel in an array of one, so that they are found once.
+    held = F.array(F.struct(_words_of(text).alias("words")))
+    held = F.transform(held, lambda one: F.struct(one["words"].alias("words"), _digits(one["words"], words).alias("digits")))
+    return F.element_at(F.transform(held, share), 1)
+
+
+def detect_language(text: Column, words: dict[str, list[str]] | None = None) -> Column:
+    """The language with the most function words in a text, in case of a tie the first listed; null without any."""
+    words = words or FUNCTION_WORDS
 
-    def divide(total: Column) -> Column:
-        return F.try_divide(total["target"], total["target"] + total["other"])
+    def most(digits: Column) -> Column:
+        counts = [F.struct(_occurrences(digits, i).alias("n"), F.lit(-i).alias("place"), F.lit(name).alias("name")) for i, name in enumerate(words)]
+        best = F.array_max(F.array(*counts))
+        return F.when(best["n"] > 0, best["name"])
 
-    # Each step hands structs to the next, so no line is split into words twice.
-    lines = F.transform(F.transform(F.split(text, "\n"), count_words), score)
-    nothing = F.struct(F.lit(0).cast("long").alias("target"), F.lit(0).cast("long").alias("other"))
-    return F.aggregate(lines, nothing, add, divide)
+    joined = F.array_join(_digits(_words_of(text), words), "")
+    return F.element_at(F.transform(F.array(joined), most), 1)
 
 
 def is_mainly_in(text: Column, target: str, threshold: float = 0.8) -> Column:

@@ -58,3 +58,8 @@ def has_extension(path: Column, *extensions: str) -> Column:
 
 def subset_folder(subset_id: Column) -> Column:
     return F.concat(F.lit("subset_"), subset_id.cast("string"))
+
+
+def plain_path(path: Column) -> Column:
+    """One spelling for a file's path: local ones begin with a single slash, without a scheme; others stay as they are."""
+    return F.regexp_replace(path, r"\A(?:file:)?/+", "/")

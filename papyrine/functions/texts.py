@@ -18,7 +18,7 @@ READ_ERROR = "Error processing "
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing whitespace of any kind (`F.trim` removes spaces only)."""
-    return F.regexp_replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.regexp_replace(text, rf"\A{SPACE}+|(?<!{SPACE}){SPACE}+\z", "")  # the lookbehind keeps it linear
 
 
 def is_blank(text: Column) -> Column:
@@ -26,7 +26,7 @@ def is_blank(text: Column) -> Column:
     return ~text.rlike(SPACE.replace("[", "[^", 1))
 
 
-def truncate(text: Column, length: int = 15_000) -> Column:
+def truncate(text: Column, length: int) -> Column:
     """The first `length` code points."""
     return F.substring(text, 1, length)
 

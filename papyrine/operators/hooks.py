@@ -1,7 +1,8 @@
 """Where users plug in code that Spark has no expression for: page readers, text recognition, classifiers.
 
 Each hook takes a factory. It is called once per task, so models and clients are loaded there and never shipped, and it
-returns a function that handles one value. What that function raises ends up in the row, not in the job.
+returns a function that handles a list of values at once, as models on a GPU and overlapping requests want it. What goes
+wrong ends up in the row, not in the job.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +17,12 @@ from pyspark.sql import types as T
 
 from papyrine.functions.texts import NULL_PATH_ERROR, extract_error, null_path_error
 
-Factory = Callable[[], Callable[[Any], Any]]
+Factory = Callable[[], Callable[[list], Iterable]]
 
 PAGE_SCHEMA = "pdf_path string, page_no int, text string, error string"
 _PAGE_COLUMNS = ["pdf_path", "page_no", "text", "error"]
 _PAGE_TYPES = pa.schema([("pdf_path", pa.string()), ("page_no", pa.int32()), ("text", pa.string()), ("error", pa.string())])
 _FLUSH_ROWS = 1_000
-_MAX_FILES_PER_BATCH = 64
 
 
 def _text_maker() -> Callable[[Any], str | None]:
@@ -31,26 +30,57 @@ def _text_maker() -> Callable[[Any], str | None]:
     return lambda value: None if value is None else str(value).encode("utf-8", "replace").decode("utf-8")
 
 
-def append_result(df: DataFrame, factory: Factory, source: str, target: str) -> DataFrame:
-    """Add string column `target`, the function's result for `source`; null where it fails or `source` is null.
-
-    Only `source` goes to Python. The function is marked as not deterministic, so that no filter on its result makes Spark
-    call it a second time.
-    """
+def _attempt(function: Callable[[list], Iterable], values: list) -> list[tuple[Any, str | None]]:
+    """(value, error) for each of `values`. If a list fails as a whole, its values are tried one by one."""
     to_text = _text_maker()
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        function = factory()
+    def failed(failure: BaseException) -> tuple[None, str]:
+        return None, to_text(failure) or type(failure).__name__
+
+    try:
+        results = list(function(values))
+        if len(results) != len(values):
+            raise ValueError(f"{len(results)} results for {len(values)} values")
+    except Exception as failure:
+        return [failed(failure)] if len(values) == 1 else [one for value in values for one in _attempt(function, [value])]
+    return [failed(one) if isinstance(one, Exception) else (to_text(one), None) for one in results]
+
+
+def _in_batches(function: Callable[[list], Iterable], values: list, size: int) -> list[tuple[Any, str | None]]:
+    """The same for any number of values, `size` at a time; null in, (null, null) out."""
+    present = [place for place, value in enumerate(values) if value is not None]
+    results: list[tuple[Any, str | None]] = [(None, None)] * len(values)
+    for start in range(0, len(present), size):
+        places = present[start : start + size]
+        for place, result in zip(places, _attempt(function, [values[i] for i in places]), strict=True):
+            results[place] = result
+    return results
+
 
-        def attempt(value: Any) -> str | None:
-            try:
-                return None if value is None else to_text(function(value))
-            except Exception:
-                return None
+def append_result(df: DataFrame, factory: Factory, source: str, target: str, batch_size: int = 64) -> DataFrame:
+    """Add struct column `target` with `value`, the function's result for `source`, and `error`, why there is none.
 
+    `factory()`'s function takes a list of at most `batch_size` values and returns as many results; a result that is an
+    Exception is that value's failure. Only `source` goes to Python. An array column is handled element by element and gives
+    an array. The function is marked as not deterministic, so that no filter on its result makes Spark call it a second time.
+    """
+    nested = isinstance(df.schema[source].dataType, T.ArrayType)
+    one = "struct<value: string, error: string>"
+
+    @F.arrow_udf(f"array<{one}>" if nested else one)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        function = factory()
+        kind = pa.struct([("value", pa.string()), ("error", pa.string())])
         for batch in batches:
-            yield pd.Series([attempt(value) for value in batch], dtype=object)
+            values = batch.to_pylist()
+            flat = [x for row in values for x in row or []] if nested else values
+            results = [{"value": value, "error": error} for value, error in _in_batches(function, flat, batch_size)]
+            if not nested:
+                yield pa.array(results, kind)
+                continue
+            found = iter(results)
+            rows = [None if row is None else [next(found) for _ in row] for row in values]
+            yield pa.array(rows, pa.list_(kind))
 
     return df.withColumn(target, run.asNondeterministic()(F.col(source)))
 
@@ -66,16 +96,9 @@ def extract_pages(
 
     `reader()` returns a function from path, or from path and bytes if `content` names a column, to the texts of the pages
     in order. A file that fails gives one more row, with the error. `partitions` sets how many tasks share the work.
+    Whole files travel in batches that Spark bounds in bytes (spark.sql.execution.arrow.maxBytesPerBatch).
     """
     columns = [path] if content is None else [path, content]
-    if content is not None and isinstance(files.schema[content].dataType, T.BinaryType):
-        batch_rows = int(files.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
-        if batch_rows > _MAX_FILES_PER_BATCH:
-            raise ValueError(
-                "whole files travel in Arrow batches: set spark.sql.execution.arrow.maxRecordsPerBatch to at most "
-                f"{_MAX_FILES_PER_BATCH}, or let the reader open the path"
-            )
-
     to_text = _text_maker()
 
     def pages_of(read: Callable[..., Iterable[str | None]], values: list[Any]) -> Iterator[tuple]:
@@ -110,19 +133,20 @@ def extract_pages(
     return (selected.repartition(partitions) if partitions else selected).mapInArrow(run, PAGE_SCHEMA)
 
 
-def extract_markdown(df: DataFrame, extractor: Factory, partitions: int | None = None, path: str = "pdf_path") -> DataFrame:
-    """Add `md_extraction_result`, what `extractor()`'s function makes of the path, and `error`.
+def extract_markdown(
+    df: DataFrame, extractor: Factory, partitions: int | None = None, path: str = "pdf_path", batch_size: int = 64
+) -> DataFrame:
+    """Add `md_extraction_result`, what `extractor()`'s function makes of the path, and `error`, why it failed.
 
-    A failure leaves its error text as the result. Rows are first dealt out evenly over `partitions` tasks (default: the
-    shuffle partitions of the session), as each may take seconds.
+    A failure leaves an error text as the result; a result of None is none, and no failure. With `partitions` rows are
+    first dealt out evenly over so many tasks, as each may take seconds.
     """
-    tasks = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    done = append_result(df.drop("error").repartition(tasks), extractor, path, "_markdown")
-    failure = F.when(F.col(path).isNull(), null_path_error()).when(
-        F.col("_markdown").isNull(), extract_error(F.col(path))
-    )
+    rows = df.drop("error")
+    done = append_result(rows.repartition(partitions) if partitions else rows, extractor, path, "_markdown", batch_size)
+    failure = F.when(F.col(path).isNull(), null_path_error()).otherwise(F.col("_markdown.error"))
+    shown = F.when(F.col(path).isNull(), null_path_error()).when(F.col("_markdown.error").isNotNull(), extract_error(F.col(path)))
     return (
         done.withColumn("error", failure)
-        .withColumn("md_extraction_result", F.coalesce("error", "_markdown"))
+        .withColumn("md_extraction_result", F.coalesce(shown, "_markdown.value"))
         .drop("_markdown")
     )

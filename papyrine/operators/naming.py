@@ -9,10 +9,7 @@ from papyrine.functions.paths import basename, extension, numbered_name, stem
 from papyrine.operators.ordering import number_rows, rank_in_groups
 from papyrine.sources.tables import materialize
 
-# Up to here Spark's own top-n, which ends in one task, is the better plan.
-TOP_N_ROWS = 100_000
-
-NUMBERED_STEM = r"(?s)\A(\.*[^.].*)_([1-9][0-9]{0,17})\z"
+NUMBERED_STEM = r"(?s)\A(\.*[^.].*)_([1-9][0-9]{0,17})\z"  # longer numbers fit no bigint, and no file gets one
 
 
 def collision_safe_names(files: DataFrame, path: str = "path", name: str = "name") -> DataFrame:
@@ -68,6 +65,4 @@ def cap_candidates(files: DataFrame, max_files: int | None, path: str = "path")
     """The first `max_files` files by path, before any check of their content; all of them for None or 0."""
     if not max_files:
         return files
-    if max_files <= TOP_N_ROWS:
-        return files.orderBy(path).limit(max_files)
     return number_rows(files, [path], "_index").filter(F.col("_index") < max_files).drop("_index")

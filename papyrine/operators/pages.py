@@ -9,14 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.functions.texts import is_blank, read_error
-from papyrine.sources.tables import materialize
 
 # Documents are kept with more than MIN_PAGES and fewer than MAX_PAGES pages.
 MIN_PAGES, MAX_PAGES = 2, 500
 
-# Keys up to this number are broadcast; beyond it, joins spread every key over SALTS tasks.
-BROADCAST_KEYS = 200_000
-SALTS = 64
+SALTS = 64  # tasks that share the pages of one document that is too long
 
 
 def page_counts(pages: DataFrame, key: str = "pdf_path") -> DataFrame:
@@ -47,32 +44,23 @@ def valid_documents(pages: DataFrame, key: str = "pdf_path") -> DataFrame:
 def without_oversized(pages: DataFrame, key: str = "pdf_path", below: int = MAX_PAGES) -> DataFrame:
     """Leave out the pages of documents with `below` pages or more, wherever those pages are.
 
-    One document may own much of the table, so its pages must go before anything gathers rows by document. Runs a job that
-    reads only the key column, and combines counts before it shuffles them, to learn whether and how many documents are too
-    long.
+    One document may own much of the table, so its pages must go before anything gathers rows by document. Such documents
+    are found from partial counts over the key column, and each is sought in SALTS tasks that share its pages.
     """
-    oversized = page_counts(pages, key).filter(F.col("page_count") >= below).select(key)
-    found = oversized.count()
-    if found == 0:
-        return pages
-    oversized = materialize(oversized, "oversized")
-    if found <= BROADCAST_KEYS:
-        return pages.join(F.broadcast(oversized), key, "left_anti")
-    salted = oversized.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("page_no"), F.lit(SALTS)).cast("int")
+    oversized = page_counts(pages, key).filter(F.col("page_count") >= below)
+    salted = oversized.select(key, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     return pages.withColumn("_salt", salt).join(salted, [key, "_salt"], "left_anti").drop("_salt")
 
 
-def assemble_documents(
-    pages: DataFrame, key: str = "pdf_path", above: int = MIN_PAGES, below: int = MAX_PAGES
-) -> DataFrame:
-    """Documents in the page range as (key, page_count, ocr_text, error).
+def assemble_documents(pages: DataFrame, key: str = "pdf_path") -> DataFrame:
+    """All documents as (key, page_count, ocr_text, error).
 
     The text is every page in order, each followed by a newline. A document with an unreadable part carries the error, in
-    `error` and as its text. Pages that name no document belong to none. Texts are shuffled once, and no group holds more
-    than `below` pages.
+    `error` and as its text. Pages that name no document belong to none. Texts are shuffled once. A document is gathered in
+    one task, so leave out those that are too long, with `without_oversized`, if there may be any.
     """
-    rows = without_oversized(pages.filter(F.col(key).isNotNull()), key, below)
+    rows = pages.filter(F.col(key).isNotNull())
     if "error" not in pages.columns:
         rows = rows.withColumn("error", F.lit(None).cast("string"))
     text = F.concat(F.coalesce("text", F.lit("")), F.lit("\n"))
@@ -84,4 +72,18 @@ def assemble_documents(
     )
     failure = read_error(F.col(key), F.col("error"))
     ocr_text = F.when(F.col("error").isNull(), F.col("_joined")).otherwise(failure)
-    return page_range_filter(documents, above, below).select(key, "page_count", ocr_text.alias("ocr_text"), "error")
+    return documents.select(key, "page_count", ocr_text.alias("ocr_text"), "error")
+
+
+def documents_in_range(
+    pages: DataFrame, key: str = "pdf_path", above: int = MIN_PAGES, below: int = MAX_PAGES
+) -> DataFrame:
+    """The documents with more than `above` and fewer than `below` pages, as `assemble_documents` gives them."""
+    return page_range_filter(assemble_documents(without_oversized(pages, key, below), key), above, below)
+
+
+def page_count_histogram(documents: DataFrame, width: int = 1, page_count: str = "page_count") -> DataFrame:
+    """How many documents there are for each range of `width` page counts: first, last, documents."""
+    first = (F.floor(F.col(page_count) / width) * width).cast("int")
+    counted = documents.groupBy(first.alias("first")).agg(F.count(F.lit(1)).alias("documents"))
+    return counted.select("first", (F.col("first") + width - 1).alias("last"), "documents")

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(scan: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Deal out the rows of a file scan over `tasks` (default: all cores) ahead of costly work on each row.
+def spread(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """Deal out rows over `tasks` ahead of costly work on each of them; None leaves them where they are.
 
-    A scan that already has as many splits is left as it is: large tables are not shuffled for this. Give it a scan, with
-    filters and projections at most, since counting the splits of a plan with shuffles would run them.
+    Scans of large tables have splits enough. Small files and rows that take seconds each are what this is for.
     """
-    wanted = tasks or scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)
+    return rows.repartition(tasks) if tasks else rows

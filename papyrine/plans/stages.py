@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.functions.cleaning import clean_text
-from papyrine.functions.paths import has_extension
+from papyrine.functions.paths import has_extension, plain_path
 from papyrine.operators.naming import cap_candidates, collision_safe_names
 from papyrine.operators.outcome import success_rows
-from papyrine.operators.pages import MAX_PAGES, MIN_PAGES, assemble_documents, valid_documents
+from papyrine.operators.pages import MAX_PAGES, MIN_PAGES, documents_in_range, valid_documents
 from papyrine.operators.relevance import mark_by_language, relevant_only
 from papyrine.operators.subsets import SUBSET_SIZE, assign_subsets
 
@@ -22,8 +22,9 @@ def collate(
     listing: DataFrame, pages: DataFrame, max_files: int | None = None, extensions: tuple[str, ...] = (".pdf",)
 ) -> DataFrame:
     """Manifest (path, name) of the files that have text, with names for one flat folder."""
-    candidates = cap_candidates(listing.select("path").filter(has_extension(F.col("path"), *extensions)), max_files)
-    valid = valid_documents(pages, "pdf_path").withColumnRenamed("pdf_path", "path")
+    files = listing.select(plain_path(F.col("path")).alias("path")).filter(has_extension(F.col("path"), *extensions))
+    candidates = cap_candidates(files, max_files)
+    valid = valid_documents(pages.select(plain_path(F.col("pdf_path")).alias("path"), "text"), "path")
     return collision_safe_names(candidates.join(valid, "path", "left_semi"))
 
 
@@ -32,6 +33,12 @@ def split(manifest: DataFrame, size: int = SUBSET_SIZE, key: str = "name") -> Da
     return assign_subsets(manifest, size, [key])
 
 
+def with_subset(quality: DataFrame, subsets: DataFrame) -> DataFrame:
+    """Add the `subset_id` that `split` gave a document's file; documents without a file there are left out."""
+    known = subsets.select(plain_path(F.col("path")).alias("_path"), "subset_id")
+    return quality.withColumn("_path", plain_path(F.col("pdf_path"))).join(known, "_path").drop("_path")
+
+
 def mark_quality(
     pages: DataFrame,
     mark: Stage = mark_by_language,
@@ -43,7 +50,7 @@ def mark_quality(
 
     `mark` adds `is_relevant`; give `mark_by_classifier` with a classifier of your own for a model's judgement.
     """
-    marked = mark(assemble_documents(pages, key, above, below))
+    marked = mark(documents_in_range(pages, key, above, below))
     return marked.select(F.col(key).alias("pdf_path"), "page_count", "is_relevant", "ocr_text", "error")
 
 
@@ -53,15 +60,18 @@ def read_text_as_markdown(relevant: DataFrame) -> DataFrame:
 
 
 def extract(quality: DataFrame, to_markdown: Stage = read_text_as_markdown) -> DataFrame:
-    """Extraction table (pdf_path, page_count, md_extraction_result, extracted_meaningful_text) of relevant documents.
+    """Extraction table (pdf_path, page_count, md_extraction_result, extracted_meaningful_text) of relevant documents, and
+    their subset_id if they have one.
 
     `to_markdown` adds `md_extraction_result`. If it is costly, write what it gives with `materialize` before cleaning.
     """
+    subset = ["subset_id"] if "subset_id" in quality.columns else []
     return to_markdown(relevant_only(quality)).select(
         "pdf_path",
         "page_count",
         "md_extraction_result",
         clean_text(F.col("md_extraction_result")).alias("extracted_meaningful_text"),
+        *subset,
     )
 
 

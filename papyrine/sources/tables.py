@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import time
 import uuid
@@ -39,6 +40,7 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "multiLine": True,
+    "emptyValue": "",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
@@ -49,7 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="papyrine-"))
     return spark.sparkContext.getCheckpointDir()
@@ -67,8 +69,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     where a plan would otherwise run twice, or differently the second time.
     """
     folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    rows = _write(df, lambda writer: writer.parquet(folder)).rows
+    written = df.sparkSession.read.schema(df.schema).parquet(folder)
+    if re.match(r"file:|/", folder) and (found := written.count()) != rows:
+        raise OSError(f"{found} of {rows} rows are in {folder}: spark.checkpoint.dir is no folder that all executors share")
+    return written
 
 
 class Written(NamedTuple):
@@ -95,23 +100,29 @@ def read_stage(spark: SparkSession, path: str, schema: T.StructType, subset_id:
     """Read a stage table, or only the folder of one subset."""
     if subset_id is None:
         return spark.read.schema(schema).parquet(path)
+    if "subset_id" not in spark.read.parquet(path).columns:
+        raise ValueError(f"{path} is not divided into subsets")
     with_subset = T.StructType([*schema.fields, T.StructField("subset_id", T.LongType())])
     return spark.read.schema(with_subset).parquet(path).filter(F.col("subset_id") == subset_id)
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> Written:
+NULL_MARKER = "\\N"  # tells missing texts from empty ones
+
+
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 10_000) -> Written:
     """Export as CSV with a header, replacing what is there.
 
     Texts hold line breaks, and a file with those is read back by one task, so files are kept small.
     """
-    options = {**CSV_OPTIONS, "quoteAll": True, "lineSep": "\n", "maxRecordsPerFile": rows_per_file}
+    options = {**CSV_OPTIONS, "nullValue": NULL_MARKER, "quoteAll": True, "lineSep": "\n", "maxRecordsPerFile": rows_per_file}
     return _write(df, lambda writer: writer.options(**options).csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, null_marker: str = NULL_MARKER) -> DataFrame:
     """Read CSV stage files whose texts may span lines.
 
-    Empty fields are null: CSV does not tell them from empty texts. In a file whose rows end in CR LF, a CR LF
+    A field that is `null_marker` is null: by default what `write_csv` writes, "" for files of writers that leave missing
+    fields empty. In a file whose rows end in CR LF, a CR LF
     within a text becomes LF.
     """
-    return spark.read.schema(schema).options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS, nullValue=null_marker).option("mode", "FAILFAST").csv(path)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from papyrine.operators.hooks import extract_markdown, extract_pages
-from papyrine.operators.partitioning import spread
 from papyrine.operators.relevance import mark_by_classifier
 from papyrine.workload.inputs import ID, rows_of, table
 
+CLASSIFIED_CHARS = 700
+
 _FILES = f"""SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN CAST(NULL AS STRING) ELSE '/scrape/' || {ID} || '.pdf' END AS path,
   text
 FROM documents"""
@@ -25,23 +26,29 @@ def pages_hook(spark, sf_dir):
 
         return read
 
-    pages = extract_pages(spread(rows_of(spark, sf_dir, _FILES)), line_reader, content="text")
+    pages = extract_pages(rows_of(spark, sf_dir, _FILES), line_reader, content="text")
     return pages.withColumn("page_no", F.coalesce("page_no", F.lit(0)))
 
 
 def classifier_hook(spark, sf_dir):
     def word_classifier():
-        """Replies as a model would, from a single word."""
+        """Replies to a list of prompts as a model would, from single words; breaks down over some lists."""
 
         def reply(prompt):
-            if "the" not in prompt:
-                raise ValueError("no reply")
-            return '{"reasoning":"word","answer":true}' if " und " in prompt else '{"reasoning":"word","answer":false}'
+            if " con " in prompt:
+                return ValueError("no reply")
+            return f'{{"reasoning":"word","answer":{str(" the " in prompt).lower()}}}'
+
+        def replies(prompts):
+            if len(prompts) > 1 and any(" von " in prompt for prompt in prompts):
+                raise ValueError("out of memory")
+            return [reply(prompt) for prompt in prompts]
 
-        return reply
+        return replies
 
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return mark_by_classifier(documents, word_classifier, text="text").select("doc_id", "is_relevant")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = mark_by_classifier(documents, word_classifier, "English", "text", CLASSIFIED_CHARS, 0.6, template="{text} {language}")
+    return marked.select("doc_id", "is_relevant")
 
 
 def markdown_hook(spark, sf_dir):
@@ -49,11 +56,11 @@ def markdown_hook(spark, sf_dir):
         """Makes a heading of the path and fails for some."""
 
         def extract(path):
-            if path.endswith("3.pdf"):
-                raise ValueError("unreadable")
-            return f"# {path}\n"
+            if path.endswith("7.pdf"):
+                return None
+            return ValueError("unreadable") if path.endswith("3.pdf") else f"# {path}\n"
 
-        return extract
+        return lambda paths: [extract(path) for path in paths]
 
     files = rows_of(spark, sf_dir, _FILES).withColumnRenamed("path", "pdf_path")
     extracted = extract_markdown(files.select("doc_id", "pdf_path"), title_extractor)
@@ -70,9 +77,16 @@ ORACLES = {
         FROM (SELECT path, parts, unnest(generate_series(1, len(parts))) AS n FROM split)
         UNION ALL SELECT path, 0, NULL, CASE WHEN path IS NULL THEN 'Error: PDF path is None' ELSE 'too short' END
         FROM files WHERE path IS NULL OR length(text) < 300""",
-    "classify_hook": "SELECT doc_id, contains(substr(text, 1, 15000), ' und ') AS is_relevant FROM documents",
-    "extract_markdown_hook": f"""SELECT doc_id, path AS pdf_path, coalesce(error, '# ' || path || chr(10))
-          AS md_extraction_result, error
-        FROM (SELECT *, CASE WHEN path IS NULL THEN 'Error: PDF path is None'
-          WHEN path LIKE '%3.pdf' THEN 'Error: Failed to process PDF ' || path END AS error FROM ({_FILES}))""",
+    "classify_hook": f"""SELECT doc_id, CASE WHEN length(any_value(text)) = 0 THEN false
+          ELSE sum(CASE WHEN contains(piece, ' the ') AND NOT contains(piece, ' con ') THEN length(piece) ELSE 0 END)
+            >= 0.6 * sum(length(piece)) END AS is_relevant
+        FROM (SELECT doc_id, text, substr(text, 1 + i * {CLASSIFIED_CHARS}, {CLASSIFIED_CHARS}) || ' English' AS asked,
+            substr(text, 1 + i * {CLASSIFIED_CHARS}, {CLASSIFIED_CHARS}) AS piece
+          FROM (SELECT *, unnest(range(greatest((length(text) + {CLASSIFIED_CHARS} - 1) // {CLASSIFIED_CHARS}, 1))) AS i FROM documents))
+        GROUP BY doc_id""",
+    "extract_markdown_hook": f"""SELECT doc_id, path AS pdf_path, CASE WHEN path IS NULL THEN 'Error: PDF path is None'
+          WHEN path LIKE '%3.pdf' THEN 'Error: Failed to process PDF ' || path
+          WHEN path NOT LIKE '%7.pdf' THEN '# ' || path || chr(10) END AS md_extraction_result,
+          CASE WHEN path IS NULL THEN 'Error: PDF path is None' WHEN path LIKE '%3.pdf' THEN 'unreadable' END AS error
+        FROM ({_FILES})""",
 }

@@ -37,6 +37,14 @@ MARKED_TEXT = f"""(
       "'Keywords: satu,'", "'dua'", "''", "'Penutup Keywords: ekor'")}
 )"""
 
+# Texts with lines that are in no listed language: another script, formulas, and words that tell nothing.
+MIXED_TEXT = f"""SELECT doc_id, text || CASE doc_id % 5
+  WHEN 0 THEN {NEWLINE} || repeat('Этот текст написан на другом языке и другим письмом. ', CAST(doc_id % 40 AS INT))
+  WHEN 1 THEN {NEWLINE} || repeat('x | y | z' || {NEWLINE}, CAST(doc_id % 60 AS INT))
+  WHEN 2 THEN {NEWLINE} || repeat('lorem ipsum dolor sit amet ', CAST(doc_id % 50 AS INT))
+  ELSE '' END AS text
+FROM documents"""
+
 # Extraction results: some paths are missing or below another folder, some texts are missing or errors.
 EXTRACTION = f"""SELECT doc_id,
   CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN '/tmp/' || {ID} || '.pdf'
@@ -71,7 +79,7 @@ FROM pages"""
 
 # Classifier replies of every kind: proper ones with the label as the answer, wrong types, broken and missing ones.
 _ANSWER = "CASE WHEN quality = 1 THEN 'true' ELSE 'false' END"
-REPLIES = f"""SELECT doc_id, CASE doc_id % 18
+REPLIES = f"""SELECT doc_id, CASE doc_id % 20
   WHEN 0 THEN '{{"answer":"true"}}'
   WHEN 1 THEN '{{"answer":1}}'
   WHEN 2 THEN '{{"answer":null}}'
@@ -87,6 +95,8 @@ REPLIES = f"""SELECT doc_id, CASE doc_id % 18
   WHEN 12 THEN ''
   WHEN 13 THEN '{{"answer":false}} {{"answer":true}}'
   WHEN 14 THEN '{{"answer":false}},{{"answer":false}}'
+  WHEN 15 THEN '{{"answer":true,"answer":' || {_ANSWER} || '}}'
+  WHEN 16 THEN '{{"answer":false}}] it is true'
   ELSE '{{"reasoning":"label","answer":' || {_ANSWER} || '}}' END AS reply
 FROM labels"""
 

@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from papyrine.functions.texts import truncate
-from papyrine.operators.pages import assemble_documents, page_range_filter, valid_documents, with_page_counts
+from papyrine.operators.pages import (
+    assemble_documents,
+    documents_in_range,
+    page_count_histogram,
+    page_range_filter,
+    valid_documents,
+    with_page_counts,
+)
 from papyrine.workload.inputs import SPARSE_PAGES, rows_of, table
 
 # Conversations have 2 to 8 turns: with these bounds both ends cut.
 ABOVE, BELOW = 2, 7
+HEAD = 15_000
 
 
 def _conversation_pages(spark, sf_dir):
@@ -28,10 +36,18 @@ def filter_page_range(spark, sf_dir):
 
 
 def assemble_document_text(spark, sf_dir):
-    documents = assemble_documents(_conversation_pages(spark, sf_dir), "doc_id", ABOVE, BELOW)
+    return assemble_documents(_conversation_pages(spark, sf_dir), "doc_id").select("doc_id", "page_count", "ocr_text")
+
+
+def assemble_in_range(spark, sf_dir):
+    documents = documents_in_range(_conversation_pages(spark, sf_dir), "doc_id", ABOVE, BELOW)
     return documents.select("doc_id", "page_count", "ocr_text")
 
 
+def count_pages_histogram(spark, sf_dir):
+    return page_count_histogram(document_page_count(spark, sf_dir), 2)
+
+
 def find_valid_documents(spark, sf_dir):
     pages = rows_of(spark, sf_dir, SPARSE_PAGES)
     return valid_documents(pages, "conv_id").select(F.col("conv_id").alias("doc_id"))
@@ -39,13 +55,15 @@ def find_valid_documents(spark, sf_dir):
 
 def truncate_text(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
-    return documents.select("doc_id", truncate(F.col("text")).alias("head"))
+    return documents.select("doc_id", truncate(F.col("text"), HEAD).alias("head"))
 
 
 QUERIES = {
     "document_page_count": document_page_count,
     "page_range_filter": filter_page_range,
     "assemble_document_text": assemble_document_text,
+    "assemble_in_range": assemble_in_range,
+    "page_count_histogram": count_pages_histogram,
     "valid_documents": find_valid_documents,
     "truncate_text": truncate_text,
 }
@@ -57,8 +75,13 @@ ORACLES = {
     "document_page_count": _COUNTS,
     "page_range_filter": f"SELECT * FROM ({_COUNTS}) WHERE page_count > {ABOVE} AND page_count < {BELOW}",
     "assemble_document_text": f"""SELECT conv_id AS doc_id, CAST(count(*) AS INTEGER) AS page_count,
+        string_agg(text || chr(10), '' ORDER BY turn) AS ocr_text
+        FROM conversations GROUP BY conv_id""",
+    "assemble_in_range": f"""SELECT conv_id AS doc_id, CAST(count(*) AS INTEGER) AS page_count,
         string_agg(text || chr(10), '' ORDER BY turn) AS ocr_text
         FROM conversations GROUP BY conv_id HAVING count(*) > {ABOVE} AND count(*) < {BELOW}""",
+    "page_count_histogram": f"""SELECT CAST(page_count // 2 * 2 AS INTEGER) AS first, CAST(page_count // 2 * 2 + 1 AS INTEGER) AS last,
+        count(*) AS documents FROM ({_COUNTS}) GROUP BY page_count // 2""",
     "valid_documents": rf"""SELECT DISTINCT conv_id AS doc_id FROM ({SPARSE_PAGES}) WHERE regexp_matches(text, '\S')""",
-    "truncate_text": "SELECT doc_id, substr(text, 1, 15000) AS head FROM documents",  # the operator's own limit
+    "truncate_text": f"SELECT doc_id, substr(text, 1, {HEAD}) AS head FROM documents",  # the operator's own limit
 }

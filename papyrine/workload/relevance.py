@@ -4,26 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from papyrine.functions.language import FUNCTION_WORDS, is_mainly_in, language_share
+from papyrine.functions.language import FUNCTION_WORDS, WINDOW, detect_language, is_mainly_in, language_share
 from papyrine.functions.replies import PROMPT_TEMPLATE, build_prompt, extract_tagged, parse_reply
-from papyrine.operators.partitioning import spread
 from papyrine.operators.relevance import relevant_only
-from papyrine.workload.inputs import REPLIES, rows_of, table
+from papyrine.workload.inputs import MIXED_TEXT, REPLIES, rows_of, table
 
 TARGET = "en"  # the tables have no Indonesian
 
 
 def language_relevance(spark, sf_dir):
-    text = F.col("text")
-    scored = spread(table(spark, sf_dir, "documents")).select("doc_id", language_share(text, TARGET).alias("share"))
+    scored = rows_of(spark, sf_dir, MIXED_TEXT).select("doc_id", language_share(F.col("text"), TARGET).alias("share"))
     return scored.withColumn("is_relevant", F.coalesce(F.col("share") >= 0.8, F.lit(False)))
 
 
 def keep_relevant(spark, sf_dir):
-    documents = spread(table(spark, sf_dir, "documents"))
+    documents = rows_of(spark, sf_dir, MIXED_TEXT)
     return relevant_only(documents.withColumn("is_relevant", is_mainly_in(F.col("text"), TARGET))).select("doc_id")
 
 
+def detect_languages(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", detect_language(F.col("text")).alias("language"))
+
+
 def make_prompts(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return documents.select("doc_id", build_prompt(F.col("text"), "English").alias("prompt"))
@@ -46,26 +48,28 @@ def extract_tagged_output(spark, sf_dir):
 QUERIES = {
     "language_relevance": language_relevance,
     "relevant_only": keep_relevant,
+    "detect_language": detect_languages,
     "build_prompt": make_prompts,
     "parse_classifier_reply": parse_classifier_reply,
     "extract_tagged_output": extract_tagged_output,
 }
 
 
-def _hits(language: str) -> str:
-    words = ", ".join(f"'{word}'" for word in FUNCTION_WORDS[language])
-    return f"len(list_filter(words, lambda word: word IN ({words})))"
+def _hits(language: str, words: str) -> str:
+    listed = ", ".join(f"'{word}'" for word in FUNCTION_WORDS[language])
+    return f"len(list_filter({words}, lambda word: word IN ({listed})))"
 
 
 def oracle_shares(source: str, key: str = "doc_id") -> str:
-    """SELECT key, share: the language share of `text` in `source`."""
-    others = ", ".join(_hits(name) for name in FUNCTION_WORDS if name != TARGET)
+    """SELECT key, share: the share of letters of `text` in `source` that stand in windows of the target language."""
+    others = ", ".join(_hits(name, "part") for name in FUNCTION_WORDS if name != TARGET)
     return rf"""SELECT {key},
-      sum(CASE WHEN target > other THEN chars ELSE 0 END) / nullif(sum(CASE WHEN target <> other THEN chars ELSE 0 END), 0)
-        AS share
-      FROM (SELECT {key}, chars, {_hits(TARGET)} AS target, greatest({others}) AS other
-        FROM (SELECT {key}, length(line) AS chars, regexp_extract_all(lower(line), '\p{{L}}+') AS words
-          FROM (SELECT {key}, unnest(string_split(text, chr(10))) AS line FROM {source})))
+      sum(CASE WHEN mine > other THEN letters ELSE 0 END) / nullif(sum(letters), 0) AS share
+      FROM (SELECT {key}, len(array_to_string(part, '')) AS letters, {_hits(TARGET, "part")} AS mine, greatest({others}) AS other
+        FROM (SELECT {key}, list_slice(words, i * {WINDOW} + 1, CASE WHEN i = last THEN len(words) ELSE (i + 1) * {WINDOW} END) AS part
+          FROM (SELECT *, unnest(range(last + 1)) AS i
+            FROM (SELECT {key}, words, greatest(len(words) // {WINDOW}, 1) - 1 AS last
+              FROM (SELECT {key}, regexp_extract_all(lower(text), '\p{{L}}+') AS words FROM {source})))))
       GROUP BY {key}"""
 
 
@@ -77,9 +81,14 @@ _BEFORE, _AFTER = PROMPT_TEMPLATE.replace("{language}", "English").split("{text}
 
 ORACLES = {
     "language_relevance": f"""SELECT doc_id, share, coalesce(share >= 0.8, false) AS is_relevant
-        FROM ({oracle_shares("documents")})""",
-    "relevant_only": f"SELECT doc_id FROM ({oracle_shares('documents')}) WHERE share >= 0.8",
-    "build_prompt": f"""SELECT doc_id, {_quoted(_BEFORE)} || substr(text, 1, 15000) || {_quoted(_AFTER)} AS prompt
+        FROM ({oracle_shares(f"({MIXED_TEXT})")})""",
+    "relevant_only": f"SELECT doc_id FROM ({oracle_shares(f'({MIXED_TEXT})')}) WHERE share >= 0.8",
+    "detect_language": rf"""SELECT doc_id, CASE WHEN most = 0 THEN NULL
+        {" ".join(f"WHEN {name}_words = most THEN '{name}'" for name in FUNCTION_WORDS)} END AS language
+        FROM (SELECT *, greatest({", ".join(f"{name}_words" for name in FUNCTION_WORDS)}) AS most
+          FROM (SELECT doc_id, {", ".join(f"{_hits(name, 'words')} AS {name}_words" for name in FUNCTION_WORDS)}
+            FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{{L}}+') AS words FROM documents)))""",
+    "build_prompt": f"""SELECT doc_id, {_quoted(_BEFORE)} || text || {_quoted(_AFTER)} AS prompt
         FROM documents""",
     "parse_classifier_reply": f"""SELECT doc_id, CASE
         WHEN reply IS NULL THEN false

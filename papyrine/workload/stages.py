@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from papyrine.operators.outcome import stage_counts
 from papyrine.operators.pages import in_page_range, with_page_counts
-from papyrine.operators.partitioning import spread
 from papyrine.operators.relevance import mark_by_language
 from papyrine.plans.stages import collate, curate_documents, extract, finish, mark_quality
 from papyrine.workload.cleaning import oracle_clean
@@ -31,7 +30,7 @@ def extraction_stage(spark, sf_dir):
 
 
 def final_projection(spark, sf_dir):
-    return finish(spread(rows_of(spark, sf_dir, EXTRACTION)), "/mnt/scrape/")
+    return finish(rows_of(spark, sf_dir, EXTRACTION), "/mnt/scrape/")
 
 
 def _file_page_text(spark, sf_dir):

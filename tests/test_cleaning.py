@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from papyrine.functions.cleaning import clean_text, rules
+from papyrine.functions.cleaning import apply_rule, clean_text, rules
 
 GOLDEN = [
     ("---\na: b\n---\n# Judul\nisi", "# Judul isi"),
@@ -119,3 +119,21 @@ def test_filters_on_cleaned_text_keep_plans_small(spark):
 def test_caption_word_is_a_parameter(spark):
     df = as_frame(spark, ["Figure 1. x\nGambar 2. y"])
     assert df.select(clean_text(F.col("text"), "Figure")).first()[0] == "Gambar 2. y"
+
+
+WORST = {
+    "brackets": "[" * 1_000_000, "parens": "(" * 1_000_000, "keywords": "Keywords:\n" * 100_000, "bold": "**a" * 333_333,
+    "h2": "##" + " " * 1_000_000, "h4": "####" + "\t" * 1_000_000, "title": "#" + " " * 1_000_000, "math": "$a" * 500_000,
+    "tables": "|a" * 500_000, "captions": "Gambar 1" * 125_000, "whitespace": " " * 1_000_000, "front_matter": "-" * 1_000_000,
+}
+
+
+@pytest.mark.parametrize("rule", rules(), ids=lambda rule: rule.name)
+def test_worst_cases_take_linear_time(spark, rule):
+    import time
+
+    df = spark.createDataFrame([(WORST[rule.name],)], "text string")
+    start = time.perf_counter()
+    df.select(F.sum(F.length(apply_rule(F.col("text"), rule)))).collect()
+    df.select(F.sum(F.length(clean_text(F.col("text"))))).collect()
+    assert time.perf_counter() - start < 6

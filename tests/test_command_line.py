@@ -1,6 +1,8 @@
 """The stages run one after the other from the command line."""
 
 from papyrine.__main__ import main
+from papyrine.operators.hooks import extract_pages
+from papyrine.sources.files import list_files
 from papyrine.sources.tables import EXTRACTION_SCHEMA, QUALITY_SCHEMA, read_csv, write_stage
 
 
@@ -29,3 +31,19 @@ def test_all_stages(spark, tmp_path, capsys):
     assert row.regex_applied_text == "# yang dan ini 1 yang dan ini 1 yang dan ini 1"  # only the first line loses one #, not two
     assert "'stage': 'finish', 'total_rows': 1" in capsys.readouterr().out
     assert spark.read.parquet(table["moved"]).columns == QUALITY_SCHEMA.names
+
+
+def test_one_subset_from_listing_to_extraction(spark, tmp_path):
+    source = tmp_path / "scrape"
+    source.mkdir()
+    for number in range(5):
+        (source / f"{number}.pdf").write_text("yang dan ini\funtuk itu\fdengan pada")
+    table = {name: str(tmp_path / name) for name in "pages collated subsets quality extraction".split()}
+    reader = lambda: lambda path: open(path).read().split("\f")  # noqa: E731, SIM115
+    write_stage(extract_pages(list_files(spark, f"file://{source}"), reader), table["pages"])
+    main(["collate", str(source), table["pages"], table["collated"]])
+    assert spark.read.parquet(table["collated"]).count() == 5
+    main(["split", table["collated"], table["subsets"], "--size", "2"])
+    main(["quality", table["pages"], table["quality"], "--subsets", table["subsets"]])
+    main(["extract", table["quality"], table["extraction"], "--subset", "2"])
+    assert sorted(row.pdf_path for row in spark.read.parquet(table["extraction"]).collect()) == [f"{source}/2.pdf", f"{source}/3.pdf"]

@@ -87,9 +87,7 @@ def test_names_without_any_collision(spark):
     assert got == {"/x/a.pdf": ("a.pdf", 1), "/y/b.pdf": ("b.pdf", 2)}
 
 
-@pytest.mark.parametrize("top_n", [10, 100_000])
-def test_candidate_cap(many_partitions, monkeypatch, top_n):
-    monkeypatch.setattr("papyrine.operators.naming.TOP_N_ROWS", top_n)
+def test_candidate_cap(many_partitions):
     df = many_partitions.range(500).select(F.format_string("/p/%05d.pdf", "id").alias("path"))
     got = [row.path for row in cap_candidates(df, 123).orderBy("path").collect()]
     assert got == [f"/p/{i:05d}.pdf" for i in range(123)]

@@ -35,17 +35,19 @@ def test_assembly_orders_pages_and_carries_errors(spark):
     rows += [(None, n, "z", None) for n in range(4)]
     rows += [("short", 1, "x", None), ("short", 2, "x", None), ("broken", None, None, "bad")]
     got = {row.pdf_path: row for row in P.assemble_documents(frame(spark, rows)).collect()}
-    assert set(got) == {"a", "e", "n"}
+    assert set(got) == {"a", "e", "n", "short", "broken"}
+    assert (got["broken"].page_count, got["broken"].ocr_text) == (0, "Error processing broken: bad")
     assert (got["a"].ocr_text, got["a"].page_count, got["a"].error) == ("p1\np2\np10\np11\n", 4, None)
     assert (got["e"].ocr_text, got["e"].error) == ("Error processing e: second", "second")
     assert got["n"].ocr_text == "y\n\ny\n"
 
 
-@pytest.mark.parametrize("broadcast_keys", [200_000, 0])
-def test_oversized_documents_go_first(many_partitions, monkeypatch, broadcast_keys):
-    monkeypatch.setattr(P, "BROADCAST_KEYS", broadcast_keys)
-    # One document owns most pages, and several are one page too long.
-    hot = many_partitions.range(5_000).select(F.lit("hot").alias("pdf_path"), F.col("id").cast("int").alias("page_no"))
+@pytest.mark.parametrize("number", ["int(id)", "1", "int(null)"])
+def test_oversized_documents_go_first(many_partitions, number):
+    # One document owns most pages, and several are one page too long; numbers may repeat or be missing.
+    hot = many_partitions.range(5_000).select(F.lit("hot").alias("pdf_path"), F.expr(number).alias("page_no"))
+    if "null" in number:
+        hot = hot.withColumn("page_no", F.when(F.monotonically_increasing_id() % 2 == 0, 7))
     rest = many_partitions.range(60).select(
         F.concat(F.lit("d"), F.col("id")).alias("pdf_path"),
         F.explode(F.sequence(F.lit(1), F.when(F.col("id") < 5, 10).otherwise(9))).alias("page_no"),
@@ -55,11 +57,24 @@ def test_oversized_documents_go_first(many_partitions, monkeypatch, broadcast_ke
     assert left.columns == df.columns
     assert left.groupBy("pdf_path").count().count() == 55
     assert left.count() == 55 * 9
-    documents = P.assemble_documents(df, above=2, below=10)
+    documents = P.documents_in_range(df, above=2, below=10)
     assert documents.count() == 55
     assert {row.ocr_text for row in documents.collect()} == {"t\n" * 9}
 
 
+def test_oversized_documents_are_found_without_a_job(many_partitions):
+    df = many_partitions.range(100).select(F.lit("a").alias("pdf_path"), F.col("id").alias("page_no"))
+    tracker = many_partitions.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    P.without_oversized(df, below=10)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_page_count_histogram(spark):
+    counts = spark.createDataFrame([(n,) for n in (0, 1, 9, 10, 25)], "page_count int")
+    assert sorted(map(tuple, P.page_count_histogram(counts, 10).collect())) == [(0, 9, 3), (10, 19, 1), (20, 29, 1)]
+
+
 def test_documents_with_errors_are_not_relevant(spark):
-    df = spark.createDataFrame([("yang dan", None), ("yang dan", "bad")], "ocr_text string, error string")
+    df = spark.createDataFrame([("yang dan ini", None), ("yang dan ini", "bad")], "ocr_text string, error string")
     assert [row.is_relevant for row in mark_by_language(df).orderBy("error").collect()] == [True, False]

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from papyrine.functions.paths import basename
-from papyrine.sources.files import list_files, scan_files, walk_files
+from papyrine.sources.files import list_files, outer_roots, scan_files, walk_files
 from papyrine.sources.tables import QUALITY_SCHEMA, materialize, read_csv, read_stage, shared_folder, write_csv, write_stage
 
 ROWS = [
@@ -56,12 +56,31 @@ def test_walk_finds_the_same_and_empty_files(spark, tree):
     }
     (tree / "s p" / "deep%").mkdir()
     (tree / "s p" / "deep%" / "x y.Pdf").write_bytes(b"data")
-    assert f"file://{tree}/s p/deep%/x y.Pdf" in {row.path for row in walk_files(spark, f"file://{tree}/").collect()}
+    assert f"{tree}/s p/deep%/x y.Pdf" in {row.path for row in walk_files(spark, f"file://{tree}/").collect()}
     assert walk_files(spark, f"file://{tree}/sub", extensions=(".html",)).count() == 0
     both = walk_files(spark, str(tree / "sub"), str(tree / "s p"))
     assert names(both) == ["B.PDF", "x y.Pdf"]
 
 
+def test_walk_lists_each_file_once(spark, tree):
+    (tree / "sub" / "up").symlink_to(tree, target_is_directory=True)
+    (tree / "link.pdf").symlink_to(tree / "a.pdf")
+    want = ["B.PDF", "a.pdf", "c d.pdf", "e%20f.pdf", "empty.pdf", "link.pdf"]
+    assert names(walk_files(spark, str(tree), f"file:{tree}/sub/", f"file://{tree}", str(tree / "sub"))) == want
+    assert outer_roots(("/t/sub", "/t", "/tt", "file:///t/x", "s3://b/a/", "s3://b/a/c")) == ["/t", "/tt", "s3://b/a"]
+
+
+def test_listings_spell_paths_alike(spark, tree):
+    (tree / "empty.pdf").write_bytes(b"x")
+    assert set(walk_files(spark, str(tree)).select("path").collect()) == set(list_files(spark, f"file://{tree}").collect())
+
+
+def test_subset_of_an_undivided_table(spark, tmp_path):
+    write_stage(spark.createDataFrame(ROWS, QUALITY_SCHEMA), str(tmp_path / "quality"))
+    with pytest.raises(ValueError, match="not divided"):
+        read_stage(spark, str(tmp_path / "quality"), QUALITY_SCHEMA, subset_id=1)
+
+
 def test_walk_fails_without_the_root(spark, tmp_path):
     with pytest.raises(Exception, match="absent"):
         walk_files(spark, str(tmp_path / "absent"))
@@ -81,10 +100,11 @@ def test_missing_folder_and_no_files(spark, tmp_path):
 
 
 def test_csv_roundtrip(spark, tmp_path):
-    df = spark.createDataFrame(ROWS, QUALITY_SCHEMA)
-    assert write_csv(df, str(tmp_path / "csv")).rows == len(ROWS)
+    rows = [*ROWS, ("", 2, False, "")]  # empty is not missing
+    df = spark.createDataFrame(rows, QUALITY_SCHEMA)
+    assert write_csv(df, str(tmp_path / "csv")).rows == len(rows)
     got = read_csv(spark, str(tmp_path / "csv"), QUALITY_SCHEMA)
-    assert sorted(map(tuple, got.collect()), key=str) == sorted(ROWS, key=str)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
 
 
 def test_csv_of_other_writers(spark, tmp_path):
@@ -92,7 +112,7 @@ def test_csv_of_other_writers(spark, tmp_path):
         writer = csv.writer(file)
         writer.writerow(QUALITY_SCHEMA.names)
         writer.writerows(ROWS)
-    got = read_csv(spark, str(tmp_path / "quality.csv"), QUALITY_SCHEMA)
+    got = read_csv(spark, str(tmp_path / "quality.csv"), QUALITY_SCHEMA, null_marker="")
     want = [(*row[:3], row[3] and row[3].replace("\r\n", "\n")) for row in ROWS]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from papyrine.operators.hooks import extract_markdown, extract_pages
+from papyrine.operators.hooks import append_result
 from papyrine.operators.partitioning import spread
 from papyrine.operators.relevance import mark_by_classifier, relevant_only
 from papyrine.plans.stages import collate, curate_documents, extract, finish, mark_quality, split
@@ -67,23 +68,49 @@ def test_odd_results_of_user_code(spark):
     got = {(row.pdf_path, row.page_no): (row.text, row.error) for row in extract_pages(files, reader).collect()}
     assert got == {("a", 1): ("x?y", None), ("a", 2): ("7", None), ("b", 1): ("x?y", None), ("b", 2): ("7", None),
                    ("b", None): (None, "?")}
-    marked = mark_by_classifier(files.withColumn("ocr_text", F.lit("x")), lambda: lambda prompt: True)
+    marked = mark_by_classifier(files.withColumn("ocr_text", F.lit("x")), lambda: lambda prompts: [True] * len(prompts))
     assert {row.is_relevant for row in marked.collect()} == {True}
 
 
-def test_whole_files_need_small_batches(spark, tmp_path):
+def test_whole_files_on_default_settings(spark):
     files = spark.createDataFrame([("a", bytearray(b"x\fy"))], "path string, content binary")
-    reader = lambda: lambda path, content: content.decode().split("\f")
-    with pytest.raises(ValueError, match="maxRecordsPerBatch"):
-        extract_pages(files, reader, content="content")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    try:
-        got = extract_pages(files, reader, content="content").collect()
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = extract_pages(files, lambda: lambda path, content: content.decode().split("\f"), content="content").collect()
     assert [row.text for row in got] == ["x", "y"]
 
 
+def test_functions_get_lists_and_failures_keep_their_reason(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def run(values):
+            seen.add(1)
+            if len(values) > 1 and "poison" in values:
+                raise MemoryError("list")
+            return [ValueError("no") if value == "bad" else None if value == "none" else value * 2 for value in values]
+
+        return run
+
+    df = spark.createDataFrame([("a",), ("bad",), (None,), ("none",), ("b",)], "x string").coalesce(1)
+    got = {row.x: tuple(row.y) for row in append_result(df, factory, "x", "y", batch_size=3).collect()}
+    assert got == {"a": ("aa", None), "bad": (None, "no"), None: (None, None), "none": (None, None), "b": ("bb", None)}
+    assert seen.value == 2
+    nested = spark.createDataFrame([(["a", "poison", "bad"],), ([],), (None,)], "x array<string>").coalesce(1)
+    rows = [row.y for row in append_result(nested, factory, "x", "y").collect()]
+    assert [[tuple(y) for y in row] if row is not None else None for row in rows] == [
+        [("aa", None), ("poisonpoison", None), (None, "no")], [], None,
+    ]
+
+
+def test_the_classifier_judges_every_piece(spark):
+    df = spark.createDataFrame([("good " * 3_000 + "evil " * 1_500,), ("good " * 4_000 + "evil " * 500,), ("",), (None,)], "ocr_text string")
+
+    def classifier():
+        return lambda prompts: [f'{{"answer": {str("evil" not in prompt).lower()}}}' for prompt in prompts]
+
+    marked = mark_by_classifier(df, classifier, piece_chars=500)
+    assert [row.is_relevant for row in marked.collect()] == [False, True, False, False]
+
+
 def test_collation(listing, pages):
     manifest = collate(listing, pages)
     assert sorted(map(tuple, manifest.collect())) == [
@@ -111,11 +138,11 @@ def test_quality_then_extraction_then_final(pages):
 
 def test_own_classifier(spark, pages):
     def classifier():
-        def reply(prompt):
-            assert "<ocr_output>" in prompt
-            if "Judul" in prompt:
+        def reply(prompts):
+            assert all("<ocr_output>" in prompt for prompt in prompts)
+            if any("Judul" in prompt for prompt in prompts):
                 raise ConnectionError("down")
-            return '{"reasoning": "", "answer": true}'
+            return ['{"reasoning": "", "answer": true}' for _ in prompts]
 
         return reply
 
@@ -125,13 +152,13 @@ def test_own_classifier(spark, pages):
 
 def test_failed_documents_are_not_sent_to_the_classifier(spark):
     df = spark.createDataFrame([("text", None), ("Error processing x", "e")], "ocr_text string, error string")
-    marked = mark_by_classifier(df, lambda: lambda prompt: '{"answer": true}')
+    marked = mark_by_classifier(df, lambda: lambda prompts: ['{"answer": true}'] * len(prompts))
     assert [row.is_relevant for row in marked.orderBy("error").collect()] == [True, False]
     assert relevant_only(marked).count() == 1
 
 
 def test_a_filter_does_not_call_the_classifier_again(pages):
-    quality = mark_quality(pages, lambda df: mark_by_classifier(df, lambda: lambda prompt: '{"answer": true}'))
+    quality = mark_quality(pages, lambda df: mark_by_classifier(df, lambda: lambda prompts: ['{"answer": true}'] * len(prompts)))
     kept = relevant_only(quality).filter(~F.startswith("pdf_path", F.lit("/none")))
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
@@ -141,11 +168,9 @@ def test_a_filter_does_not_call_the_classifier_again(pages):
 def test_own_extractor(spark):
     def extractor():
         def run(path):
-            if "bad" in path:
-                raise ValueError(path)
-            return f"## {path}\nisi\n"
+            return ValueError(path) if "bad" in path else f"## {path}\nisi\n"
 
-        return run
+        return lambda paths: [run(path) for path in paths]
 
     df = spark.createDataFrame([("/a.pdf", 3, True), ("/bad (1).pdf", 4, True), (None, 5, True), ("/c", 3, None)],
                                "pdf_path string, page_count int, is_relevant boolean")
@@ -179,7 +204,6 @@ def test_subsets_are_processed_as_they_arrive(spark, tmp_path):
     assert {row.extracted_meaningful_text for row in done.collect()} == {"teks 0", "teks 2"}
 
 
-def test_spread_leaves_large_scans_alone(spark):
-    assert spread(spark.range(0, 100, 1, 2), 4).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 100, 1, 8)
-    assert spread(wide, 4) is wide
+def test_spread(spark):
+    rows = spark.range(0, 100, 1, 2)
+    assert spread(rows, 4).rdd.getNumPartitions() == 4 and spread(rows, None) is rows
