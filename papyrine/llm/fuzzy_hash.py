@@ -33,7 +33,7 @@ def _rolling(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
 
     `data` must begin at a head or with SEEN_BYTES - 1 bytes of context."""
     value = np.zeros(len(data), np.uint32)
-    for back, table in enumerate(_TABLES):
+    for back, table in enumerate(_TABLES[: len(data)]):
         value[back:] += table[data[: len(data) - back]]
     for after in range(SEEN_BYTES - 1):  # the first bytes of a text have seen less
         at = heads + after

@@ -72,7 +72,7 @@ def _places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     buckets = []
     for order in ORDERS:
         value = np.zeros(len(codes), np.uint32)
-        for step in range(order):
+        for step in range(min(order, len(codes))):
             value[: len(codes) - step] = value[: len(codes) - step] * np.uint32(0x01000193) + codes[step:]
         value = (value + np.uint32(order)) * np.uint32(0x9E3779B1) >> np.uint32(16)
         buckets.append(value)

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.llm.arrays import with_row_key
 from papyrine.llm.scratch import write_and_read
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -28,43 +27,47 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(WHITE_SPACE)), UPPER, LOWER)
 
 
+def _row_names(doc_id: Column, text: Column) -> list[Column]:
+    """What tells rows apart: whether they have a doc_id, that or a hash of the text, and a hash of the text."""
+    hashed = F.xxhash64(text)
+    return [doc_id.isNotNull().alias("named"), F.coalesce(doc_id, hashed).alias("row_key"), hashed.alias("text_hash")]
+
+
 def repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5) -> DataFrame:
-    """Keep bitmaps of the documents that lose lines: doc_id, row_key, text_hash and dropped.
+    """Keep bitmaps of the documents that lose lines: named, row_key, text_hash (see `_row_names`) and dropped.
 
     Lines whose key has at least `least_chars` code points and occurs in at least `least_docs` documents go from all but
     the largest doc_id that holds the key, where all of them stay. `dropped` are the runs of dropped lines, structs
     (first, last) of 0-based positions in order. Rows of one doc_id count as one document. Rows without a doc_id count
     as one document each and come before those with one, in the order of a hash of their text.
     """
-    keyed = with_row_key(docs).select(
-        F.col("doc_id").isNotNull().alias("_named"), "row_key", F.xxhash64("text").alias("text_hash"), "text"
-    )
+    keyed = docs.select(*_row_names(F.col("doc_id"), F.col("text")), "text")
     places = F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("_place", "_key")
-    hashes = keyed.select("_named", "row_key", "text_hash", places).filter(F.char_length("_key") >= least_chars)
+    hashes = keyed.select("named", "row_key", "text_hash", places).filter(F.char_length("_key") >= least_chars)
     found = write_and_read(
         hashes.select(
-            "_named", "row_key", "text_hash", "_place", F.xxhash64("_key").alias(LINE[0]), F.xxhash64(F.lit(1), "_key").alias(LINE[1])
+            "named", "row_key", "text_hash", "_place", F.xxhash64("_key").alias(LINE[0]), F.xxhash64(F.lit(1), "_key").alias(LINE[1])
         ),
         "line-hashes",
     )
-    document = F.struct("_named", "row_key")
+    document = F.struct("named", "row_key")
     holders = (
-        found.select(*LINE, "_named", "row_key", "_place")
-        .repartitionByRange(*LINE, "_named", "row_key")
-        .sortWithinPartitions(*LINE, "_named", "row_key", "_place")
-        .groupBy(*LINE, "_named", "row_key")
+        found.select(*LINE, "named", "row_key", "_place")
+        .repartitionByRange(*LINE, "named", "row_key")
+        .sortWithinPartitions(*LINE, "named", "row_key", "_place")
+        .groupBy(*LINE, "named", "row_key")
         .agg(F.first("_place").alias("_place"))
     )
     common = (
         holders.groupBy(*LINE)
-        .agg(F.count(F.lit(1)).alias("_docs"), F.max("row_key").alias("_any"), F.max(F.when(F.col("_named"), F.col("row_key"))).alias("_keeper"))
+        .agg(F.count(F.lit(1)).alias("_docs"), F.max("row_key").alias("_any"), F.max(F.when(F.col("named"), F.col("row_key"))).alias("_keeper"))
         .filter(F.col("_docs") >= least_docs)
         .select(*LINE, F.col("_keeper").isNotNull().alias("_keeper_named"), F.coalesce("_keeper", "_any").alias("_keeper"))
     )
-    kept = (F.col("_named") == F.col("_keeper_named")) & (F.col("row_key") == F.col("_keeper"))
+    kept = (F.col("named") == F.col("_keeper_named")) & (F.col("row_key") == F.col("_keeper"))
     dropped = found.join(common, LINE).filter(~kept)
     positions = F.sort_array(F.collect_set("_place"))
-    return dropped.groupBy("_named", "row_key", "text_hash").agg(_runs(positions).alias("dropped"))
+    return dropped.groupBy("named", "row_key", "text_hash").agg(_runs(positions).alias("dropped"))
 
 
 def _runs(positions: Column) -> Column:
@@ -78,30 +81,28 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int
     """All columns of `docs` with `text` less its repeated lines, n_lines (before) and n_dropped.
 
     A null or empty text is one empty line and its new text is empty. See `repeated_lines` for which lines go. Repeated
-    rows lose the same lines; a line is only counted once per doc_id. The table's other columns stay as they are, and
-    names with a leading underscore are kept free for this operator.
+    rows lose the same lines; a line is only counted once per doc_id. The other columns, whatever their names, stay as they
+    are, but for n_lines and n_dropped, which are replaced. An empty table stays empty.
     """
     bitmaps = write_and_read(repeated_lines(docs, least_chars, least_docs), "line-bitmaps")
-    columns = [name for name in docs.columns if name not in ("n_lines", "n_dropped")]
-    rows = docs.select(
-        *columns,
-        F.col("doc_id").isNotNull().alias("_named"),
-        F.coalesce("doc_id", F.xxhash64("text")).alias("_row_key"),
-        F.xxhash64("text").alias("_text_hash"),
-    )
-    marks = bitmaps.select(
-        F.col("_named"), F.col("row_key").alias("_row_key"), F.col("text_hash").alias("_text_hash"), F.col("dropped").alias("_dropped")
-    )
-    joined = rows.join(marks, ["_named", "_row_key", "_text_hash"], "left")
-    lines, runs = lines_of(F.col("text")), F.col("_dropped")
-    from_ = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(runs, i - 1)["last"] + 1)
-    upto = lambda i: F.when(i == F.size(runs), F.size("_lines")).otherwise(F.get(runs, i)["first"])
-    parts = F.transform(F.sequence(F.lit(0), F.size(runs)), lambda i: F.slice("_lines", from_(i) + 1, upto(i) - from_(i)))
+    # All columns travel in a struct, so that none can be taken for one of ours.
+    row, text = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), F.col("text")
+    rows = docs.select(row, *_row_names(F.col("doc_id"), text))
+    joined = rows.join(bitmaps, [name for name in bitmaps.columns if name != "dropped"], "left")
+    split = joined.select("row", "dropped", lines_of(F.col("row.text")).alias("lines"))
+    lines, runs = F.col("lines"), F.col("dropped")
+
+    def kept_part(i: Column) -> Column:
+        """The lines before run i, or after the last one."""
+        first = F.when(i == 0, F.lit(0)).otherwise(F.get(runs, i - 1)["last"] + 1)
+        end = F.when(i == F.size(runs), F.size(lines)).otherwise(F.get(runs, i)["first"])
+        return F.slice(lines, first + 1, end - first)
+
+    parts = F.transform(F.sequence(F.lit(0), F.size(runs)), kept_part)
     lost = F.aggregate(runs, F.lit(0), lambda n, run: n + run["last"] - run["first"] + 1)
-    split = joined.select(*columns, "_dropped", lines.alias("_lines"))
-    text = F.when(runs.isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(F.flatten(parts), "\n"))
+    kept = F.when(runs.isNull(), F.coalesce(F.col("row.text"), F.lit(""))).otherwise(F.array_join(F.flatten(parts), "\n"))
     return split.select(
-        *[text.alias(name) if name == "text" else F.col(name) for name in columns],
-        F.size("_lines").cast("long").alias("n_lines"),
+        *[kept.alias(name) if name == "text" else F.col(f"row.`{name}`") for name in docs.columns if name not in ("n_lines", "n_dropped")],
+        F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(lost, F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -332,12 +332,12 @@ def keep_one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, seed: i
     first = F.struct(F.col("doc_id").isNull().alias("_unnamed"), "doc_id", "text_hash")
     rooted = _rooted(prints.groupBy("fingerprint").agg(F.min(first).alias("_first")), distance)
     chosen = rooted.groupBy("_root").agg(F.min("_first").alias("_first")).select("_first.doc_id", "_first.text_hash")
-    chosen = chosen.select(F.coalesce("doc_id", "text_hash").alias("_key"), F.col("doc_id").isNull().alias("_unnamed"), F.col("text_hash").alias("_hash"))
+    key = ["key", "unnamed", "hash"]
+    chosen = chosen.select(F.coalesce("doc_id", "text_hash").alias("key"), F.col("doc_id").isNull().alias("unnamed"), F.col("text_hash").alias("hash"))
     rows = docs.select(
-        "*",
-        F.coalesce("doc_id", _text_hash()).alias("_key"),
-        F.col("doc_id").isNull().alias("_unnamed"),
-        _text_hash().alias("_hash"),
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),  # no column of theirs is taken for one of ours
+        F.coalesce("doc_id", _text_hash()).alias("key"),
+        F.col("doc_id").isNull().alias("unnamed"),
+        _text_hash().alias("hash"),
     )
-    key = ["_key", "_unnamed", "_hash"]
-    return rows.join(chosen, key, "left_semi").dropDuplicates(key).select(docs.columns)
+    return rows.join(chosen, key, "left_semi").dropDuplicates(key).select("row.*")
