@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20  # texts worked on at once in a task; a longer text is a slice by itself
+SLICE_BYTES = 1 << 20  # texts worked on at once in a task; a longer text is a slice by itself
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

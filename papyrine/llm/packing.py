@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrine.llm.arrays import flat, text_slices
-from papyrine.llm.tokens import TokenEncoder, loaded, with_end
+from papyrine.llm.tokens import SLICE_BYTES, TokenEncoder, loaded, with_end
 
 BLOCK_TOKENS = 4_000_000
 _TASK_BITS = 40  # sequence ids count upwards below this bit, tasks above it
@@ -161,7 +161,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], encoder: TokenEncoder, end_id: in
         lengths = np.concatenate([np.diff(begins) for _, _, begins in held])
         return pa.concat_arrays([x for x, _, _ in held]), np.concatenate([x for _, x, _ in held]), np.append(0, np.cumsum(lengths))
 
-    for batch in text_slices(batches):
+    for batch in text_slices(batches, size=SLICE_BYTES):
         ids, begins = with_end(*encoder.encode(*flat(batch.column("text"))), end_id)
         held.append((batch.column("doc_id"), ids, begins))
         size += len(ids)

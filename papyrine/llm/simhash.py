@@ -28,15 +28,17 @@ from papyrine.llm.scratch import write_and_read
 
 BITS = 64
 PARTS = 4
+SHINGLES = 1 << 16  # hashes of a task at once
 BLOCK = 800  # fingerprints of a bucket that are compared at once
 LARGE_BUCKET = 16 * BLOCK
 ROW_COST = 20  # sending a row to a bucket, in comparisons
 
 
-def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """XXH64 of each run of `width` words, A-Z in lower case, joined by single spaces, and where each text's begin.
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+    """Where each text's hashes begin, and the hashes of all texts, SHINGLES at a time.
 
-    A text of fewer words gives one hash of all of them, a text without words none."""
+    They are XXH64 of each run of `width` words, A-Z in lower case, joined by single spaces. A text of fewer words gives one
+    hash of all of them, a text without words none."""
     data = data + ((data >= 65) & (data <= 90)) * np.uint8(32)
     space = is_space(data)
     data[space] = 32
@@ -49,22 +51,27 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int, seed: int)
     begins = np.append(0, np.cumsum(shingles))
     first = np.repeat(before[:-1] - begins[:-1], shingles) + np.arange(begins[-1])
     last = np.minimum(first + width, np.repeat(before[1:], shingles)) - 1
-    text, digest = data.tobytes(), xxhash.xxh64_intdigest
-    hashes = [digest(text[a:b], seed) for a, b in zip(starts[first].tolist(), ends[last].tolist(), strict=True)]
-    return np.array(hashes, np.uint64), begins
+
+    def blocks() -> Iterator[np.ndarray]:
+        text, digest = data.tobytes(), xxhash.xxh64_intdigest
+        for i in range(0, len(first), SHINGLES):
+            spans = zip(starts[first[i : i + SHINGLES]].tolist(), ends[last[i : i + SHINGLES]].tolist(), strict=True)
+            yield np.array([digest(text[a:b], seed) for a, b in spans], np.uint64)
+
+    return begins, blocks()
 
 
 def fingerprints(data: np.ndarray, offsets: np.ndarray, width: int = 3, seed: int = 42) -> np.ndarray:
     """A bit is 1 where it is set in over half of a text's shingle hashes; without words all are 0."""
-    hashes, begins = shingle_hashes(data, offsets, width, seed)
-    counts = np.diff(begins)
-    result = np.zeros((len(counts), BITS), np.uint8)
-    some = counts > 0
-    if some.any():
+    begins, blocks = shingle_hashes(data, offsets, width, seed)
+    ones = np.zeros((len(begins) - 1, BITS), np.int64)
+    for number, hashes in enumerate(blocks):
+        first = number * SHINGLES
+        heads = np.append(first, begins[(begins > first) & (begins < first + len(hashes))])
+        heads = np.unique(heads)
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, begins[:-1][some], axis=0, dtype=np.int64)
-        result[some] = 2 * ones > counts[some, None]
-    return np.packbits(result, axis=1, bitorder="little").view(np.uint64).reshape(-1)
+        ones[np.searchsorted(begins, heads, side="right") - 1] += np.add.reduceat(bits, heads - first, axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > np.diff(begins)[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
 def _text_hash() -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from papyrine.llm.arrays import flat, text_slices
-from papyrine.llm.tokens import loaded, with_end
+from papyrine.llm.tokens import SLICE_BYTES, loaded, with_end
 
 CHUNK_IDS = 1 << 17
 BITS, BYTES = "bits", "bytes"
@@ -103,7 +103,7 @@ def write_token_files(
             values = [shard, chunk, chunk * chunk_ids, len(ids), ends, payload, documents]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, out, strict=True)], schema=out)
 
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, size=SLICE_BYTES):
             out = out or _chunk_type(batch.schema.field("doc_id").type)
             ids, begins = with_end(*encoder.encode(*flat(batch.column("text"))), end_id)
             names = batch.column("doc_id").to_pylist()

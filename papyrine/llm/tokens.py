@@ -13,6 +13,7 @@ import numpy as np
 
 from papyrine.llm.arrays import distinct, is_space, ragged
 
+SLICE_BYTES = 3 << 20  # larger slices hold a piece more often
 CACHED_PIECES = 600_000  # kept by a worker process, some 100 MB; then the cache starts anew
 _BYTES = np.arange(256)
 _ALNUM = ((_BYTES >= 48) & (_BYTES <= 57)) | ((_BYTES >= 65) & (_BYTES <= 90)) | ((_BYTES >= 97) & (_BYTES <= 122))
