@@ -12,8 +12,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as registered  # noqa: E402
 
+from papyrine import workload  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
-HOOKS = {"extract_pages_hook", "classify_hook", "extract_markdown_hook"}
+HOOKS = {"extract_pages_hook", "classify_hook", "extract_markdown_hook", "extract_pages_binary"}
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +36,7 @@ def comparable(rows, names):
     return sorted((tuple(value(row[i]) for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(workload.queries()))
 def test_query_equals_its_sql(spark, oracle, name):
     got = registered.queries()[name](spark, SF_DIR)
     want = oracle.sql(registered.oracle_sql()[name])
@@ -43,7 +45,9 @@ def test_query_equals_its_sql(spark, oracle, name):
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(workload.queries()) == set(workload.oracle_sql())
+    assert workload.queries().keys() <= registered.queries().keys()
+    assert registered.oracle_sql().keys() <= registered.queries().keys()
 
 
 def test_entry(spark):
@@ -56,7 +60,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(workload.queries()))
 def test_plan_stays_distributed(spark, name):
     plan = plan_of(registered.queries()[name](spark, SF_DIR))
     if name not in HOOKS:
