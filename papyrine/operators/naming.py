@@ -37,10 +37,6 @@ def collision_safe_names(files: DataFrame, path: str = "path", name: str = "name
     copied = ranked.filter("_copy = 2").select("_base")
     contested = materialize(taken.select("_base").distinct().join(copied, "_base", "left_semi"), "contested")
     columns = files.columns
-    if contested.isEmpty():
-        numbered = numbered_name(F.col("_base"), F.col("_copy") - 1)
-        return ranked.select(*columns, F.when(F.col("_copy") == 1, F.col("_base")).otherwise(numbered).alias(name))
-
     taken = rank_in_groups(taken.join(contested, "_base", "left_semi"), "_base", ["_number"], "_place_taken")
     copies = ranked.filter("_copy > 1").withColumn("_value", F.col("_copy") - 1)
     plain = copies.join(contested, "_base", "left_anti").withColumn("_number", F.col("_value"))

@@ -55,21 +55,12 @@ def rank_in_groups(df: DataFrame, group_by: str, order_by: Sequence[str], name:
     pieces before it are added. `group_by` must not be null.
     """
     placed = _sorted_and_placed(df, [group_by, *order_by])
-    # Only the last group of one partition can go on in the next: at most one group per partition.
-    last_places = placed.groupBy(PARTITION).agg(F.max(PLACE).alias(PLACE))
-    last_groups = placed.join(F.broadcast(last_places), [PARTITION, PLACE], "left_semi").select(group_by)
-    first_groups = placed.filter(F.col(PLACE) == 0).select(group_by)
-    divided = last_groups.intersect(first_groups)
-    pieces = (
-        placed.join(F.broadcast(divided), group_by, "left_semi")
-        .groupBy(PARTITION, group_by)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
+    # A group's rows follow each other within a partition, so a row's rank there is its place less that of the first.
+    pieces = placed.groupBy(PARTITION, group_by).agg(F.min(PLACE).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(group_by).orderBy(PARTITION).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(PARTITION, group_by, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    piece = Window.partitionBy(PARTITION, group_by).orderBy(PLACE)
-    ranked = placed.withColumn("_rank", F.row_number().over(piece)).join(
-        F.broadcast(offsets), [PARTITION, group_by], "left"
+    shifts = pieces.select(
+        PARTITION,
+        group_by,
+        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    rank = F.col("_rank") + F.coalesce("_before", F.lit(0).cast("long"))
-    return ranked.select(*df.columns, rank.alias(name))
+    return placed.join(shifts, [PARTITION, group_by]).select(*df.columns, (F.col(PLACE) + F.col("_shift")).alias(name))
