@@ -132,7 +132,7 @@ ORACLES = {
           FROM {_WORDS} w LEFT JOIN listed l ON l.word = w.word, total, known GROUP BY doc_id)
         SELECT d.doc_id, round(score, 6) AS score FROM documents d LEFT JOIN scored s ON s.doc_id = d.doc_id""",
     "html_main_text": f"SELECT page_id, {_oracle_html('html')} AS text FROM pages",
-    "extraction_by_subset": f"""{_EXTRACTED} FROM (SELECT *, row_number() OVER (ORDER BY pdf_path) - 1 AS place FROM ({_QUALITY}))
+    "extraction_by_subset": f"""{_EXTRACTED}, CAST({SUBSET} AS BIGINT) AS subset_id FROM (SELECT *, row_number() OVER (ORDER BY pdf_path) - 1 AS place FROM ({_QUALITY}))
         WHERE is_relevant AND place // {SUBSET_SIZE} + 1 = {SUBSET}""",
     "process_arrivals": f"{_EXTRACTED} FROM ({_QUALITY}) WHERE is_relevant",
     "rows_written": """SELECT 'documents' AS stage, count(*) AS total_rows FROM documents
