@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from papyrine.functions.cleaning import Rule, apply_rule, clean_text, rules
-from papyrine.workload.inputs import MARKED_TEXT, Query, table
+from papyrine.workload.inputs import MARKED_TEXT, Query, dealt, table
 
 # The rules in the oracle's dialect, in order: name -> (pattern, replacement, flags).
 ORACLE_RULES = {
@@ -36,7 +36,7 @@ def oracle_clean(text: str) -> str:
 
 
 def _marked(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.expr(MARKED_TEXT).alias("text"))
+    return dealt(table(spark, sf_dir, "documents")).select("doc_id", F.expr(MARKED_TEXT).alias("text"))
 
 
 def _rule_query(rule: Rule) -> Query:

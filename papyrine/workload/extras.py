@@ -16,7 +16,7 @@ from papyrine.sources.files import walk_files
 from papyrine.sources.tables import EXTRACTION_SCHEMA, QUALITY_SCHEMA, new_folder, read_stage, write_stage
 from papyrine.streaming.arrivals import process_arrivals
 from papyrine.workload.cleaning import oracle_clean
-from papyrine.workload.inputs import ID, rows_of, table
+from papyrine.workload.inputs import ID, dealt, rows_of, table
 
 WORDS = 2_000
 SUBSET, SUBSET_SIZE = 2, 300
@@ -34,7 +34,7 @@ def score_quality(spark, sf_dir):
 
 
 def page_texts(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", html_main_text(F.col("html")).alias("text"))
+    return dealt(table(spark, sf_dir, "pages")).select("page_id", html_main_text(F.col("html")).alias("text"))
 
 
 _QUALITY = f"""SELECT '/scrape/' || {ID} || '.pdf' AS pdf_path, CAST(3 AS INT) AS page_count, doc_id % 3 <> 0 AS is_relevant,

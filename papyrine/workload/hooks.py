@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from papyrine.operators.hooks import extract_markdown, extract_pages
 from papyrine.operators.relevance import mark_by_classifier
-from papyrine.workload.inputs import ID, rows_of, table
+from papyrine.workload.inputs import ID, dealt, rows_of, table
 
 CLASSIFIED_CHARS = 700
 
@@ -26,7 +26,7 @@ def pages_hook(spark, sf_dir):
 
         return read
 
-    pages = extract_pages(rows_of(spark, sf_dir, _FILES), line_reader, content="text")
+    pages = extract_pages(dealt(rows_of(spark, sf_dir, _FILES)), line_reader, content="text")
     return pages.withColumn("page_no", F.coalesce("page_no", F.lit(0)))
 
 
@@ -46,8 +46,8 @@ def classifier_hook(spark, sf_dir):
 
         return replies
 
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = mark_by_classifier(documents, word_classifier, "English", "text", CLASSIFIED_CHARS, 0.6, template="{text} {language}")
+    documents = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    marked = mark_by_classifier(documents, word_classifier, "English", "text", CLASSIFIED_CHARS, 0.5, template="{text} {language}")
     return marked.select("doc_id", "is_relevant")
 
 
@@ -78,8 +78,8 @@ ORACLES = {
         UNION ALL SELECT path, 0, NULL, CASE WHEN path IS NULL THEN 'Error: PDF path is None' ELSE 'too short' END
         FROM files WHERE path IS NULL OR length(text) < 300""",
     "classify_hook": f"""SELECT doc_id, CASE WHEN length(any_value(text)) = 0 THEN false
-          ELSE sum(CASE WHEN contains(piece, ' the ') AND NOT contains(piece, ' con ') THEN length(piece) ELSE 0 END)
-            >= 0.6 * sum(length(piece)) END AS is_relevant
+          ELSE sum(CASE WHEN contains(asked, ' the ') AND NOT contains(asked, ' con ') THEN length(piece) ELSE 0 END)
+            >= 0.5 * sum(length(piece)) END AS is_relevant
         FROM (SELECT doc_id, text, substr(text, 1 + i * {CLASSIFIED_CHARS}, {CLASSIFIED_CHARS}) || ' English' AS asked,
             substr(text, 1 + i * {CLASSIFIED_CHARS}, {CLASSIFIED_CHARS}) AS piece
           FROM (SELECT *, unnest(range(greatest((length(text) + {CLASSIFIED_CHARS} - 1) // {CLASSIFIED_CHARS}, 1))) AS i FROM documents))

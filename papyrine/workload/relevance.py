@@ -7,23 +7,23 @@ from pyspark.sql import functions as F
 from papyrine.functions.language import FUNCTION_WORDS, WINDOW, detect_language, is_mainly_in, language_share
 from papyrine.functions.replies import PROMPT_TEMPLATE, build_prompt, extract_tagged, parse_reply
 from papyrine.operators.relevance import relevant_only
-from papyrine.workload.inputs import MIXED_TEXT, REPLIES, rows_of, table
+from papyrine.workload.inputs import MIXED_TEXT, REPLIES, dealt, rows_of, table
 
 TARGET = "en"  # the tables have no Indonesian
 
 
 def language_relevance(spark, sf_dir):
-    scored = rows_of(spark, sf_dir, MIXED_TEXT).select("doc_id", language_share(F.col("text"), TARGET).alias("share"))
+    scored = dealt(rows_of(spark, sf_dir, MIXED_TEXT)).select("doc_id", language_share(F.col("text"), TARGET).alias("share"))
     return scored.withColumn("is_relevant", F.coalesce(F.col("share") >= 0.8, F.lit(False)))
 
 
 def keep_relevant(spark, sf_dir):
-    documents = rows_of(spark, sf_dir, MIXED_TEXT)
+    documents = dealt(rows_of(spark, sf_dir, MIXED_TEXT))
     return relevant_only(documents.withColumn("is_relevant", is_mainly_in(F.col("text"), TARGET))).select("doc_id")
 
 
 def detect_languages(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", detect_language(F.col("text")).alias("language"))
+    return dealt(table(spark, sf_dir, "documents")).select("doc_id", detect_language(F.col("text")).alias("language"))
 
 
 def make_prompts(spark, sf_dir):

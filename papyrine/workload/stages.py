@@ -10,7 +10,7 @@ from papyrine.operators.relevance import mark_by_language
 from papyrine.plans.stages import collate, curate_documents, extract, finish, mark_quality
 from papyrine.workload.cleaning import oracle_clean
 from papyrine.workload.files import oracle_names
-from papyrine.workload.inputs import EXTRACTION, FILE_PAGES, FILE_PATHS, rows_of, table
+from papyrine.workload.inputs import EXTRACTION, FILE_PAGES, FILE_PATHS, dealt, rows_of, table
 from papyrine.workload.relevance import TARGET, oracle_shares
 
 
@@ -30,7 +30,7 @@ def extraction_stage(spark, sf_dir):
 
 
 def final_projection(spark, sf_dir):
-    return finish(rows_of(spark, sf_dir, EXTRACTION), "/mnt/scrape/")
+    return finish(dealt(rows_of(spark, sf_dir, EXTRACTION)), "/mnt/scrape/")
 
 
 def _file_page_text(spark, sf_dir):
