@@ -114,6 +114,17 @@ class Machines:
             result[:, second] += 1 - say
         return result / result.sum(axis=1, keepdims=True) if len(self.pairs) > 1 else result
 
+    def certainties(self, means: np.ndarray) -> np.ndarray:
+        """The least that any of a label's machines says for it: its probability against its closest rival, 1 if it has none.
+
+        Shares of all votes shrink with the number of labels, this does not."""
+        result = np.ones((len(means), len(self.labels)))
+        for machine, (first, second) in enumerate(self.pairs):
+            say = 1 / (1 + np.exp(-np.clip(self.slope[machine] * (means[:, machine] + self.bias[machine]), -30, 30)))
+            result[:, first] = np.minimum(result[:, first], say)
+            result[:, second] = np.minimum(result[:, second], 1 - say)
+        return result
+
 
 def _train_pair(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float, float]:
     """Weights, bias and slope of one machine: dual coordinate descent for the L2-regularised hinge loss, then a logistic
@@ -158,11 +169,14 @@ class LanguageModel:
     languages: dict[str, Machines]
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str | None], np.ndarray]:
-        """The language of each text and its probability; UNDETERMINED and 0 for texts without a letter."""
+        """The language of each text and how certain it is; UNDETERMINED and 0 for texts without a letter.
+
+        The certainty is that of the family times that of the language within it, each against the closest rival."""
         groups = [self.families, *self.languages.values()]
         means = _mean_weights(data, offsets, np.concatenate([g.weights for g in groups], axis=1).astype(np.float32))
         cuts = np.cumsum([0, *(g.weights.shape[1] for g in groups)])
         parts = [g.probabilities(means[:, a:b]) for g, a, b in zip(groups, cuts[:-1], cuts[1:], strict=True)]
+        sure = [g.certainties(means[:, a:b]) for g, a, b in zip(groups, cuts[:-1], cuts[1:], strict=True)]
         top = parts[0].argmax(axis=1)
         names, scores = [], np.zeros(len(means))
         lettered = _has_letter(data, offsets)
@@ -170,9 +184,10 @@ class LanguageModel:
             if not lettered[i]:
                 names.append(UNDETERMINED)
                 continue
-            inner = parts[1 + list(self.languages).index(self.families.labels[family])][i]
-            names.append(self.languages[self.families.labels[family]].labels[int(inner.argmax())])
-            scores[i] = parts[0][i, family] * inner.max()
+            group = 1 + list(self.languages).index(self.families.labels[family])
+            inner = int(parts[group][i].argmax())
+            names.append(self.languages[self.families.labels[family]].labels[inner])
+            scores[i] = sure[0][i, family] * sure[group][i, inner]
         return names, scores
 
 
