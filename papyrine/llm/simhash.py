@@ -74,7 +74,7 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, width: int = 3, seed: in
     return np.packbits(2 * ones > np.diff(begins)[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
-def _text_hash() -> Column:
+def text_hash() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
@@ -88,7 +88,7 @@ def add_fingerprint(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFram
             columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(prints)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "fingerprint"])
 
-    hashed = docs.select("doc_id", _text_hash().alias("text_hash"), "text")
+    hashed = docs.select("doc_id", text_hash().alias("text_hash"), "text")
     return hashed.mapInArrow(run, f"doc_id {kind}, text_hash long, fingerprint long")
 
 
@@ -339,12 +339,17 @@ def keep_one_of_each(docs: DataFrame, width: int = 3, distance: int = 3, seed: i
     first = F.struct(F.col("doc_id").isNull().alias("_unnamed"), "doc_id", "text_hash")
     rooted = _rooted(prints.groupBy("fingerprint").agg(F.min(first).alias("_first")), distance)
     chosen = rooted.groupBy("_root").agg(F.min("_first").alias("_first")).select("_first.doc_id", "_first.text_hash")
+    return rows_chosen(docs, chosen)
+
+
+def rows_chosen(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of `docs` that `chosen` names by doc_id (null: none) and text_hash; of equal rows one."""
     key = ["key", "unnamed", "hash"]
     chosen = chosen.select(F.coalesce("doc_id", "text_hash").alias("key"), F.col("doc_id").isNull().alias("unnamed"), F.col("text_hash").alias("hash"))
     rows = docs.select(
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),  # no column of theirs is taken for one of ours
-        F.coalesce("doc_id", _text_hash()).alias("key"),
+        F.coalesce("doc_id", text_hash()).alias("key"),
         F.col("doc_id").isNull().alias("unnamed"),
-        _text_hash().alias("hash"),
+        text_hash().alias("hash"),
     )
     return rows.join(chosen, key, "left_semi").dropDuplicates(key).select("row.*")
