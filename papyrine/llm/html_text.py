@@ -20,7 +20,8 @@ from papyrine.llm.arrays import text_slices
 
 # Element names of HTML and words that sites put into class, id and role.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-UNSEEN = "script style noscript template svg math iframe object canvas head title audio video map".split()
+RAW = "script style iframe title".split()  # hold no elements; without an end they reach to the end of the page
+UNSEEN = "noscript template svg math object canvas audio video map".split()  # without an end only their tag is left out
 CONTAINERS = set("article aside body button dialog div dl fieldset figure footer form header label legend main menu nav ol section select table ul".split())
 SIDE_ELEMENTS = set("aside button dialog fieldset footer form label legend menu nav select".split())
 SIDE_WORDS = set(
@@ -30,13 +31,15 @@ SIDE_WORDS = set(
     related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription teaser
     toolbar widget""".split()
 )
+STATE_WORDS = set("has with without no is enabled disabled".split())  # `has-sidebar` names what an element has, not what it is
 MAIN_WORDS = set("article articlebody content entry main post story".split())
 
 _QUOTED = r"""(?:"[^"<]*"|'[^'<]*'|[^>"'<])*+"""
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<unseen>{'|'.join(UNSEEN)})\b{_QUOTED}>.*?(?:</(?P=unseen)\s*>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<rest>{_QUOTED}>|[^>]*(?:>|\Z))|<[!?/][^>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})\b{_QUOTED}>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][\w:-]*)(?P<rest>{_QUOTED}>|[^>]*(?:>|\Z))|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+_UNSEEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})\b{_QUOTED}>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<name>{'|'.join(UNSEEN)})\b{_QUOTED}>", re.S | re.I)
 _NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""\shidden(?=[\s=>])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
@@ -96,17 +99,43 @@ class Block:
 @dataclass
 class _Open:
     name: str
-    side: bool
+    side: bool  # whatever is in it
+    named: bool  # by its name; an article in it is none the less one
     main: bool
+    frees: bool
 
 
-def _kind(name: str, rest: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element holds what stands beside the article, and whether it is the article."""
-    named = {w for found in _NAMED.findall(rest) for w in re.findall("[a-z]+", "".join(found).lower())}
+def _kind(name: str, rest: str, inside: bool) -> tuple[bool, bool, bool, bool]:
+    """Whether an element holds what stands beside the article, whether only its name says so, whether it is the article,
+    and whether that counts more than the names of what it stands in."""
+    tokens = [set(re.findall("[a-z]+", token)) for found in _NAMED.findall(rest) for token in "".join(found).lower().split()]
+    named = {word for token in tokens if not token & STATE_WORDS for word in token}
     main = name in ("article", "main") or bool(named & {"articlebody"})
-    header = (name == "header" or "header" in named) and not inside and not named & MAIN_WORDS
-    side = name in SIDE_ELEMENTS or header or bool(named & SIDE_WORDS and name not in ("article", "main", "body"))
-    return side or bool(_HIDDEN.search(rest)), main
+    first = not inside and not named & MAIN_WORDS
+    side = (name in SIDE_ELEMENTS and name != "form") or (name == "header" and first) or bool(_HIDDEN.search(rest))
+    by_name = name == "form" or ("header" in named and first) or bool(named & SIDE_WORDS and name not in ("article", "main", "body"))
+    return side, by_name, main, name in ("article", "main") and not inside and not named & SIDE_WORDS
+
+
+def _beside(stack: list[_Open]) -> bool:
+    named = False
+    for x in stack:
+        named = x.named or (named and not x.frees)
+    return named or any(x.side for x in stack)
+
+
+def _unseen(page: str) -> dict[int, int]:
+    """Where elements of UNSEEN begin and end, of those that have an end."""
+    opened: dict[str, list[int]] = {}
+    found = {}
+    for tag in _UNSEEN.finditer(page):
+        if tag["name"]:
+            places = opened.setdefault(tag["name"].lower(), [])
+            if not tag["end"]:
+                places.append(tag.start())
+            elif places:
+                found[places.pop()] = tag.end()
+    return found
 
 
 def blocks(page: str) -> list[Block]:
@@ -116,7 +145,7 @@ def blocks(page: str) -> list[Block]:
     def finish(heading: bool = False) -> Block:
         if current.text:
             found.append(current)
-        return Block(side=any(x.side for x in stack), inside=any(x.main for x in stack), heading=heading)
+        return Block(side=_beside(stack), inside=any(x.main for x in stack), heading=heading)
 
     def add(text: str) -> None:
         if text:
@@ -124,11 +153,14 @@ def blocks(page: str) -> list[Block]:
             if in_link:
                 current.linked.append(text)
 
+    unseen = _unseen(page)
     for tag in _TAG.finditer(page):
+        if tag.start() < place:  # within an element that is not seen
+            continue
         add(page[place : tag.start()])
-        place = tag.end()
+        place = unseen.get(tag.start(), tag.end())
         name = (tag["name"] or "").lower()
-        if not name:
+        if not name or name in UNSEEN:
             continue
         if name == "a":
             in_link = not tag["end"]
