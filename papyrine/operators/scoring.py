@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-VOCABULARY = 50_000
 
+def unigram_model(df: DataFrame, text: str = "ocr_text", vocabulary: int | None = None) -> DataFrame:
+    """All words with their log probability, and one row without a word for those that do not occur.
 
-def unigram_model(df: DataFrame, text: str = "ocr_text", vocabulary: int = VOCABULARY) -> DataFrame:
-    """Words with their log probability, and one row without a word for all others: at most `vocabulary` + 1 rows.
-
-    The most frequent words are listed (ties: in their order), and the others share what is left, each by an equal part.
+    With a `vocabulary`, so many of the most frequent words are listed (ties: in their order), and the others share what is
+    left, each by an equal part.
     """
     words = df.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    listed = counts.orderBy(F.desc("n"), "word").limit(vocabulary)
+    listed = counts if vocabulary is None else counts.orderBy(F.desc("n"), "word").limit(vocabulary)
     total = counts.agg(F.sum("n")).scalar()
     each = listed.select("word", F.ln(F.col("n") / total).alias("log_p"))
     kinds = counts.agg(F.count(F.lit(1))).scalar()
@@ -27,12 +26,13 @@ def unigram_model(df: DataFrame, text: str = "ocr_text", vocabulary: int = VOCAB
 def quality_score(df: DataFrame, model: DataFrame, key: str = "pdf_path", text: str = "ocr_text") -> DataFrame:
     """key and `score`, the mean log probability of a document's words under `unigram_model`; null without a word.
 
-    The model has a bounded number of rows and goes to every task. Words are counted per document before anything moves.
+    Words are counted per document before anything moves. A model of all words grows with the collection, so the join is
+    left to Spark: small models are broadcast, and adaptive execution splits the rows of common words.
     """
     words = F.explode_outer(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)))
     counted = df.select(key, words.alias("word")).groupBy(key, "word").agg(F.count("word").alias("n"))
     known = model.filter("word IS NOT NULL")
     rest = model.filter("word IS NULL").agg(F.max("log_p")).scalar()
-    scored = counted.join(F.broadcast(known), "word", "left")
+    scored = counted.join(known, "word", "left")
     logs = F.sum(F.col("n") * F.coalesce("log_p", rest))
     return scored.groupBy(key).agg(F.try_divide(logs, F.sum("n")).alias("score"))

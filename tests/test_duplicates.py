@@ -49,3 +49,15 @@ def test_broken_pages_take_linear_time(spark):
     assert df.select(F.length(html_main_text(F.col("html")))).count() == 4
     df.agg(F.sum(F.length(html_main_text(F.col("html"))))).collect()
     assert time.perf_counter() - start < 15
+
+
+def test_scores_tell_all_words_apart_by_default(spark):
+    rare = spark.range(50_010).select((F.col("id") + 10).alias("id"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij").alias("body"))
+    common = spark.createDataFrame([(1, "often " * 100), (2, "seldom " * 2)], "id long, body string")
+    df = rare.union(common)
+    model = unigram_model(df, "body")
+    assert model.count() == 50_013
+    got = {row.id: row.score for row in quality_score(df, model, "id", "body").collect()}
+    total = 50_010 + 102
+    want = {1: 100 / total, 2: 2 / total, 10: 1 / total, 50_019: 1 / total}
+    assert all(abs(got[i] - math.log(p)) < 1e-9 for i, p in want.items())
