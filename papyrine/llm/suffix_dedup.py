@@ -156,6 +156,16 @@ def _context_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
     return result
 
 
+def _held(text: bytes, rows: list[dict], length: int) -> list[dict]:
+    """Those of the wanted contexts that this text holds; texts may share a row_key."""
+    starts = np.array([row["start"] for row in rows], np.int64)
+    ends = starts + [row["windows"] + length - 1 for row in rows]
+    own = ends <= len(text)
+    if own.any():
+        own[own] = _context_hashes(np.frombuffer(text, np.uint8), starts[own], ends[own]) == np.array([row["context"] for row in rows])[own]
+    return [row for row, held in zip(rows, own, strict=True) if held]
+
+
 def longest_previous_factors(suffixes: list[bytes]) -> tuple[list[int], list[int]]:
     """For suffixes in order of position: the longest prefix each shares with an earlier one, and with a later one.
 
@@ -323,7 +333,8 @@ def _settle(keyed: DataFrame, placed: DataFrame, length: int) -> tuple[DataFrame
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             for text, key, wanted in zip(*(batch.column(x) for x in ("text", "row_key", "wanted")), strict=True):
-                text, rows = (text.as_py() or "").encode(), wanted.as_py()
+                text = (text.as_py() or "").encode()
+                rows = _held(text, wanted.as_py(), length)
                 cut = [text[row["start"] : row["start"] + row["windows"] + length - 1] for row in rows]
                 columns = [[row[x] for row in rows] for x in ("anchor", "context", "start", "windows")]
                 arrays = [pa.array(x, t) for x, t in zip(columns, [*[pa.int64()] * 3, pa.int16()], strict=True)]
