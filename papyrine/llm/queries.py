@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.llm import decontaminate, fuzzy_hash, html_text, language_id, line_dedup, packing, simhash, suffix_dedup, token_files, toxicity
+from papyrine.llm import decontaminate, fuzzy_hash, hard_negatives, html_text, language_id, line_dedup, packing, sharding, simhash, suffix_dedup
+from papyrine.llm import token_files, toxicity, whitening
 from papyrine.sources.tables import new_folder
 
 
@@ -65,6 +66,21 @@ def op10_fuzzy_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_hash.compare_with_edit(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))  # null where it exceeds a long
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,6 +104,28 @@ FROM (SELECT l.*, coalesce(l.doc_id <> c.keeper, false) AS gone FROM lines l LEF
 GROUP BY doc_id
 """
 
+# Scores of floats that hold whole numbers are exact below 2^53.
+HARD_NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(CAST(c AS DOUBLE) * 256) FOR c IN embedding] AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, CAST(list_inner_product(a.x, r.x) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT n.anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, id AS negative_id, positive_score,
+  score AS negative_score
+FROM pairs n JOIN positives p ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+WINDOW best AS (PARTITION BY n.anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 10
+"""
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_toxicity": op2_toxicity,
@@ -99,6 +137,9 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_token_files": op9_token_files,
     "op10_fuzzy_hash": op10_fuzzy_hash,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
+    "op13_sharding": op13_sharding,
     "pipeline": pipeline,
 }
-ORACLES = {"op7_line_dedup": LINE_DEDUP_SQL}
+ORACLES = {"op7_line_dedup": LINE_DEDUP_SQL, "op11_hard_negatives": HARD_NEGATIVES_SQL}
