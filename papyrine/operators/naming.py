@@ -13,7 +13,7 @@ NUMBERED_STEM = r"(?s)\A(\.*[^.].*)_([1-9][0-9]{0,17})\z"  # longer numbers fit
 
 
 def collision_safe_names(files: DataFrame, path: str = "path", name: str = "name") -> DataFrame:
-    """Add a file name that no other row has.
+    """Add a file name that no other row has; rows without a path have none.
 
     The first path of each base name keeps it. The others are numbered `stem_1.ext`, `stem_2.ext`, ... in path order,
     passing over numbers that some file already bears as its own name. Numbered names of different base names never meet:
@@ -23,6 +23,8 @@ def collision_safe_names(files: DataFrame, path: str = "path", name: str = "name
     The number is found by ranking. Give the n-th copy the value n, and the i-th taken number t the value t - i, which is
     how many free numbers lie below it. Sorted by value, copies first, a copy's rank is its number.
     """
+    pathless = files.filter(F.col(path).isNull()).withColumn(name, F.lit(None).cast("string"))
+    files = files.filter(F.col(path).isNotNull())
     ranked = rank_in_groups(files.withColumn("_base", basename(F.col(path))), "_base", [path], "_copy")
     ranked = materialize(ranked, "ranked")  # read several times below
     heads = ranked.filter("_copy = 1").select("_base")
@@ -54,6 +56,7 @@ def collision_safe_names(files: DataFrame, path: str = "path", name: str = "name
         .select(*columns, F.col("_base").alias(name))
         .unionByName(plain.select(*columns, numbered_name(F.col("_base"), F.col("_number")).alias(name)))
         .unionByName(shifted.select(*columns, numbered_name(F.col("_base"), F.col("_number")).alias(name)))
+        .unionByName(pathless)
     )
 
 

@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from papyrine.sources.tables import materialize
+
+# Fixed value: words are runs of letters, in lower case.
+WORD = r"\p{L}+"
+
 
 def unigram_model(df: DataFrame, text: str = "ocr_text", vocabulary: int | None = None) -> DataFrame:
     """All words with their log probability, and one row without a word for those that do not occur.
 
     With a `vocabulary`, so many of the most frequent words are listed (ties: in their order), and the others share what is
-    left, each by an equal part.
+    left, each by an equal part. Words are counted once; the collection is not read again.
     """
-    words = df.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = df.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))).alias("word"))
+    counts = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
     listed = counts if vocabulary is None else counts.orderBy(F.desc("n"), "word").limit(vocabulary)
-    total = counts.agg(F.sum("n")).scalar()
+    total, kinds = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    if not total:
+        return listed.select("word", F.lit(None).cast("double").alias("log_p"))
     each = listed.select("word", F.ln(F.col("n") / total).alias("log_p"))
-    kinds = counts.agg(F.count(F.lit(1))).scalar()
     share = (total - F.sum("n") + 1) / (total * (kinds - F.count(F.lit(1)) + 1))
     rest = listed.agg(share.alias("share")).select(F.lit(None).cast("string").alias("word"), F.ln("share").alias("log_p"))
     return each.unionByName(rest)
@@ -29,7 +35,7 @@ def quality_score(df: DataFrame, model: DataFrame, key: str = "pdf_path", text:
     Words are counted per document before anything moves. A model of all words grows with the collection, so the join is
     left to Spark: small models are broadcast, and adaptive execution splits the rows of common words.
     """
-    words = F.explode_outer(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)))
+    words = F.explode_outer(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
     counted = df.select(key, words.alias("word")).groupBy(key, "word").agg(F.count("word").alias("n"))
     known = model.filter("word IS NOT NULL")
     rest = model.filter("word IS NULL").agg(F.max("log_p")).scalar()

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from papyrine.workload import cleaning, extras, files, hooks, outcome, pages, relevance, stages
+from papyrine.workload import cleaning, extras, files, hooks, outcome, pages, relevance, scoring, similar, stages
 from papyrine.workload.inputs import Query
 
-_MODULES = (cleaning, pages, relevance, stages, outcome, files, hooks, extras)
+_MODULES = (cleaning, pages, relevance, stages, outcome, files, hooks, extras, similar, scoring)
 
 
 def queries() -> dict[str, Query]:

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from papyrine.functions.html import REFERENCES, SIDE_ELEMENTS, html_main_text
-from papyrine.operators.duplicates import drop_exact_duplicates
 from papyrine.operators.hooks import extract_pages
 from papyrine.operators.outcome import row_at, run_metrics
 from papyrine.operators.partitioning import spread
-from papyrine.operators.scoring import quality_score, unigram_model
 from papyrine.operators.subsets import assign_subsets
 from papyrine.plans.stages import extract, with_subset
 from papyrine.sources.files import walk_files
@@ -18,21 +16,9 @@ from papyrine.streaming.arrivals import process_arrivals
 from papyrine.workload.cleaning import oracle_clean
 from papyrine.workload.inputs import ID, dealt, rows_of, table
 
-WORDS = 2_000
 SUBSET, SUBSET_SIZE = 2, 300
 
 
-def dedup_exact(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return drop_exact_duplicates(documents, "doc_id", "text").select("doc_id")
-
-
-def score_quality(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = quality_score(documents, unigram_model(documents, "text", WORDS), "doc_id", "text")
-    return scored.select("doc_id", F.round("score", 6).alias("score"))
-
-
 def page_texts(spark, sf_dir):
     return dealt(table(spark, sf_dir, "pages")).select("page_id", html_main_text(F.col("html")).alias("text"))
 
@@ -97,8 +83,6 @@ def read_binary_pages(spark, sf_dir):
 
 
 QUERIES = {
-    "dedup_exact": dedup_exact,
-    "quality_score": score_quality,
     "html_main_text": page_texts,
     "extraction_by_subset": extraction_by_subset,
     "process_arrivals": arrivals,
@@ -120,17 +104,9 @@ def _oracle_html(html: str) -> str:
     return rf"trim(regexp_replace({text}, '\s+', ' ', 'g'))"
 
 
-_WORDS = r"(SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents)"
 _EXTRACTED = f"""SELECT pdf_path, page_count, ocr_text AS md_extraction_result, {oracle_clean("ocr_text")} AS extracted_meaningful_text"""
 
 ORACLES = {
-    "dedup_exact": "SELECT min(doc_id) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY text",
-    "quality_score": f"""WITH counts AS (SELECT word, count(*) AS n FROM {_WORDS} GROUP BY word),
-        listed AS (SELECT * FROM counts ORDER BY n DESC, word LIMIT {WORDS}),
-        total AS (SELECT sum(n) AS words, count(*) AS kinds FROM counts), known AS (SELECT sum(n) AS known, count(*) AS listed FROM listed),
-        scored AS (SELECT doc_id, avg(coalesce(ln(n / words), ln((words - known + 1) / (words * (kinds - listed + 1))))) AS score
-          FROM {_WORDS} w LEFT JOIN listed l ON l.word = w.word, total, known GROUP BY doc_id)
-        SELECT d.doc_id, round(score, 6) AS score FROM documents d LEFT JOIN scored s ON s.doc_id = d.doc_id""",
     "html_main_text": f"SELECT page_id, {_oracle_html('html')} AS text FROM pages",
     "extraction_by_subset": f"""{_EXTRACTED}, CAST({SUBSET} AS BIGINT) AS subset_id FROM (SELECT *, row_number() OVER (ORDER BY pdf_path) - 1 AS place FROM ({_QUALITY}))
         WHERE is_relevant AND place // {SUBSET_SIZE} + 1 = {SUBSET}""",

@@ -44,8 +44,12 @@ def rebase_paths(spark, sf_dir):
     return rows_of(spark, sf_dir, _NULLABLE_PATHS).select("page_id", rebased.alias("pdf_path"))
 
 
+_PATHLESS = "page_id % 13 = 0"
+
+
 def collision_safe_names(spark, sf_dir):
-    return naming.collision_safe_names(rows_of(spark, sf_dir, FILE_PATHS).select("path"))
+    path = F.when(~F.expr(_PATHLESS), F.col("path")).alias("path")
+    return naming.collision_safe_names(rows_of(spark, sf_dir, FILE_PATHS).select(path))
 
 
 def candidate_cap(spark, sf_dir):
@@ -152,7 +156,8 @@ ORACLES = {
           SELECT *, ({_ESCAPED_PATHS.partition("page_id, ")[2].partition(" AS path")[0]}) AS path FROM pages)""",
     "rebase_path": f"""SELECT page_id, regexp_replace(path, 'file:https?://(www\\.)?', '/mnt/scrape/', 'g') AS pdf_path
         FROM ({_NULLABLE_PATHS})""",
-    "collision_safe_names": oracle_names(FILE_PATHS),
+    "collision_safe_names": f"""{oracle_names(f"SELECT path FROM ({FILE_PATHS}) WHERE NOT {_PATHLESS}")}
+        UNION ALL SELECT NULL, NULL FROM pages WHERE {_PATHLESS}""",
     "candidate_cap": f"SELECT path FROM ({FILE_PATHS}) ORDER BY path LIMIT {CAP}",
     "assign_subsets": f"SELECT page_id, subset_id, 'subset_' || subset_id AS folder FROM ({_SUBSETS})",
     "subset_manifest": f"""SELECT subset_id, 'subset_' || subset_id AS folder, count(*) AS files, min(url) AS first_path,

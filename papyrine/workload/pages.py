@@ -68,12 +68,12 @@ QUERIES = {
     "truncate_text": truncate_text,
 }
 
-_COUNTS = """SELECT d.doc_id, CAST(count(c.conv_id) AS INTEGER) AS page_count
+PAGE_COUNTS = """SELECT d.doc_id, CAST(count(c.conv_id) AS INTEGER) AS page_count
 FROM documents d LEFT JOIN conversations c ON c.conv_id = d.doc_id GROUP BY d.doc_id"""
 
 ORACLES = {
-    "document_page_count": _COUNTS,
-    "page_range_filter": f"SELECT * FROM ({_COUNTS}) WHERE page_count > {ABOVE} AND page_count < {BELOW}",
+    "document_page_count": PAGE_COUNTS,
+    "page_range_filter": f"SELECT * FROM ({PAGE_COUNTS}) WHERE page_count > {ABOVE} AND page_count < {BELOW}",
     "assemble_document_text": f"""SELECT conv_id AS doc_id, CAST(count(*) AS INTEGER) AS page_count,
         string_agg(text || chr(10), '' ORDER BY turn) AS ocr_text
         FROM conversations GROUP BY conv_id""",
@@ -81,7 +81,7 @@ ORACLES = {
         string_agg(text || chr(10), '' ORDER BY turn) AS ocr_text
         FROM conversations GROUP BY conv_id HAVING count(*) > {ABOVE} AND count(*) < {BELOW}""",
     "page_count_histogram": f"""SELECT CAST(page_count // 2 * 2 AS INTEGER) AS first, CAST(page_count // 2 * 2 + 1 AS INTEGER) AS last,
-        count(*) AS documents FROM ({_COUNTS}) GROUP BY page_count // 2""",
+        count(*) AS documents FROM ({PAGE_COUNTS}) GROUP BY page_count // 2""",
     "valid_documents": rf"""SELECT DISTINCT conv_id AS doc_id FROM ({SPARSE_PAGES}) WHERE regexp_matches(text, '\S')""",
     "truncate_text": f"SELECT doc_id, substr(text, 1, {HEAD}) AS head FROM documents",  # the operator's own limit
 }

@@ -19,6 +19,24 @@ def test_one_row_of_each_text_stays(many_partitions):
     assert drop_exact_duplicates(df.filter("false"), "id", "body").count() == 0
 
 
+def test_rows_without_or_with_repeated_keys(many_partitions):
+    rows = [(None, "x", 1), (None, "x", 2), ("a", "y", 3), ("b", "y", 4), ("b", "z", 5), ("b", "z", 5), ("c", "z", 6), (None, "z", 7)]
+    rows += [("h", "hot", n) for n in range(500)] + [(None, None, 8), (None, None, 8)]
+    df = many_partitions.createDataFrame(rows, "id string, body string, more int").repartition(5)
+    got = drop_exact_duplicates(df, "id", "body")
+    assert got.columns == df.columns
+    kept = sorted(((row.id, row.body) for row in got.collect()), key=repr)
+    assert kept == sorted([(None, "x"), ("a", "y"), ("b", "z"), ("h", "hot"), (None, None), (None, None)], key=repr)
+
+
+def test_a_hot_text_is_in_no_single_task(many_partitions):
+    df = many_partitions.range(20_000).select("id", F.lit("the same").alias("body"))
+    kept = drop_exact_duplicates(df, "id", "body")
+    assert [tuple(row) for row in kept.collect()] == [(0, "the same")]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "collect_" not in plan
+
+
 def test_scores_follow_word_frequencies(spark):
     df = spark.createDataFrame([(1, "a a b"), (2, "A c"), (3, "zz"), (4, "?"), (5, None)], "id int, body string")
     model = unigram_model(df, "body", 2)

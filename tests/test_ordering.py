@@ -113,3 +113,14 @@ def test_no_files(spark):
     assert assign_subsets(none, 10).count() == 0
     assert collision_safe_names(none).count() == 0
     assert tuple(subset_count(none, 10).first()) == (0, 0)
+
+
+def test_rows_without_a_path_stay_without_a_name(many_partitions):
+    rows = [("/a/x.pdf", 1), (None, 2), ("/b/x.pdf", 3), (None, 2)]
+    df = many_partitions.createDataFrame(rows, "path string, id int")
+    got = collision_safe_names(df)
+    assert got.columns == ["path", "id", "name"]
+    assert sorted((tuple(row) for row in got.collect()), key=repr) == sorted(
+        [("/a/x.pdf", 1, "x.pdf"), (None, 2, None), ("/b/x.pdf", 3, "x_1.pdf"), (None, 2, None)], key=repr
+    )
+    assert [row.name for row in collision_safe_names(df.filter("path IS NULL")).collect()] == [None, None]
