@@ -21,6 +21,7 @@ from papyrine.sources.tables import materialize
 WIDTH, LEAST = 5, 0.8
 BANDS, ROWS = 32, 4  # at the least similarity a pair shares no band with a probability of 5e-8
 DEPTH = 3
+PART = 8  # bands whose minima are found in one pass
 # Fixed value: words are runs of letters and digits, in lower case.
 WORD = r"[\p{L}\p{N}]+"
 
@@ -44,12 +45,23 @@ def _name(text: Column) -> Column:
 
 
 def _minima(sets: DataFrame) -> DataFrame:
-    """vertex, n (members of the set) and `bands`, a bucket number for each band. Minima are taken before the shuffle."""
+    """vertex, n (members of the set), part, and `buckets`, a number for each band of that part.
+
+    Minima are taken before the shuffle, so many at a time as Java compiles.
+    """
     members = sets.select("vertex", F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
-    least = [F.min(F.xxhash64("h", F.lit(i))).alias(f"m{i}") for i in range(BANDS * ROWS)]
-    found = members.groupBy("vertex").agg(F.max("n").alias("n"), *least)
-    bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
-    return found.select("vertex", "n", F.array(*bands).alias("bands"))
+    members = members.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS // PART - 1))).alias("part"))
+    width = PART * ROWS
+    least = [F.min(F.xxhash64("h", F.col("part") * width + i)).alias(f"m{i}") for i in range(width)]
+    found = members.groupBy("vertex", "part").agg(F.max("n").alias("n"), *least)
+    buckets = [F.xxhash64("part", F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(PART)]
+    return found.select("vertex", "n", "part", F.array(*buckets).alias("buckets"))
+
+
+def _banded(minima: DataFrame) -> DataFrame:
+    """(vertex, n, band, bucket)"""
+    rows = minima.select("vertex", "n", "part", F.posexplode("buckets").alias("_place", "bucket"))
+    return rows.select("vertex", "n", (F.col("part") * PART + F.col("_place")).alias("band"), "bucket")
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
@@ -82,7 +94,7 @@ def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _links(minima: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    banded = minima.select("vertex", "n", F.posexplode("bands").alias("band", "bucket"))
+    banded = _banded(minima)
     found = None
     for depth in range(DEPTH):
         shared = _shared(banded)
@@ -95,7 +107,7 @@ def _links(minima: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         if apart.isEmpty():
             return found
         if depth + 1 < DEPTH:  # by each later band
-            others = minima.select("vertex", F.posexplode("bands").alias("_other", "_bucket"))
+            others = _banded(minima).select("vertex", F.col("band").alias("_other"), F.col("bucket").alias("_bucket"))
             finer = apart.join(others, "vertex").filter("_other > band")
             banded = finer.select("vertex", "n", F.col("_other").alias("band"), F.xxhash64("bucket", "_bucket").alias("bucket")).distinct()
     turn = 0

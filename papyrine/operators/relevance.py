@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from papyrine.functions.language import is_mainly_in
 from papyrine.functions.replies import build_prompt, parse_reply, pieces
+from papyrine.functions.sections import LONGEST, is_mainly_in_sections, language_sections
 from papyrine.operators.hooks import Factory, append_result
 
 
@@ -18,6 +19,18 @@ def mark_by_language(df: DataFrame, target: str = "id", threshold: float = 0.8,
     return df.withColumn("is_relevant", relevant)
 
 
+def mark_by_sections(df: DataFrame, target: str = "id", threshold: float = 0.8, longest: int = LONGEST, text: str = "ocr_text") -> DataFrame:
+    """Add `is_relevant`: enough of the text is in sections of the target language, and no foreign section is substantial.
+
+    Foreign terms scattered over a text do no harm, as they make no section. Rows with an `error` are not relevant.
+    """
+    held = F.array(language_sections(F.col(text), target))  # found once
+    relevant = F.element_at(F.transform(held, lambda sections: is_mainly_in_sections(sections, threshold, longest)), 1)
+    if "error" in df.columns:
+        relevant = F.when(F.col("error").isNull(), relevant).otherwise(F.lit(False))
+    return df.withColumn("is_relevant", relevant)
+
+
 def mark_by_classifier(
     df: DataFrame,
     classifier: Factory,

@@ -78,3 +78,51 @@ def test_page_count_histogram(spark):
 def test_documents_with_errors_are_not_relevant(spark):
     df = spark.createDataFrame([("yang dan ini", None), ("yang dan ini", "bad")], "ocr_text string, error string")
     assert [row.is_relevant for row in mark_by_language(df).orderBy("error").collect()] == [True, False]
+
+
+def plain_segments(pages, segment_bytes, block_pages):
+    """Blocks of pages in order, put into segments by where they begin."""
+    out = {}
+    texts = [(no, (text or "") + "\n") for no, text in sorted(pages, key=lambda page: (page[0], (page[1] or "") + "\n"))]
+    before = 0
+    for first in range(0, len(texts), block_pages):
+        block = texts[first : first + block_pages]
+        made = out.setdefault(before // segment_bytes, [block[0][0], 0, before, ""])
+        made[1] += len(block)
+        made[3] += "".join(text for _, text in block)
+        before += sum(len(text.encode()) for _, text in block)
+    return {segment: tuple(made) for segment, made in out.items()}
+
+
+@pytest.mark.parametrize(("segment_bytes", "block_pages"), [(1 << 20, 1024), (50, 3), (1, 1)])
+def test_segments_of_long_documents(many_partitions, segment_bytes, block_pages):
+    documents = {"hot": [(n * 7 % 1000, f"page é {n}") for n in range(1_000)], "same": [(5, f"t{n % 9}") for n in range(100)]}
+    documents |= {"one": [(1, None)], "long": [(1, "x" * 500), (2, "y" * 500), (3, None)]}
+    rows = [(key, no, text, None) for key, pages in documents.items() for no, text in pages]
+    rows += [(None, 1, "z", None), ("hot", None, "z", None), ("unread", None, None, "bad")]
+    got = P.document_segments(frame(many_partitions, rows), segment_bytes=segment_bytes, block_pages=block_pages).collect()
+    found = {key: {} for key in documents}
+    for r in got:
+        found[r.pdf_path][r.segment] = (r.first_page, r.pages, r.bytes_before, r.text)
+    assert found == {key: plain_segments(pages, segment_bytes, block_pages) for key, pages in documents.items()}
+
+
+def test_long_documents_are_assembled_as_others_are(many_partitions):
+    rows = [("hot", n, f"p{n}", None) for n in range(500)] + [("big", n, "x" * 400, None) for n in range(3)]
+    rows += [("bad", n, "y", "broken" if n == 7 else None) for n in range(50)] + [("a", 1, "x", None), ("a", 2, None, None), (None, 1, "z", None)]
+    rows += [("unread", None, None, "no")] * 30
+    df = frame(many_partitions, rows)
+    plain = sorted(P.assemble_documents(df, long_pages=None).collect())
+    assert sorted(P.assemble_documents(df).collect()) == plain
+    assert sorted(P.assemble_documents(df, long_pages=20, long_bytes=1_000).collect()) == plain
+    beyond = {r.pdf_path: r for r in P.assemble_documents(df, long_pages=20, long_bytes=1_000, most_bytes=1_200).collect()}
+    assert beyond["big"].error == "its text has 1203 bytes" and beyond["big"].page_count == 3
+    assert beyond["big"].ocr_text == "Error processing big: its text has 1203 bytes" and beyond["bad"].error == "broken"
+
+
+def test_documents_beyond_any_row_keep_their_segments(many_partitions):
+    df = many_partitions.range(60_000).select(F.lit("hot").alias("pdf_path"), F.col("id").alias("page_no"), F.lit("some text").alias("text"))
+    segments = P.document_segments(df, segment_bytes=100_000, block_pages=100)
+    sizes = [(r.segment, r.pages, len(r.text)) for r in segments.collect()]
+    assert sorted(segment for segment, _, _ in sizes) == list(range(6)) and sum(pages for _, pages, _ in sizes) == 60_000
+    assert max(size for _, _, size in sizes) <= 101_000
