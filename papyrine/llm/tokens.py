@@ -1,12 +1,14 @@
 """Token ids of many texts at once.
 
 The public tokenizers used here cut a text into words before they look for tokens, and no word reaches over the places
-at which we cut. So a text's ids are those of its pieces, and each different piece goes through the tokenizer once.
+at which we cut. So a text's ids are those of its pieces, and each different piece goes through the tokenizer once. The
+strings of a tokenizer's own tokens, such as <|endoftext|>, are looked for in the text as it is and are pieces by themselves.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -48,7 +50,11 @@ class TokenEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # in a text their strings are ordinary text
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        if any(token.normalized or token.lstrip or token.rstrip or token.single_word for token in added):
+            raise ValueError(f"{path}: tokens that are not looked for in the text as it is")
+        names = sorted((token.content.encode() for token in added), key=len, reverse=True)
+        self._own = re.compile(b"|".join(map(re.escape, names))) if names else None
         self._lower = "Lowercase" in repr(self._tokenizer.normalizer)
         self._forget()
 
@@ -75,13 +81,28 @@ class TokenEncoder:
                 self._ends.append(self._ends[-1] + len(one))
         return np.fromiter(map(self._place.__getitem__, pieces), np.int64, len(pieces))
 
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where pieces begin: at the cuts, but for those within the string of a token, and around such strings."""
+        starts, text, place, edges = cuts(data, offsets), data.tobytes(), 0, []
+        while self._own and (found := self._own.search(text, place)):
+            begin, end = found.span()
+            whole = end <= offsets[np.searchsorted(offsets, begin, side="right")]  # not half in the next text
+            place = end if whole else begin + 1
+            edges += [(begin, end)] * bool(whole)
+        if not edges:
+            return starts
+        begins, ends = np.array(edges).T
+        before = np.searchsorted(begins, starts, side="right") - 1
+        inside = (before >= 0) & (starts < ends[before])
+        return np.union1d(starts[~inside], np.concatenate([begins, ends[ends < len(data)]]))
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text's ids begin."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        starts = self._starts(data, offsets)
         if self._lower:
             data = data + ((data >= 65) & (data <= 90)) * np.uint8(32)
-        starts = cuts(data, offsets)
         pieces, codes = distinct(data, starts)
         places = self._places(pieces)
         ends = np.array(self._ends)

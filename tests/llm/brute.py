@@ -114,13 +114,3 @@ def tiles(text, item, least):
                 used_text |= {*range(i, i + n)}
                 used_item |= {*range(j, j + n)}
                 result.append((n, j, i))
-
-
-def shingle_set(text, width=5):
-    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ")
-    words = [w for w in words if w]
-    return {tuple(words[i : i + width]) for i in range(max(len(words) - width + 1, min(len(words), 1)))}
-
-
-def alike(a, b, least=0.8):
-    return len(a & b) >= least * len(a | b)

@@ -22,7 +22,6 @@ FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
 
 def plain(name):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -35,6 +34,18 @@ def test_pieces_give_the_tokens_of_the_text(name, texts):
     assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:], strict=True)] == [direct(text) for text in texts]
 
 
+OWN = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "a", "Z ", " ", "é", "\n", "'s", "1"]
+
+
+@pytest.mark.parametrize("name", FILES)
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(OWN), max_size=12).map("".join), max_size=5))
+def test_strings_of_tokens_are_those_tokens(name, texts):
+    ids, begins = tokens.loaded(public_tokenizers.path(name)).encode(*arrays.flat(pa.array(texts, pa.string())))
+    direct = plain(name)
+    assert [ids[a:b].tolist() for a, b in zip(begins[:-1], begins[1:], strict=True)] == [direct(text) for text in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab \n\té\x0b", max_size=30), max_size=6))
 def test_words(texts):
