@@ -1,9 +1,13 @@
 """Toxicity of texts by their nearest labelled examples.
 
-Texts and examples are TF-IDF vectors over a vocabulary of words that tell the labels apart; idf is counted over all
-documents. Examples with equal vectors are one entry of an inverted index, and entries stand in blocks. For each word the
-index knows the largest weight in each block, so a block's best possible cosine is found from a few numbers; blocks are
-looked at from the most promising on, until none can hold a nearer example. The result is exact.
+Texts and examples are TF-IDF vectors over all words. Document frequencies are counted over all documents, and a word's weight
+also grows with how well its presence tells the labels apart (chi-squared over the examples). A word that no example holds
+can't add to a product, but it counts in the length of a text's vector, as a word that no document holds.
+
+Examples with equal words are one entry of an inverted index, and entries stand in blocks, like beside like. For each word
+the index lists the blocks that hold it with the largest weight there, and within them the entries. From the former follows
+the best possible cosine of each block; blocks are looked into from the most promising on, until none can hold a nearer
+example. The result is exact.
 
 Neighbours vote with a weight that falls with their distance. A monotone curve, fitted on examples that vote without
 themselves, turns votes into probabilities.
@@ -15,21 +19,22 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrine.llm.arrays import distinct, flat, text_slices
+from papyrine.llm.arrays import distinct, flat, ragged, text_slices
 from papyrine.llm.language_id import held_out
 
-SAMPLE_PER_LABEL = 3000  # labelled rows used as examples, in expectation
+SAMPLE_PER_LABEL = 1000  # labelled rows used as examples, in expectation
 SAMPLE_CHARS = 20_000  # longer texts are no examples, which bounds the sample in bytes
-MOST_WORDS = 1000
-LEAST_CHI2 = 20.0
+CHI2_RANGE = 1.0, 100.0  # beyond, chi-squared makes no difference to a word's weight
 NEIGHBOURS = 15
 BLOCK = 32
+CACHED_PIECES = 600_000  # kept by a worker process
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -44,92 +49,123 @@ def chi_squared(with_word: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return n * cross**2 / np.maximum(row * (n - row) * totals[0] * totals[1], 1)
 
 
-def choose_words(texts: list[list[str]], labels: np.ndarray) -> list[str]:
-    """Words whose presence goes with the label, at most MOST_WORDS; at least one if there is any."""
-    totals = np.array([(labels == 0).sum(), (labels == 1).sum()], float)
-    counts = [Counter(word for words, y in zip(texts, labels, strict=True) if y == label for word in set(words)) for label in (0, 1)]
-    names = sorted(set(counts[0]) | set(counts[1]))
-    table = np.array([[counts[0][w], counts[1][w]] for w in names], float).reshape(-1, 2)
-    found = chi_squared(table, totals)
-    order = np.argsort(-found, kind="stable")[:MOST_WORDS]
-    told = [names[i] for i in order if found[i] >= LEAST_CHI2 and table[i].sum() >= 3]
-    return told or [names[i] for i in order[:1]]
+def told_apart(tokens: list[Counter], labels: np.ndarray, number: dict[str, int]) -> np.ndarray:
+    """A factor for each word, from 0.1 to 1: the root of its chi-squared, as far as that makes a difference."""
+    table = np.zeros((len(number), 2))
+    for words, label in zip(tokens, labels, strict=True):
+        table[[number[w] for w in words], label] += 1
+    found = chi_squared(table, np.array([(labels == 0).sum(), (labels == 1).sum()], float))
+    return np.sqrt(np.clip(found, *CHI2_RANGE) / CHI2_RANGE[1])
 
 
 class WordCounter:
-    """Counts of chosen words in texts; every different piece between spaces is looked at once per slice."""
+    """Counts of all words in texts; those of the list have its numbers, others higher ones that hold for one call."""
 
     def __init__(self, words: list[str]):
-        self._number = {word: i for i, word in enumerate(words)}
+        self.listed = len(words)
+        self._words = {word: i for i, word in enumerate(words)}
         self._known: dict[bytes, tuple[int, ...]] = {}
+        self._others: dict[str, int] = {}
 
-    def _of(self, piece: bytes) -> tuple[int, ...]:
-        if piece not in self._known:
-            if len(self._known) > 300_000:
-                self._known = {}
-            self._known[piece] = tuple(self._number[w] for w in _words(piece.decode()) if w in self._number)
-        return self._known[piece]
+    def _learn(self, piece: bytes) -> tuple[int, ...]:
+        text = piece.decode().lower().strip(" \n.,;:!?()")
+        numbers = []
+        for word in (text,) if text.isalpha() else _WORD.findall(text):
+            number = self._words.get(word)
+            numbers.append(self._others.setdefault(word, self.listed + len(self._others)) if number is None else number)
+        found = self._known[piece] = tuple(numbers)
+        return found
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, word and number of occurrences, sorted by text and word."""
+        if len(self._known) > CACHED_PIECES:
+            self._known, self._others = {}, {}
         spaces = np.flatnonzero((data == 32) | (data == 10))
         heads = offsets[:-1][offsets[:-1] < offsets[1:]]
         starts = np.union1d(spaces, heads)
         pieces, codes = distinct(data, starts)
-        found = [self._of(piece) for piece in pieces]
-        size = np.array([len(x) for x in found], int)
-        places = np.flatnonzero(size[codes] > 0) if len(codes) else np.zeros(0, int)
-        words = np.array([w for code in codes[places] for w in found[code]], int)
-        text = np.repeat(np.searchsorted(offsets, starts[places], side="right") - 1, size[codes[places]]) if len(places) else words
-        keys, count = np.unique(text * max(len(self._number), 1) + words, return_counts=True)
-        return keys // max(len(self._number), 1), keys % max(len(self._number), 1), count
+        found = [known if known is not None else self._learn(piece) for piece, known in zip(pieces, map(self._known.get, pieces), strict=True)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        numbers = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
+        if not len(numbers):
+            return numbers, numbers, numbers
+        begins = np.cumsum(size) - size
+        words = numbers[ragged(begins[codes], size[codes])]
+        text = np.repeat(np.searchsorted(offsets, starts, side="right") - 1, size[codes])
+        most = self.listed + len(self._others)
+        keys, count = np.unique(text * most + words, return_counts=True)
+        return keys // most, keys % most, count
 
 
 @dataclass
 class Examples:
-    """Entries of the index: unit vectors, the weight of label 1 and of all examples there, and one doc_id of each label."""
+    """Entries of the index: unit vectors, the weight of label 1 and of all examples there, and one doc_id of each.
+
+    `factors` weigh the words, `unheard` those that are not listed. `postings` are (word, entry, weight) in order.
+    """
 
     words: list[str]
-    idf: np.ndarray
-    vectors: np.ndarray  # entry x word
+    factors: np.ndarray
+    unheard: float
+    postings: tuple[np.ndarray, np.ndarray, np.ndarray]
     toxic: np.ndarray
     weight: np.ndarray
     doc_ids: list[int | None]
-    base: tuple[float, float]  # label 1 and all among examples without any of the words
+    base: tuple[float, float]  # label 1 and all among all examples
     curve: tuple[np.ndarray, np.ndarray]
 
     def __post_init__(self) -> None:
-        blocks = -(-max(len(self.vectors), 1) // BLOCK)
-        padded = np.zeros((blocks * BLOCK, len(self.words)))
-        padded[: len(self.vectors)] = self.vectors
-        self._postings = np.ascontiguousarray(padded.reshape(blocks, BLOCK, -1).transpose(2, 0, 1))  # word x block x entry
-        self._block_max = self._postings.max(axis=2)
+        word, entry, weight = self.postings
+        block = entry // BLOCK
+        heads = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (block[1:] != block[:-1]))) if len(word) else np.zeros(0, int)
+        self._block, self._begin = block[heads], heads
+        self._size = np.diff(np.append(heads, len(word)))
+        self._most = np.maximum.reduceat(weight, heads) if len(heads) else np.zeros(0)
+        self._of_word = np.searchsorted(word[heads], np.arange(len(self.words) + 1))
+        self._blocks = -(-len(self.toxic) // BLOCK)
+
+    def vector(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Listed words of a text and their weights in its unit vector, to which all its words belong."""
+        tf = 1 + np.log(counts)
+        listed = words < len(self.words)
+        weights = tf[listed] * self.factors[words[listed]]
+        length = np.sqrt(weights @ weights + self.unheard**2 * (tf[~listed] @ tf[~listed]))
+        return words[listed], weights / length if length else weights
 
     def nearest(self, words: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """The k entries of highest cosine and their cosines; of equal ones the first entries. Cosines are above 0."""
-        bound = weights @ self._block_max[words]
+        sizes = self._of_word[words + 1] - self._of_word[words]
+        lists = ragged(self._of_word[words], sizes)  # of each word the blocks that hold it
+        own, block = np.repeat(weights, sizes), self._block[lists]
+        bound = np.bincount(block, own * self._most[lists], minlength=self._blocks)
         order = np.argsort(-bound, kind="stable")
-        places, cosines, worst = np.zeros(0, int), np.zeros(0), 0.0
-        for first in range(0, len(order), 4):
-            some = order[first : first + 4]
-            some = some[(bound[some] > 0) & (bound[some] >= worst - 1e-9)]
-            if not len(some):
-                break
-            found = np.tensordot(weights, self._postings[words][:, some], axes=1).reshape(-1)
-            places = np.append(places, (some[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1))
-            cosines = np.append(cosines, found)
-            keep = np.lexsort((places, -np.round(cosines, 9)))[:k]
-            places, cosines = places[keep], cosines[keep]
-            worst = cosines[-1] if len(cosines) == k else 0.0
-        return places[cosines > 1e-9], cosines[cosines > 1e-9]
+        order = order[bound[order] > 0]
+        places, cosines, worst, first, some = np.zeros(0, int), np.zeros(0), 0.0, 0, 8
+        rank = np.full(self._blocks, len(order))
+        rank[order] = np.arange(len(order))
+        rank_of = rank[block]
+        while first < len(order) and bound[order[first]] >= worst - 1e-9:
+            here = (rank_of >= first) & (rank_of < first + some)
+            begin, size = self._begin[lists[here]], self._size[lists[here]]
+            at = ragged(begin, size)
+            found = np.bincount(self.postings[1][at], np.repeat(own[here], size) * self.postings[2][at], minlength=len(self.toxic))
+            reached = np.flatnonzero(found > max(worst - 1e-8, 1e-9))
+            places, cosines = np.append(places, reached), np.append(cosines, found[reached])
+            if len(places) > k:
+                worst = np.partition(cosines, -k)[-k]
+                near = cosines > worst - 1e-8
+                places, cosines = places[near], cosines[near]
+            first, some = first + some, 4 * some
+        keep = np.lexsort((places, -np.round(cosines, 9)))[:k]
+        return places[keep], cosines[keep]
 
     def vote(self, words: np.ndarray, counts: np.ndarray, without: tuple[int, float, float] | None = None) -> tuple[float, np.ndarray]:
         """Share of label 1 among the neighbours' votes. `without`: an entry and what one example adds to it."""
         prior = self.base[0] / self.base[1] if self.base[1] else 0.0
+        words, weights = self.vector(words, counts)
         if not len(words):
             return prior, words
-        weights = (1 + np.log(counts)) * self.idf[words]
-        places, cosines = self.nearest(words, weights / np.sqrt(weights @ weights))
+        places, cosines = self.nearest(words, weights)
         toxic, total = self.toxic[places].copy(), self.weight[places].copy()
         if without is not None:
             own = places == without[0]
@@ -170,68 +206,94 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL,
     texts = docs.select("doc_id", "text").filter(F.char_length("text") <= longest)
     sample = texts.join(F.broadcast(chosen), "doc_id").toPandas().sort_values(["doc_id", "text"])  # bounded as above
     y = (sample["toxic"].to_numpy() == 1).astype(int)
-    tokens = [_words(text) for text in sample["text"]]
-    words = choose_words(tokens, y) if len(y) else []
-    idf = _idf(docs, words)
+    tokens = [Counter(_words(text)) for text in sample["text"]]
+    words = sorted(set().union(*tokens))
+    idf, unheard = _idf(docs, words)
     share = [counts.get(label, 0) / max((y == label).sum(), 1) for label in (0, 1)]
     weight = np.where(y == 1, share[1], share[0]) / max(sum(counts.values()), 1)
-    return _indexed(sample["doc_id"].tolist(), tokens, y, weight, words, idf)
+    return _indexed(docs.sparkSession, sample["doc_id"].tolist(), tokens, y, weight, words, idf, unheard)
 
 
-def _idf(docs: DataFrame, words: list[str]) -> np.ndarray:
-    """Over all documents; each task sends one row per word."""
+def _idf(docs: DataFrame, words: list[str]) -> tuple[np.ndarray, float]:
+    """Over all documents, of the listed words and of a word that no document holds; each task sends a row per word it saw."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, total, seen = WordCounter(words), np.zeros(len(words), np.int64), 0
         for batch in text_slices(batches):
             _, found, _ = counter.counts(*flat(batch.column("text")))
-            total += np.bincount(found, minlength=len(words))
+            total += np.bincount(found[found < len(words)], minlength=len(words))
             seen += batch.num_rows
-        columns = [pa.array([*range(len(words)), -1], pa.int32()), pa.array([*total.tolist(), seen], pa.int64())]
+        there = np.flatnonzero(total)
+        columns = [pa.array(np.append(there, -1), pa.int32()), pa.array(np.append(total[there], seen), pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["word", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    found = {row["word"]: row["n"] for row in rows}
-    return np.log((found.get(-1, 0) + 1) / (np.array([found.get(i, 0) for i in range(len(words))]) + 1)) + 1
+    rows = docs.select("text").mapInArrow(count, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    found = np.zeros(len(words) + 1)
+    found[rows.column("word").to_numpy()] = rows.column("n").to_numpy()  # the last one is the number of documents
+    return np.log((found[-1] + 1) / (found[:-1] + 1)) + 1, float(np.log(found[-1] + 1) + 1)
 
 
-def _indexed(doc_ids: list, tokens: list[list[str]], y: np.ndarray, weight: np.ndarray, words: list[str], idf: np.ndarray) -> Examples:
+def _indexed(
+    spark: SparkSession, doc_ids: list, tokens: list[Counter], y: np.ndarray, weight: np.ndarray, words: list[str], idf: np.ndarray, unheard: float
+) -> Examples:
     number = {word: i for i, word in enumerate(words)}
-    counted = [sorted(Counter(number[w] for w in text if w in number).items()) for text in tokens]
+    apart = told_apart(tokens, y, number) if len(y) else np.zeros(0)
+    factors = idf * apart
+    unheard *= np.sqrt(CHI2_RANGE[0] / CHI2_RANGE[1])
+    counted = [tuple(sorted((number[w], n) for w, n in text.items())) for text in tokens]
     entries: dict[tuple, list[int]] = {}
     for i, counts in enumerate(counted):
         if counts:
-            entries.setdefault(tuple(counts), []).append(i)
-    keys = sorted(entries)
-    vectors, toxic, total, names = np.zeros((len(keys), len(words))), np.zeros(len(keys)), np.zeros(len(keys)), []
-    for place, key in enumerate(keys):
+            entries.setdefault(counts, []).append(i)
+    vectors = {}
+    for key in entries:
         found, n = np.array(key).T
-        vectors[place, found] = (1 + np.log(n)) * idf[found]
-        vectors[place] /= np.sqrt((vectors[place] ** 2).sum())
+        vectors[key] = found, (1 + np.log(n)) * factors[found]
+    # Entries whose heaviest word is the same stand together, so that few blocks hold much of it.
+    keys = sorted(entries, key=lambda key: (int(vectors[key][0][vectors[key][1].argmax()]), key))
+    toxic, total, names, parts = np.zeros(len(keys)), np.zeros(len(keys)), [], []
+    for place, key in enumerate(keys):
+        found, weights = vectors[key]
+        parts.append((found, np.full(len(found), place), weights / np.sqrt(weights @ weights)))
         own = entries[key]
         toxic[place], total[place] = (y[own] * weight[own]).sum(), weight[own].sum()
         names.append(doc_ids[max(own, key=lambda i: y[i])])
-    none = [i for i, counts in enumerate(counted) if not counts]
-    base = float((y[none] * weight[none]).sum()), float(weight[none].sum())
+    word, entry, value = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    order = np.lexsort((entry, word))
+    postings = word[order], entry[order], value[order]
     flat_curve = np.array([0.0, 1.0]), np.array([0.0, 1.0])
-    examples = Examples(words, idf, vectors, toxic, total, names, base, flat_curve)
+    base = float((y * weight).sum()), float(weight.sum())
+    examples = Examples(words, factors, unheard, postings, toxic, total, names, base, flat_curve)
     if len(y):
         place_of = {key: place for place, key in enumerate(keys)}
-        votes = []
-        for i, counts in enumerate(counted):
-            found, n = np.array(counts, int).reshape(-1, 2).T
-            own = (place_of[tuple(counts)], y[i] * weight[i], weight[i]) if counts else None
-            votes.append(examples.vote(found, n, own)[0])
-        examples.curve = monotone_curve(np.array(votes), y.astype(float), weight)
+        votes = _votes(spark, examples, counted, [(place_of.get(c, -1), y[i] * weight[i], weight[i]) for i, c in enumerate(counted)])
+        examples.curve = monotone_curve(votes, y.astype(float), weight)
     return examples
 
 
+def _votes(spark: SparkSession, examples: Examples, counted: list[tuple], without: list[tuple]) -> np.ndarray:
+    """The votes of all examples, each without itself, found in tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = batch.column("id").to_pylist()
+            found = [examples.vote(*np.array(counted[i], int).reshape(-1, 2).T, without[i] if counted[i] else None)[0] for i in places]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.float64())], names=["id", "vote"])
+
+    rows = spark.range(len(counted)).mapInArrow(run, "id long, vote double").toArrow()
+    votes = np.zeros(len(counted))
+    votes[rows.column("id").to_numpy()] = rows.column("vote").to_numpy()
+    return votes
+
+
 def score(docs: DataFrame, examples: Examples) -> DataFrame:
     """doc_id, score (0 to 1, higher: label 1 likelier), predicted (1 from 0.5 on) and evidence: doc_ids of the nearest
     examples, nearest first, at most five.
 
-    Only the text counts; null and empty texts and those without any telling word get the share of label 1 among
-    examples without one. Equal texts get equal scores. One pass without a shuffle; the examples have a bounded size.
+    Only the text counts; null and empty texts and those without any word of an example get the share of label 1 among all
+    examples, and no evidence. Equal texts get equal scores, repeated rows and ids are done each by itself, of equally near
+    examples the first in the index are taken, an empty table gives no rows and other columns are not looked at. One pass
+    without a shuffle; the examples have a bounded size.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -1,6 +1,10 @@
 """Language ID, toxicity, HTML text, decontamination and the pipeline."""
 
+import math
 import random
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +25,6 @@ def test_language_id_on_held_out_rows(spark):
     held = found.filter("held_out").collect()
     assert len(held) > 150 and np.mean([row.lang == row.lang_pred for row in held]) > 0.97
     assert all(0 <= row.score <= 1 for row in found.collect())
-    import zlib
 
     assert all(row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 5 == 0) for row in found.collect())
 
@@ -58,23 +61,71 @@ def test_toxicity_on_held_out_rows(spark):
         assert abs(score[some].mean() - y[some].mean()) < 0.1
 
 
-def test_nearest_examples_equal_brute_force(spark, docs):
-    examples = toxicity.train(spark.read.parquet(f"{TRAIN}/documents.parquet"), spark.read.parquet(f"{TRAIN}/labels.parquet"))
-    n_words = 40
+def test_scores_equal_plain_tf_idf_neighbours(spark):
+    """Neighbours, cosines and scores of whole texts against dictionaries over all words."""
+    docs, labels = (spark.read.parquet(f"{TRAIN}/{name}.parquet") for name in ("documents", "labels"))
+    examples = toxicity.train(docs, labels)
+    rows = {row.doc_id: row.text for row in docs.collect()}
+    tokens = {i: Counter(re.findall(r"[^\W\d_]+", text.lower())) for i, text in rows.items()}
+    label = {row.doc_id: row.toxic for row in labels.collect() if zlib.crc32(str(row.doc_id).encode()) % 5 and len(rows[row.doc_id]) <= toxicity.SAMPLE_CHARS}
+    frequency = Counter(word for words in tokens.values() for word in words)
+    heard = set().union(*(tokens[i] for i in label))
+    with_word = {w: [sum(w in tokens[i] for i in label if label[i] == y) for y in (0, 1)] for w in heard if frequency[w] > 2}
+    totals = [sum(y == k for y in label.values()) for k in (0, 1)]
+
+    def factor(word):
+        idf = math.log((len(rows) + 1) / (frequency[word] + 1)) + 1 if word in heard else math.log(len(rows) + 1) + 1
+        if word not in heard:
+            return idf * 0.1
+        held = with_word.get(word) or [sum(word in tokens[i] for i in label if label[i] == y) for y in (0, 1)]
+        n, own = sum(totals), sum(held)
+        chi2 = n * (held[1] * totals[0] - held[0] * totals[1]) ** 2 / max(own * (n - own) * totals[0] * totals[1], 1)
+        return idf * math.sqrt(min(max(chi2, 1), 100) / 100)
+
+    known = {word: factor(word) for word in set().union(*tokens.values())}
+
+    def vector(words):
+        weights = {w: (1 + math.log(n)) * known[w] for w, n in words.items()}
+        length = math.sqrt(sum(x * x for x in weights.values()))
+        return {w: x / length for w, x in weights.items()}
+
+    index = {i: vector(tokens[i]) for i in label if tokens[i]}
+    number = {word: i for i, word in enumerate(examples.words)}
+    assert set(number) == heard
+    for i in list(rows)[::23]:
+        own = vector(tokens[i])
+        best = sorted((sum(x * own.get(w, 0) for w, x in v.items()) for v in {tuple(sorted(tokens[j].items())): index[j] for j in index}.values()), reverse=True)
+        words = sorted((number.get(w, len(number) + k), n) for k, (w, n) in enumerate(tokens[i].items()))
+        asked, weights = examples.vector(*np.array(words).T)
+        places, cosines = examples.nearest(asked, weights)
+        assert np.allclose(cosines, best[: toxicity.NEIGHBOURS], atol=1e-7)
+        near = 1 / (1.05 - np.minimum(cosines, 1)) ** 2
+        prior = examples.base[0] / examples.base[1]
+        mean = examples.weight.mean()
+        vote = ((near * examples.toxic[places]).sum() + prior * mean) / ((near * examples.weight[places]).sum() + mean)
+        got = toxicity.score(docs.filter(docs.doc_id == i), examples).first() if i % 5 == 0 else None
+        assert got is None or abs(got.score - np.interp(vote, *examples.curve)) < 1e-9
+
+
+def test_nearest_entries_equal_brute_force():
     pick = np.random.default_rng(11)
-    vectors = pick.random((700, n_words)) * (pick.random((700, n_words)) < 0.1)
+    vectors = pick.random((700, 40)) * (pick.random((700, 40)) < 0.1)
+    vectors[300:310] = vectors[300]  # ties
     vectors = vectors[vectors.any(axis=1)]
     vectors /= np.sqrt((vectors**2).sum(axis=1, keepdims=True))
     zeros = np.zeros(len(vectors))
-    index = toxicity.Examples([str(i) for i in range(n_words)], np.ones(n_words), vectors, zeros, zeros + 1, [0] * len(zeros), (0.0, 1.0), examples.curve)
-    for _ in range(200):
-        words = np.sort(pick.choice(n_words, pick.integers(1, 8), replace=False))
+    word, entry = np.nonzero(vectors.T)
+    postings = word, entry, vectors[entry, word]
+    index = toxicity.Examples([str(i) for i in range(40)], np.ones(40), 1.0, postings, zeros, zeros + 1, [0] * len(zeros), (0.0, 1.0), (zeros, zeros))
+    for _ in range(300):
+        words = np.sort(pick.choice(40, pick.integers(1, 8), replace=False))
         query = pick.random(len(words))
         query /= np.sqrt(query @ query)
         places, cosines = index.nearest(words, query)
         exact = vectors[:, words] @ query
-        best = np.sort(exact[exact > 1e-9])[::-1][: toxicity.NEIGHBOURS]
-        assert np.allclose(cosines, best) and np.allclose(exact[places], cosines)
+        best = np.lexsort((np.arange(len(exact)), -np.round(exact, 9)))[: toxicity.NEIGHBOURS]
+        best = best[exact[best] > 1e-9]
+        assert np.allclose(cosines, exact[best]) and places.tolist() == best.tolist()
 
 
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, none, docs):
