@@ -3,6 +3,10 @@
 A page is cut at its block tags into a flat list of texts. A block is described by its words and link density, those of the
 blocks before and after, and where it stands; a decision tree, grown from the small labelled table below, says which blocks
 belong to the article.
+
+Names of elements say where a block stands. They are split into known words, and one that only describes what an element has
+or is like does not count. An element that holds more than half of the page's text is no menu, notice or form whatever its name, unless
+it is named after reader comments, of which there may be more than of anything else.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +25,8 @@ from papyrine.llm.arrays import text_slices
 
 # Element names of HTML and words that sites put into class, id and role.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-RAW = "script style iframe title".split()  # hold no elements; without an end they reach to the end of the page
-UNSEEN = "noscript template svg math object canvas audio video map".split()  # without an end only their tag is left out
+RAW = "script style iframe".split()  # hold no elements; without an end they reach to the end of the page
+UNSEEN = "title noscript template svg math object canvas audio video map".split()  # without an end only their tag is left out
 CONTAINERS = set("article aside body button dialog div dl fieldset figure footer form header label legend main menu nav ol section select table ul".split())
 SIDE_ELEMENTS = set("aside button dialog fieldset footer form label legend menu nav select".split())
 SIDE_WORDS = set(
@@ -31,8 +36,11 @@ SIDE_WORDS = set(
     related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription teaser
     toolbar widget""".split()
 )
-STATE_WORDS = set("has with without no is enabled disabled".split())  # `has-sidebar` names what an element has, not what it is
-MAIN_WORDS = set("article articlebody content entry main post story".split())
+COMMENT_WORDS = set("comment comments discussion disqus replies reply respond".split())
+STATE_WORDS = set("has with without no is enabled disabled open closed free".split())  # `has-sidebar` names what an element has, not what it is
+MAIN_WORDS = set("article content entry main post story".split())
+WRAPPER_WORDS = set("layout wrapper wrap container page site body outer inner grid row columns".split())
+OTHER_WORDS = set("list box area section block bar item items holder thread title text top bottom left right nav form group header".split())
 
 _QUOTED = r"""(?:"[^"<]*"|'[^'<]*'|[^>"'<])*+"""
 _TAG = re.compile(
@@ -87,12 +95,13 @@ class Block:
 
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
+    path: tuple[_Open, ...] = ()
     side: bool = False
     inside: bool = False
     heading: bool = False
 
-    @property
-    def text(self) -> str:
+    @cached_property
+    def text(self) -> str:  # once its parts are there
         return " ".join(html.unescape("".join(self.parts)).split())
 
 
@@ -103,25 +112,67 @@ class _Open:
     named: bool  # by its name; an article in it is none the less one
     main: bool
     frees: bool
-
-
-def _kind(name: str, rest: str, inside: bool) -> tuple[bool, bool, bool, bool]:
-    """Whether an element holds what stands beside the article, whether only its name says so, whether it is the article,
-    and whether that counts more than the names of what it stands in."""
-    tokens = [set(re.findall("[a-z]+", token)) for found in _NAMED.findall(rest) for token in "".join(found).lower().split()]
-    named = {word for token in tokens if not token & STATE_WORDS for word in token}
-    main = name in ("article", "main") or bool(named & {"articlebody"})
+    comments: bool  # named after them
+    hidden: bool
+    text: int = 0  # characters in it
+
+
+_KNOWN = SIDE_WORDS | MAIN_WORDS | WRAPPER_WORDS | OTHER_WORDS | COMMENT_WORDS
+_LENGTHS = sorted({len(word) for word in _KNOWN}, reverse=True)
+
+
+@lru_cache(maxsize=10_000)
+def _split(name: str) -> tuple[str, ...]:
+    """The known words that a name without separators is made of, as few as can be; the name itself if it is not."""
+    if name in _KNOWN or len(name) > 40:
+        return (name,)
+    best: list[tuple[str, ...] | None] = [()] + [None] * len(name)
+    for end in range(1, len(name) + 1):
+        for size in _LENGTHS:
+            if size <= end and best[end - size] is not None and name[end - size : end] in _KNOWN:
+                made = (*best[end - size], name[end - size : end])
+                if best[end] is None or len(made) < len(best[end]):
+                    best[end] = made
+    return best[-1] or (name,)
+
+
+def _names(rest: str) -> list[set[str]]:
+    """The words of each name in class, id and role; names that say what an element has or is like are left out."""
+    tokens = []
+    for found in _NAMED.findall(rest):
+        for token in "".join(found).split():
+            words = {word for part in re.findall("[A-Z]?[a-z]+|[A-Z]+", token) for word in _split(part.lower())}
+            if not words & STATE_WORDS:
+                tokens.append(words)
+    return tokens
+
+
+def _kind(name: str, rest: str, inside: bool) -> _Open:
+    """What an element is: beside the article, by itself or by its name only, or the article, and whether that counts more
+    than the names of what it stands in."""
+    tokens = _names(rest)
+    named = set().union(*tokens)
+    main = name in ("article", "main") or any({"article", "body"} <= token for token in tokens)
     first = not inside and not named & MAIN_WORDS
-    side = (name in SIDE_ELEMENTS and name != "form") or (name == "header" and first) or bool(_HIDDEN.search(rest))
-    by_name = name == "form" or ("header" in named and first) or bool(named & SIDE_WORDS and name not in ("article", "main", "body"))
-    return side, by_name, main, name in ("article", "main") and not inside and not named & SIDE_WORDS
-
-
-def _beside(stack: list[_Open]) -> bool:
+    side = (name in SIDE_ELEMENTS and name != "form") or (name == "header" and first)
+    comments = bool(named & COMMENT_WORDS)
+    # In `post sidebar` the post is what it is, in `post-sidebar` it is the sidebar's; a layout is no part of itself.
+    wraps = not comments and any(token & (MAIN_WORDS | WRAPPER_WORDS) and not token & SIDE_WORDS for token in tokens)
+    by_name = bool(named & SIDE_WORDS) and not wraps and name not in ("article", "main", "body")
+    by_name = by_name or name == "form" or ("header" in named and first)
+    frees = name in ("article", "main") and not inside and not named & SIDE_WORDS
+    return _Open(name, side, by_name, main, frees, comments, bool(_HIDDEN.search(rest)))
+
+
+def _beside(path: tuple[_Open, ...], half: float) -> bool:
+    """Whether a block in these elements stands beside the article; more than `half` of the page's text is too much for most."""
     named = False
-    for x in stack:
-        named = x.named or (named and not x.frees)
-    return named or any(x.side for x in stack)
+    for x in path:
+        if x.hidden or (x.side and x.text <= half):
+            return True
+        own = x.named and (x.comments or x.text <= half)
+        named = own or (named and not x.frees)
+    return named
 
 
 def _unseen(page: str) -> dict[int, int]:
@@ -143,9 +194,12 @@ def blocks(page: str) -> list[Block]:
     found, current, stack, place, in_link = [], Block(), [], 0, False
 
     def finish(heading: bool = False) -> Block:
-        if current.text:
+        size = len(current.text)
+        if size:
             found.append(current)
-        return Block(side=_beside(stack), inside=any(x.main for x in stack), heading=heading)
+            for x in current.path:
+                x.text += size
+        return Block(path=tuple(stack), inside=any(x.main for x in stack), heading=heading)
 
     def add(text: str) -> None:
         if text:
@@ -160,6 +214,8 @@ def blocks(page: str) -> list[Block]:
         add(page[place : tag.start()])
         place = unseen.get(tag.start(), tag.end())
         name = (tag["name"] or "").lower()
+        if name == "title" and not tag["end"] and tag.start() not in unseen:  # it ends where the next tag begins
+            place = page.find("<", place) if "<" in page[place:] else len(page)
         if not name or name in UNSEEN:
             continue
         if name == "a":
@@ -171,10 +227,13 @@ def blocks(page: str) -> list[Block]:
                 if depth is not None:
                     del stack[depth:]
             elif name in CONTAINERS:
-                stack.append(_Open(name, *_kind(name, tag["rest"], any(x.main for x in stack))))
+                stack.append(_kind(name, tag["rest"], any(x.main for x in stack)))
             current = finish(bool(re.fullmatch("h[1-6]", name)) and not tag["end"])
     add(page[place:])
     finish()
+    half = sum(len(block.text) for block in found) / 2
+    for block in found:
+        block.side = _beside(block.path, half)
     return found
 
 
@@ -235,9 +294,16 @@ def train(table: list[tuple] = LABELLED) -> Tree:
 
 
 def main_text(page: str, tree: Tree) -> str:
-    """Texts of the blocks that the tree takes for the article, in page order, joined by one space."""
+    """Texts of the blocks that the tree takes for the article, in page order, joined by one space.
+
+    Where it takes none, those that are neither beside it by where they stand nor mostly links.
+    """
     found = blocks(page)
-    return " ".join(block.text for block, row in zip(found, features(found), strict=True) if tree.decide(row))
+    rows = features(found)
+    chosen = [block.text for block, row in zip(found, rows, strict=True) if tree.decide(row)]
+    if not chosen:  # a page of a line or two: what stands beside nothing
+        chosen = [block.text for block, row in zip(found, rows, strict=True) if not block.side and row[1] < 0.5 and row[7] != OUTSIDE]
+    return " ".join(chosen)
 
 
 def extract_main_text(pages: DataFrame, tree: Tree | None = None) -> DataFrame:
