@@ -302,7 +302,7 @@ def main_text(page: str, tree: Tree) -> str:
     rows = features(found)
     chosen = [block.text for block, row in zip(found, rows, strict=True) if tree.decide(row)]
     if not chosen:  # a page of a line or two: what stands beside nothing
-        chosen = [block.text for block, row in zip(found, rows, strict=True) if not block.side and row[1] < 0.5 and row[7] != OUTSIDE]
+        chosen = [block.text for block, row in zip(found, rows, strict=True) if not block.side and row[1] < 0.5 and row[7] != OUTSIDE and any(map(str.isalnum, block.text))]
     return " ".join(chosen)
 
 
