@@ -112,6 +112,14 @@ def read_stage(spark: SparkSession, path: str, schema: T.StructType, subset_id:
     return spark.read.schema(with_subset).parquet(path).filter(F.col("subset_id") == subset_id)
 
 
+def subsets_in(spark: SparkSession, path: str) -> list[int]:
+    """The subsets that a stage table is divided into, in order; a subset is some 10,000 files."""
+    stored = spark.read.parquet(path)
+    if "subset_id" not in stored.columns:
+        raise ValueError(f"{path} is not divided into subsets")
+    return sorted(row["subset_id"] for row in stored.select(F.col("subset_id").cast("long")).distinct().collect())
+
+
 NULL_MARKER = "\\N"  # tells missing texts from empty ones
 
 

@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.functions.html import REFERENCES, SIDE_ELEMENTS, html_main_text
+from papyrine.functions.html import SIDE_ELEMENTS, html_main_text
 from papyrine.operators.hooks import extract_pages
 from papyrine.operators.outcome import row_at, run_metrics
 from papyrine.operators.partitioning import spread
 from papyrine.operators.subsets import assign_subsets
 from papyrine.plans.stages import extract, with_subset
 from papyrine.sources.files import walk_files
-from papyrine.sources.tables import EXTRACTION_SCHEMA, QUALITY_SCHEMA, new_folder, read_stage, write_stage
+from papyrine.sources.tables import EXTRACTION_SCHEMA, QUALITY_SCHEMA, new_folder, read_stage, subsets_in, write_stage
 from papyrine.streaming.arrivals import process_arrivals
 from papyrine.workload.cleaning import oracle_clean
-from papyrine.workload.inputs import ID, dealt, rows_of, table
+from papyrine.workload.inputs import ID, rows_of, table
+
+SUBSET_SIZE = 300
+FOLDER_SIZE = 50
+
 
-SUBSET, SUBSET_SIZE = 2, 300
+# What pages seldom have, behind each of them: an element without an end, references, a sign that begins no tag.
+_BROKEN = """SELECT page_id, html || CASE page_id % 4 WHEN 0 THEN '<p>caf&eacute; &#8217;&#x2014;&mdash;</p>' WHEN 1 THEN '<script>x = "<p>no"'
+  WHEN 2 THEN 'if a<b' ELSE '<div><nav>menu</div>end' END AS html
+FROM pages"""
 
 
 def page_texts(spark, sf_dir):
-    return dealt(table(spark, sf_dir, "pages")).select("page_id", html_main_text(F.col("html")).alias("text"))
+    return rows_of(spark, sf_dir, _BROKEN).select("page_id", html_main_text(F.col("html")).alias("text"))
 
 
 _QUALITY = f"""SELECT '/scrape/' || {ID} || '.pdf' AS pdf_path, CAST(3 AS INT) AS page_count, doc_id % 3 <> 0 AS is_relevant,
@@ -38,7 +48,10 @@ def _divided_quality(spark, sf_dir):
 
 
 def extraction_by_subset(spark, sf_dir):
-    return extract(read_stage(spark, _divided_quality(spark, sf_dir), QUALITY_SCHEMA, SUBSET))
+    """Every subset by itself, from its own folder, as one batch after the other would."""
+    folder = _divided_quality(spark, sf_dir)
+    done = [extract(read_stage(spark, folder, QUALITY_SCHEMA, subset)) for subset in subsets_in(spark, folder)]
+    return reduce(DataFrame.unionByName, done)
 
 
 def arrivals(spark, sf_dir):
@@ -65,15 +78,15 @@ def fifth_row(spark, sf_dir):
 
 
 def walk_nested_roots(spark, sf_dir):
-    """A folder of texts of two kinds, given together with folders inside it."""
+    """A folder of the documents' texts in two formats, given together with folders inside it; there are more of them in larger tables."""
     root = new_folder(spark, "nested")
-    assigned = table(spark, sf_dir, "documents").select("doc_id", F.lit("x").alias("value"))
+    assigned = table(spark, sf_dir, "documents").select(F.col("text").alias("value"), F.floor(F.col("doc_id") / FOLDER_SIZE).alias("subset_id"), (F.col("doc_id") % 2).alias("kind"))
     for kind in (0, 1):
-        rows = assigned.filter(F.col("doc_id") % 2 == kind).withColumn("subset_id", F.col("doc_id") % 10)
-        rows.drop("doc_id").repartition("subset_id").write.partitionBy("subset_id").format(("text", "json")[kind]).save(f"{root}/kind={kind}")
-    files = walk_files(spark, f"{root}/kind=0/", root, f"{root}/kind=1/subset_id=3", extensions=(".TXT",))
+        rows = assigned.filter(F.col("kind") == kind).drop("kind")
+        rows.repartition("subset_id").write.partitionBy("subset_id").format(("text", "json")[kind]).save(f"{root}/kind={kind}")
+    files = walk_files(spark, f"{root}/kind=0/", root, f"{root}/kind=1/subset_id=0", extensions=(".TXT",))
     inside = F.regexp_extract("path", "/(kind=[0-9]+/subset_id=[0-9]+)/[^/]*$", 1)
-    return files.groupBy(inside.alias("folder")).agg(F.count(F.lit(1)).alias("files"))
+    return files.groupBy(inside.alias("folder")).agg(F.sum("length").alias("bytes"))
 
 
 def read_binary_pages(spark, sf_dir):
@@ -94,12 +107,15 @@ QUERIES = {
 }
 
 
+_REFERENCES = {"&nbsp;": " ", "&quot;": '"', "&#39;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}  # those in the pages
+
+
 def _oracle_html(html: str) -> str:
     text = f"regexp_replace({html}, '<!--.*?-->', ' ', 'gs')"
     for element in SIDE_ELEMENTS:
         text = rf"regexp_replace({text}, '<{element}([\s/][^>]*)?>.*?</{element}\s*>', ' ', 'gis')"
     text = f"regexp_replace({text}, '<[a-zA-Z/!][^>]*(>|$)', ' ', 'g')"
-    for reference, character in REFERENCES.items():
+    for reference, character in _REFERENCES.items():
         text = f"replace({text}, '{reference}', '{character.replace(chr(39), chr(39) * 2)}')"
     return rf"trim(regexp_replace({text}, '\s+', ' ', 'g'))"
 
@@ -107,16 +123,17 @@ def _oracle_html(html: str) -> str:
 _EXTRACTED = f"""SELECT pdf_path, page_count, ocr_text AS md_extraction_result, {oracle_clean("ocr_text")} AS extracted_meaningful_text"""
 
 ORACLES = {
-    "html_main_text": f"SELECT page_id, {_oracle_html('html')} AS text FROM pages",
-    "extraction_by_subset": f"""{_EXTRACTED}, CAST({SUBSET} AS BIGINT) AS subset_id FROM (SELECT *, row_number() OVER (ORDER BY pdf_path) - 1 AS place FROM ({_QUALITY}))
-        WHERE is_relevant AND place // {SUBSET_SIZE} + 1 = {SUBSET}""",
+    "html_main_text": f"""SELECT page_id, trim({_oracle_html('html')} || CASE page_id % 4 WHEN 0 THEN ' café ’——' WHEN 1 THEN '' WHEN 2 THEN ' if a<b'
+        ELSE ' end' END) AS text FROM pages""",
+    "extraction_by_subset": f"""{_EXTRACTED}, place // {SUBSET_SIZE} + 1 AS subset_id
+        FROM (SELECT *, row_number() OVER (ORDER BY pdf_path) - 1 AS place FROM ({_QUALITY})) WHERE is_relevant""",
     "process_arrivals": f"{_EXTRACTED} FROM ({_QUALITY}) WHERE is_relevant",
     "rows_written": """SELECT 'documents' AS stage, count(*) AS total_rows FROM documents
         UNION ALL SELECT 'conversations', count(*) FROM conversations UNION ALL SELECT 'pages', count(*) FROM pages""",
     "spread_rows": "SELECT count(*) AS total, CAST(4 AS BIGINT) AS tasks FROM documents",
     "row_at": "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 1 OFFSET 4",
-    "walk_nested_roots": """SELECT DISTINCT 'kind=0/subset_id=' || CAST(doc_id % 10 AS VARCHAR) AS folder, CAST(1 AS BIGINT) AS files
-        FROM documents WHERE doc_id % 2 = 0""",
+    "walk_nested_roots": f"""SELECT 'kind=0/subset_id=' || CAST(doc_id // {FOLDER_SIZE} AS VARCHAR) AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes
+        FROM documents WHERE doc_id % 2 = 0 GROUP BY doc_id // {FOLDER_SIZE}""",
     "extract_pages_binary": """SELECT CAST(doc_id AS VARCHAR) AS pdf_path, CAST(n AS INTEGER) AS page_no, parts[n] AS text
         FROM (SELECT doc_id, parts, unnest(generate_series(1, len(parts))) AS n
           FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))""",

@@ -10,8 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papyrine.operators.partitioning import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 NEWLINE = "chr(10)"
@@ -112,8 +110,3 @@ def rows_of(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     columns, _, name = sql.rpartition("\nFROM ")
     escaped = columns.replace("{", "{{").replace("}", "}}")
     return spark.sql(f"{escaped}\nFROM {{source}}", source=table(spark, sf_dir, name))
-
-
-def dealt(rows: DataFrame) -> DataFrame:
-    """Rows over all cores: each table here is one row group, which one task reads."""
-    return spread(rows, rows.sparkSession.sparkContext.defaultParallelism)

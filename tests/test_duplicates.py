@@ -1,10 +1,13 @@
 """Exact duplicates, scores and page texts."""
 
+import html
+import html.entities
 import math
+import random
 
 from pyspark.sql import functions as F
 
-from papyrine.functions.html import html_main_text
+from papyrine.functions.html import decode_references, html_main_text
 from papyrine.operators.duplicates import drop_exact_duplicates
 from papyrine.operators.scoring import quality_score, unigram_model
 
@@ -53,6 +56,15 @@ def test_text_of_pages(spark):
         "<head><title>t</title></head><NAV>menu</Nav ><p>one&amp;lt; two</p><!-- <p>no --><script>if (a</script>b": "one&lt; two b",
         "<header>h</header><headers>kept</headers> <style>": "kept",
         "a < b &nbsp; <p": "a < b", "": "", None: None,
+        # without an end
+        "<p>x</p><script>var a = 1; write('<p>')": "x", "<head><title>T</title><body><p>text</p>": "text", "<head><title>T<body>u": "u",
+        "<div><nav>menu<div>x</div></div><p>after</p>": "after", "<aside>1<aside>2</aside>3</aside>4": "4", "x</nav>y": "x y", "<form>f": "",
+        # signs that are no tags, and tags with signs
+        "if a<b then": "if a<b then", "a<b c<i>e": "a<b c e", "1 <2 and 3> 2": "1 <2 and 3> 2", "x<2<<y>": "x<2<", '<p title="a>b">q</p>': "q",
+        "<!doctype html>d<?php x ?>e</>f": "d e f", "t<br/>u<div/>v": "t u v",
+        # references
+        "caf&eacute; it&#8217;s &mdash; &#x2014; &#150;": "café it’s — — –", "&bogus; &amp &copy2024 &notit; &amp;amp;": "&bogus; & ©2024 ¬it; &amp;",
+        "&#0; &#xD800; &#99999999; &#; & &#x1F600;&ThickSpace;": "\ufffd \ufffd \ufffd &#; & 😀",
     }
     df = spark.createDataFrame([(page,) for page in pages], "html string")
     got = {row.html: row.text for row in df.select("html", html_main_text(F.col("html")).alias("text")).collect()}
@@ -79,3 +91,44 @@ def test_scores_tell_all_words_apart_by_default(spark):
     total = 50_010 + 102
     want = {1: 100 / total, 2: 2 / total, 10: 1 / total, 50_019: 1 / total}
     assert all(abs(got[i] - math.log(p)) < 1e-9 for i, p in want.items())
+
+
+SOUP = ["<div>", "</div>", "<nav>", "</nav>", "<p>", "</p>", "<aside class='a>b'>", "</aside>", "<form>", "</form>", "</table>", "<td>", "<header>", "</header>"]
+SOUP += ["a b", "c", "<b>", "</b>", "<!-- x -->", "<script>n</p></script>", "<br>", "&amp;", "</section>", "<section>"]
+
+
+def plain_text(tokens):
+    """Texts that stand in no side element, with a stack of open elements."""
+    stack, out = [], []
+    for token in tokens:
+        name = token.strip("</>").split()[0] if token.startswith("<") else ""
+        if not token.startswith("<"):
+            if not any(x in ("nav", "aside", "form", "header") for x in stack):
+                out.append(token.replace("&amp;", "&"))
+        elif token.startswith("</") and name in stack:
+            while stack.pop() != name:
+                pass
+        elif not token.startswith("</") and name in ("div", "nav", "aside", "form", "td", "header", "section"):
+            stack.append(name)
+    return " ".join(out)
+
+
+def test_text_of_tag_soup_equals_a_plain_stack(spark):
+    pick = random.Random(6)
+    pages = [pick.choices(SOUP, k=pick.randrange(1, 60)) for _ in range(400)]
+    df = spark.createDataFrame([(i, "\n".join(page)) for i, page in enumerate(pages)], "id int, html string")
+    got = {row.id: row.text for row in df.select("id", html_main_text(F.col("html")).alias("text")).collect()}
+    assert got == {i: plain_text(page) for i, page in enumerate(pages)}
+
+
+def test_all_references_by_name_equal_pythons(spark):
+    names = sorted(html.entities.html5)
+    texts = [f"x &{name} y" for name in names] + [f"x &{name}z" for name in names if name.endswith(";")]
+    df = spark.createDataFrame([(text,) for text in texts], "t string")
+    for row in df.select("t", decode_references(F.col("t")).alias("d")).collect():
+        assert row.d == html.unescape(row.t)
+    numbers = [*range(1, 400), 8217, 0xD7FF, 0xE000, 0x10FFFF, 0x110000, 0xDFFF]
+    df = spark.createDataFrame([(f"a&#{n};b &#x{n:x}; &#{n} c",) for n in numbers], "t string")
+    for n, row in zip(numbers, df.select("t", decode_references(F.col("t")).alias("d")).collect(), strict=True):
+        if chr(n).isprintable() if n < 0x110000 else True:  # control characters stay what they are
+            assert row.d == html.unescape(row.t)
