@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from papyrine.operators.hooks import extract_markdown, extract_pages
 from papyrine.operators.relevance import mark_by_classifier
+from papyrine.operators.replies_store import ask_once
+from papyrine.sources.tables import new_folder
 from papyrine.workload.inputs import ID, rows_of, table
 
 CLASSIFIED_CHARS = 700
@@ -67,9 +69,26 @@ def markdown_hook(spark, sf_dir):
     return extracted.select("doc_id", "pdf_path", "md_extraction_result", "error")
 
 
-QUERIES = {"extract_pages_hook": pages_hook, "classify_hook": classifier_hook, "extract_markdown_hook": markdown_hook}
+def stored_replies_hook(spark, sf_dir):
+    """Two runs over one store: the second asks only about what failed in the first."""
+
+    def first():
+        return lambda prompts: [ValueError("no reply") if " con " in prompt else str(" the " in prompt).lower() for prompt in prompts]
+
+    def second():
+        return lambda prompts: ["second"] * len(prompts)
+
+    store = new_folder(spark, "replies")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ask_once(documents, first, store, "text", wait=0.0)
+    return ask_once(documents, second, store, "text", wait=0.0).select("doc_id", "reply", "error")
+
+
+QUERIES = {"extract_pages_hook": pages_hook, "classify_hook": classifier_hook, "extract_markdown_hook": markdown_hook, "stored_replies": stored_replies_hook}
 
 ORACLES = {
+    "stored_replies": """SELECT doc_id, CASE WHEN contains(text, ' con ') THEN 'second' WHEN contains(text, ' the ') THEN 'true' ELSE 'false' END AS reply,
+        CAST(NULL AS VARCHAR) AS error FROM documents""",
     "extract_pages_hook": f"""WITH files AS ({_FILES}),
         split AS (SELECT path, string_split(text, chr(10)) AS parts FROM files
           WHERE path IS NOT NULL AND length(text) >= 300)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from papyrine.operators.duplicates import drop_exact_duplicates
 from papyrine.operators.near_duplicates import LEAST, WIDTH, WORD, near_duplicates
+from papyrine.sources.tables import new_folder
+from papyrine.streaming.duplicates import drop_duplicates_across_arrivals
 from papyrine.workload.inputs import rows_of, table
 
 # Two documents share a key, some have none, some have no text, and a seventh of the rows is there twice.
@@ -24,7 +26,18 @@ def find_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {"dedup_exact": dedup_exact, "near_duplicates": find_near_duplicates}
+def dedup_arrivals(spark, sf_dir):
+    """The documents arrive in three parts, each of which is a run of its own."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    source, sink, checkpoint = (new_folder(spark, name) for name in ("arriving", "unique", "progress"))
+    last = documents.agg(F.max("doc_id")).first()[0] or 0
+    for part in range(3):
+        documents.filter(F.floor(F.col("doc_id") * 3 / (last + 1)) == part).write.mode("append").parquet(source)
+        drop_duplicates_across_arrivals(spark, source, documents.schema, sink, checkpoint, "doc_id", "text").awaitTermination()
+    return spark.read.schema(documents.schema).parquet(sink).select("doc_id", F.md5("text").alias("digest"))
+
+
+QUERIES = {"dedup_exact": dedup_exact, "dedup_arrivals": dedup_arrivals, "near_duplicates": find_near_duplicates}
 
 # All pairs of documents that share a shingle, and all that can be reached from each.
 _COMPONENTS = rf"""WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM documents),
@@ -40,5 +53,7 @@ _TWICE = f"(SELECT id, text FROM ({_KEYED}) UNION ALL SELECT id, text FROM ({_KE
 ORACLES = {
     "dedup_exact": f"""SELECT min(id) AS id, md5(text) AS digest FROM {_TWICE} WHERE text IS NOT NULL GROUP BY text
         UNION ALL SELECT id, NULL FROM {_TWICE} WHERE text IS NULL""",
+    "dedup_arrivals": """SELECT min(doc_id) AS doc_id, md5(text) AS digest FROM documents WHERE text IS NOT NULL GROUP BY text
+        UNION ALL SELECT doc_id, NULL FROM documents WHERE text IS NULL""",
     "near_duplicates": _COMPONENTS,
 }
