@@ -1,14 +1,15 @@
 """Lines that many documents share, kept in one of them. SQL functions only.
 
-The hashes of long lines are range-partitioned and sorted by hash, document and position, so that a line that fills much
-of the corpus is spread over tasks by its documents. A pass over each range finds the first line of every document that
-holds the hash, and what the ranges know of a hash is added up. The result is no text but one keep bitmap per
-document, compressed to its runs of dropped lines.
+The hashes of long lines are range-partitioned and sorted by hash, document and position. A line that fills much of the
+corpus has many documents; these are dealt over `STREAMS` streams of a line, so that ranges can end between them. A pass over each
+range finds the first line of every document in a stream, and what the streams know of a hash is added up. What is decided of
+a hash goes back to its streams, so that no task sees a common line as a whole. The result is no text but one keep bitmap
+per document, compressed to its runs of dropped lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from papyrine.llm.scratch import write_and_read
@@ -16,6 +17,7 @@ from papyrine.llm.scratch import write_and_read
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WHITE_SPACE = "\t\n\x0b\x0c\r "
 LINE = ["_h1", "_h2"]  # a line's hash, 128 bits
+STREAMS = 64  # parts of the documents of one line
 
 
 def lines_of(text: Column) -> Column:
@@ -44,32 +46,37 @@ def repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5)
     keyed = docs.select(*_row_names(F.col("doc_id"), F.col("text")), "text")
     places = F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("_place", "_key")
     hashes = keyed.select("named", "row_key", "text_hash", places).filter(F.char_length("_key") >= least_chars)
-    found = write_and_read(
-        hashes.select(
-            "named", "row_key", "text_hash", "_place", F.xxhash64("_key").alias(LINE[0]), F.xxhash64(F.lit(1), "_key").alias(LINE[1])
-        ),
-        "line-hashes",
-    )
-    document = F.struct("named", "row_key")
-    holders = (
-        found.select(*LINE, "named", "row_key", "_place")
-        .repartitionByRange(*LINE, "named", "row_key")
-        .sortWithinPartitions(*LINE, "named", "row_key", "_place")
-        .groupBy(*LINE, "named", "row_key")
-        .agg(F.first("_place").alias("_place"))
-    )
+    stream = F.pmod(F.xxhash64("named", "row_key"), F.lit(STREAMS)).cast("int").alias("_stream")
+    line = [F.xxhash64("_key").alias(LINE[0]), F.xxhash64(F.lit(1), "_key").alias(LINE[1])]
+    found = write_and_read(hashes.select(*line, stream, "named", "row_key", "text_hash", "_place"), "line-hashes")
+    streams = write_and_read(_streams(found), "line-streams")
     common = (
-        holders.groupBy(*LINE)
-        .agg(F.count(F.lit(1)).alias("_docs"), F.max("row_key").alias("_any"), F.max(F.when(F.col("named"), F.col("row_key"))).alias("_keeper"))
+        streams.groupBy(*LINE)
+        .agg(F.sum("_docs").alias("_docs"), F.max("_any").alias("_any"), F.max("_last").alias("_keeper"))
         .filter(F.col("_docs") >= least_docs)
         .select(*LINE, F.col("_keeper").isNotNull().alias("_keeper_named"), F.coalesce("_keeper", "_any").alias("_keeper"))
     )
+    decided = streams.select(*LINE, "_stream").join(common, LINE)
     kept = (F.col("named") == F.col("_keeper_named")) & (F.col("row_key") == F.col("_keeper"))
-    dropped = found.join(common, LINE).filter(~kept)
+    dropped = found.join(decided, [*LINE, "_stream"]).filter(~kept)
     positions = F.sort_array(F.collect_set("_place"))
     return dropped.groupBy("named", "row_key", "text_hash").agg(_runs(positions).alias("dropped"))
 
 
+def _streams(found: DataFrame) -> DataFrame:
+    """Of each line and stream: _docs, how many documents hold the line, the greatest row_key, _any, and that with a doc_id, _last.
+
+    The ranges are sorted once; a document's first line is the one that another document's, or nothing, precedes.
+    """
+    key, document = [*LINE, "_stream"], ["named", "row_key"]
+    ordered = found.repartitionByRange(*key).sortWithinPartitions(*key, *document, "_place")
+    before = F.lag(F.struct(*document)).over(Window.partitionBy(*key).orderBy(*document, "_place"))
+    first = ordered.withColumn("_before", before).filter(F.col("_before").isNull() | (F.col("_before") != F.struct(*document)))
+    return first.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_docs"), F.max("row_key").alias("_any"), F.max(F.when(F.col("named"), F.col("row_key"))).alias("_last")
+    )
+
+
 def _runs(positions: Column) -> Column:
     """Runs of consecutive numbers in a sorted array."""
     firsts = F.filter(positions, lambda x, i: (i == 0) | (F.get(positions, i - 1) != x - 1))

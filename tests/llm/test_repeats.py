@@ -1,6 +1,7 @@
 """Suffix dedup, line dedup and SimHash against plain versions."""
 
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -87,6 +88,21 @@ def test_line_dedup_of_odd_rows(odd, odd_rows, none):
     assert line_dedup.drop_repeated_lines(none).collect() == []
 
 
+def test_first_lines_come_from_sorted_ranges(many_partitions):
+    rows = [(h, h * 7, i % 4, True, i // 3, 0, i % 3) for h in range(50) for i in range(60)]
+    found = many_partitions.createDataFrame(rows, "_h1 long, _h2 long, _stream int, named boolean, row_key long, text_hash long, _place int").repartition(5)
+    streams = line_dedup._streams(found)
+    got = {(r._h1, r._stream): (r._docs, r._any, r._last) for r in streams.collect()}
+    for h in range(50):
+        for stream in range(4):
+            docs = {i // 3 for i in range(60) if i % 4 == stream}
+            assert got[h, stream] == (len(docs), max(docs), max(docs))
+    plan = streams._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    steps = re.findall(r"Window|Sort |rangepartitioning|hashpartitioning", final)
+    assert steps == ["Window", "Sort ", "rangepartitioning"], final  # one sort and one shuffle, and both are used
+
+
 def test_line_dedup_with_a_hot_line(many_partitions):
     hot = "this line stands in each and every document of the table"
     texts = [f"{hot.upper() if n % 2 else hot}\nrow {n}\n {hot} " for n in range(2_000)]
