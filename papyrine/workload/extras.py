@@ -14,6 +14,7 @@ from papyrine.operators.partitioning import spread
 from papyrine.operators.subsets import assign_subsets
 from papyrine.plans.stages import extract, with_subset
 from papyrine.sources.files import walk_files
+from papyrine.sources.page_files import FORMAT, register
 from papyrine.sources.tables import EXTRACTION_SCHEMA, QUALITY_SCHEMA, new_folder, read_stage, subsets_in, write_stage
 from papyrine.streaming.arrivals import process_arrivals
 from papyrine.workload.cleaning import oracle_clean
@@ -89,6 +90,18 @@ def walk_nested_roots(spark, sf_dir):
     return files.groupBy(inside.alias("folder")).agg(F.sum("length").alias("bytes"))
 
 
+def read_page_files(spark, sf_dir):
+    """Files of documents, each line of a file a page; folders are chosen by their path while planning."""
+    register(spark)
+    folder = new_folder(spark, "files")
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"), F.floor(F.col("doc_id") / FOLDER_SIZE).alias("part"))
+    sorted_files = documents.repartition("part").sortWithinPartitions("part", "doc_id").drop("doc_id")
+    sorted_files.write.partitionBy("part").text(folder)
+    pages = spark.read.format(FORMAT).option("extensions", ".txt").option("partitionBytes", 1 << 16).load(folder)
+    part = F.regexp_extract("pdf_path", "/part=([0-9]+)/[^/]*$", 1).cast("long")
+    return pages.filter(F.contains("pdf_path", F.lit("/part="))).select(part.alias("part"), "page_no", "text", "error")
+
+
 def read_binary_pages(spark, sf_dir):
     """Whole files as bytes, on Spark's default settings."""
     files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
@@ -104,6 +117,7 @@ QUERIES = {
     "row_at": fifth_row,
     "walk_nested_roots": walk_nested_roots,
     "extract_pages_binary": read_binary_pages,
+    "page_files": read_page_files,
 }
 
 
@@ -134,6 +148,9 @@ ORACLES = {
     "row_at": "SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 1 OFFSET 4",
     "walk_nested_roots": f"""SELECT 'kind=0/subset_id=' || CAST(doc_id // {FOLDER_SIZE} AS VARCHAR) AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes
         FROM documents WHERE doc_id % 2 = 0 GROUP BY doc_id // {FOLDER_SIZE}""",
+    "page_files": f"""SELECT part, CAST(row_number() OVER (PARTITION BY part ORDER BY doc_id, n) AS INTEGER) AS page_no, line AS text, CAST(NULL AS VARCHAR) AS error
+        FROM (SELECT doc_id, doc_id // {FOLDER_SIZE} AS part, unnest(l) AS line, generate_subscripts(l, 1) AS n
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))""",
     "extract_pages_binary": """SELECT CAST(doc_id AS VARCHAR) AS pdf_path, CAST(n AS INTEGER) AS page_no, parts[n] AS text
         FROM (SELECT doc_id, parts, unnest(generate_series(1, len(parts))) AS n
           FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))""",

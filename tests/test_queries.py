@@ -15,7 +15,7 @@ import __spark_entry__ as registered  # noqa: E402
 from papyrine import workload  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
-HOOKS = {"extract_pages_hook", "classify_hook", "extract_markdown_hook", "extract_pages_binary"}
+HOOKS = {"extract_pages_hook", "classify_hook", "extract_markdown_hook", "extract_pages_binary", "page_files"}
 
 
 @pytest.fixture(scope="module")
