@@ -34,6 +34,8 @@ SAMPLE_CHARS = 20_000  # longer texts are no examples, which bounds the sample i
 CHI2_RANGE = 1.0, 100.0  # beyond, chi-squared makes no difference to a word's weight
 NEIGHBOURS = 15
 BLOCK = 32
+DENSE = 8  # a word in one of so many entries is frequent
+TEXTS_AT_ONCE = 256
 CACHED_PIECES = 600_000  # kept by a worker process
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -116,64 +118,99 @@ class Examples:
 
     def __post_init__(self) -> None:
         word, entry, weight = self.postings
+        n = len(self.toxic)
+        # Words that many entries hold have a weight for every entry; their part of all products is one multiplication.
+        frequent = np.bincount(word, minlength=len(self.words)) * DENSE >= max(n, 1)
+        self._row = np.where(frequent, np.cumsum(frequent) - 1, -1)
+        self._rows = np.zeros((int(frequent.sum()), n))
+        self._rows[self._row[word[frequent[word]]], entry[frequent[word]]] = weight[frequent[word]]
+        word, entry, weight = (x[~frequent[self.postings[0]]] for x in self.postings)
         block = entry // BLOCK
         heads = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (block[1:] != block[:-1]))) if len(word) else np.zeros(0, int)
-        self._block, self._begin = block[heads], heads
+        self._entry, self._weight, self._block, self._begin = entry, weight, block[heads], heads
         self._size = np.diff(np.append(heads, len(word)))
         self._most = np.maximum.reduceat(weight, heads) if len(heads) else np.zeros(0)
         self._of_word = np.searchsorted(word[heads], np.arange(len(self.words) + 1))
-        self._blocks = -(-len(self.toxic) // BLOCK)
+        self._blocks = -(-n // BLOCK)
+        self._block_of = np.arange(n) // BLOCK
 
-    def vector(self, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Listed words of a text and their weights in its unit vector, to which all its words belong."""
-        tf = 1 + np.log(counts)
+    def vectors(self, text: np.ndarray, words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, word and weight of the listed words in the unit vectors of n texts, to which all their words belong."""
         listed = words < len(self.words)
-        weights = tf[listed] * self.factors[words[listed]]
-        length = np.sqrt(weights @ weights + self.unheard**2 * (tf[~listed] @ tf[~listed]))
-        return words[listed], weights / length if length else weights
-
-    def nearest(self, words: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The k entries of highest cosine and their cosines; of equal ones the first entries. Cosines are above 0."""
-        sizes = self._of_word[words + 1] - self._of_word[words]
-        lists = ragged(self._of_word[words], sizes)  # of each word the blocks that hold it
+        weights = (1 + np.log(counts)) * np.append(self.factors, self.unheard)[np.minimum(words, len(self.words))]
+        lengths = np.sqrt(np.bincount(text, weights**2, minlength=n))
+        return text[listed], words[listed], weights[listed] / lengths[text[listed]]
+
+    def frequent_parts(self, text: np.ndarray, words: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+        """text x entry: what frequent words add to the cosines."""
+        row = self._row[words]
+        asked = np.zeros((n, len(self._rows)))
+        asked[text[row >= 0], row[row >= 0]] = weights[row >= 0]
+        return asked @ self._rows
+
+    def nearest(self, words: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, part: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k entries of highest cosine and their cosines; of equal ones the first entries. Cosines are above 0.
+
+        `part`: what frequent words add, if that is known already.
+        """
+        if part is None:
+            part = self.frequent_parts(np.zeros(len(words), int), words, weights, 1)[0]
+        rare = self._row[words] < 0
+        words, weights = words[rare], weights[rare]
+        first_list = self._of_word[words]
+        sizes = self._of_word[words + 1] - first_list
+        lists = ragged(first_list, sizes)  # of each word the blocks that hold it
         own, block = np.repeat(weights, sizes), self._block[lists]
         bound = np.bincount(block, own * self._most[lists], minlength=self._blocks)
+        if len(part):
+            bound = bound + np.maximum.reduceat(part, np.arange(0, len(part), BLOCK))
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        places, cosines, worst, first, some = np.zeros(0, int), np.zeros(0), 0.0, 0, 8
-        rank = np.full(self._blocks, len(order))
+        places, cosines, worst, first, some = np.zeros(0, int), np.zeros(0), 1e-9, 0, 16
+        rank = np.empty(self._blocks, np.int64)
         rank[order] = np.arange(len(order))
-        rank_of = rank[block]
-        while first < len(order) and bound[order[first]] >= worst - 1e-9:
-            here = (rank_of >= first) & (rank_of < first + some)
-            begin, size = self._begin[lists[here]], self._size[lists[here]]
-            at = ragged(begin, size)
-            found = np.bincount(self.postings[1][at], np.repeat(own[here], size) * self.postings[2][at], minlength=len(self.toxic))
+        while first < len(order) and bound[order[first]] >= worst - 1e-8:
+            last = np.count_nonzero(bound >= worst - 1e-8) if first else some  # then all that may hold a nearer one
+            here = np.flatnonzero((rank[block] >= first) & (rank[block] < last))
+            size = self._size[lists[here]]
+            at = ragged(self._begin[lists[here]], size)
+            found = part + np.bincount(self._entry[at], np.repeat(own[here], size) * self._weight[at], minlength=len(part))
+            found[(rank[self._block_of] < first) | (rank[self._block_of] >= last)] = 0
+            if len(found) > k:
+                worst = max(worst, np.partition(found, -k)[-k])
             reached = np.flatnonzero(found > max(worst - 1e-8, 1e-9))
             places, cosines = np.append(places, reached), np.append(cosines, found[reached])
-            if len(places) > k:
-                worst = np.partition(cosines, -k)[-k]
-                near = cosines > worst - 1e-8
-                places, cosines = places[near], cosines[near]
-            first, some = first + some, 4 * some
+            first = last
         keep = np.lexsort((places, -np.round(cosines, 9)))[:k]
         return places[keep], cosines[keep]
 
-    def vote(self, words: np.ndarray, counts: np.ndarray, without: tuple[int, float, float] | None = None) -> tuple[float, np.ndarray]:
-        """Share of label 1 among the neighbours' votes. `without`: an entry and what one example adds to it."""
+    def votes(
+        self, text: np.ndarray, words: np.ndarray, counts: np.ndarray, n: int, without: list[tuple[int, float, float]] | None = None
+    ) -> Iterator[tuple[float, np.ndarray]]:
+        """For each of n texts the share of label 1 among the neighbours' votes, and the neighbours.
+
+        `without`: for each text an entry and what one example adds to it, which does not count.
+        """
         prior = self.base[0] / self.base[1] if self.base[1] else 0.0
-        words, weights = self.vector(words, counts)
-        if not len(words):
-            return prior, words
-        places, cosines = self.nearest(words, weights)
-        toxic, total = self.toxic[places].copy(), self.weight[places].copy()
-        if without is not None:
-            own = places == without[0]
-            toxic[own] -= without[1]
-            total[own] -= without[2]
-        near = 1 / (1.05 - np.minimum(cosines, 1)) ** 2
         mean = self.weight.mean() if len(self.weight) else 1.0
-        return float(((near * toxic).sum() + prior * mean) / ((near * total).sum() + mean)), places
+        text, words, weights = self.vectors(text, words, counts, n)
+        cuts = np.searchsorted(text, np.arange(n + 1))
+        for first in range(0, n, TEXTS_AT_ONCE):
+            last = min(first + TEXTS_AT_ONCE, n)
+            some = slice(cuts[first], cuts[last])
+            parts = self.frequent_parts(text[some] - first, words[some], weights[some], last - first)
+            for i in range(first, last):
+                own = slice(cuts[i], cuts[i + 1])
+                if not len(words[own]):
+                    yield prior, words[own]
+                    continue
+                places, cosines = self.nearest(words[own], weights[own], part=parts[i - first])
+                toxic, total = self.toxic[places].copy(), self.weight[places].copy()
+                if without is not None:
+                    mine = places == without[i][0]
+                    toxic[mine] -= without[i][1]
+                    total[mine] -= without[i][2]
+                near = 1 / (1.05 - np.minimum(cosines, 1)) ** 2
+                yield float(((near * toxic).sum() + prior * mean) / ((near * total).sum() + mean)), places
 
     def probability(self, votes: np.ndarray) -> np.ndarray:
         return np.interp(votes, *self.curve)
@@ -277,7 +314,9 @@ def _votes(spark: SparkSession, examples: Examples, counted: list[tuple], withou
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = batch.column("id").to_pylist()
-            found = [examples.vote(*np.array(counted[i], int).reshape(-1, 2).T, without[i] if counted[i] else None)[0] for i in places]
+            rows = [(k, word, n) for k, i in enumerate(places) for word, n in counted[i]]
+            text, words, counts = np.array(rows, int).reshape(-1, 3).T
+            found = [vote for vote, _ in examples.votes(text, words, counts, len(places), [without[i] for i in places])]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.float64())], names=["id", "vote"])
 
     rows = spark.range(len(counted)).mapInArrow(run, "id long, vote double").toArrow()
@@ -298,19 +337,11 @@ def score(docs: DataFrame, examples: Examples) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, known = WordCounter(examples.words), {}
+        counter = WordCounter(examples.words)
         for batch in text_slices(batches):
-            text, words, counts = counter.counts(*flat(batch.column("text")))
-            cuts = np.searchsorted(text, np.arange(batch.num_rows + 1))
-            votes, evidence = np.zeros(batch.num_rows), []
-            for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                key = words[a:b].tobytes() + counts[a:b].tobytes()
-                if key not in known:
-                    if len(known) > 50_000:
-                        known = {}
-                    known[key] = examples.vote(words[a:b], counts[a:b])
-                votes[i] = known[key][0]
-                evidence.append([examples.doc_ids[p] for p in known[key][1][:5]])
+            found = list(examples.votes(*counter.counts(*flat(batch.column("text"))), batch.num_rows))
+            votes = np.array([vote for vote, _ in found])
+            evidence = [[examples.doc_ids[p] for p in places[:5]] for _, places in found]
             scores = np.clip(examples.probability(votes), 0, 1)
             predicted = pa.array((scores >= 0.5).astype(np.int32))
             columns = [batch.column("doc_id"), pa.array(scores), predicted, pa.array(evidence, pa.list_(batch.schema.field("doc_id").type))]

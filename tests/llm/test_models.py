@@ -96,7 +96,7 @@ def test_scores_equal_plain_tf_idf_neighbours(spark):
         own = vector(tokens[i])
         best = sorted((sum(x * own.get(w, 0) for w, x in v.items()) for v in {tuple(sorted(tokens[j].items())): index[j] for j in index}.values()), reverse=True)
         words = sorted((number.get(w, len(number) + k), n) for k, (w, n) in enumerate(tokens[i].items()))
-        asked, weights = examples.vector(*np.array(words).T)
+        _, asked, weights = examples.vectors(np.zeros(len(words), int), *np.array(words).T, 1)
         places, cosines = examples.nearest(asked, weights)
         assert np.allclose(cosines, best[: toxicity.NEIGHBOURS], atol=1e-7)
         near = 1 / (1.05 - np.minimum(cosines, 1)) ** 2
