@@ -235,6 +235,40 @@ def test_tiling_equals_brute_force():
         assert got == brute.tiles(text, item, 3)
 
 
+def test_overlaps_equal_brute_force_tiles():
+    pick = random.Random(14)
+    for _ in range(150):
+        texts = [" ".join(f"w{pick.randrange(4)}" for _ in range(pick.randint(3, 20))) for _ in range(4)]
+        text = " ".join([f"w{pick.randrange(4)}" for _ in range(40)] + texts[0].split())
+        items = decontaminate.Items.of(list(range(4)), texts, 3)
+        words, _ = decontaminate.WordHashes()(*arrays.flat(pa.array([text])))
+        want = []
+        for number, own in enumerate(texts):
+            tiles = brute.tiles(text.split(), own.split(), 3)
+            coverage = sum(n for n, _, _ in tiles) / len(own.split())
+            if coverage >= 0.5:
+                want.append((number, coverage, len(tiles), tiles[0][0]))
+        assert decontaminate._overlaps(words, items, 0.5) == want
+
+
+def test_repeated_words_and_templates_take_linear_time():
+    import time
+
+    question = " ".join(f"q{i}" for i in range(30))
+    templates = [f"{question} " + " ".join(f"r{j}x{i}" for i in range(10 + 25 * (j % 2))) for j in range(5000)]
+    cases = [
+        (" ".join(["x"] * 40_000), [" ".join(["x"] * 200)], 1),
+        (" ".join(["x", "y"] * 20_000 + ["z"]), [" ".join(["x", "y"] * 100), " ".join(["y"] * 200)], 1),
+        (question + " other" * 300, templates, 2500),
+    ]
+    for text, texts, found in cases:
+        items = decontaminate.Items.of(list(range(len(texts))), texts, decontaminate.SEED_WORDS)
+        words, _ = decontaminate.WordHashes()(*arrays.flat(pa.array([text])))
+        start = time.perf_counter()
+        assert len(decontaminate._overlaps(words, items, 0.5)) == found
+        assert time.perf_counter() - start < 2
+
+
 def test_overlaps_of_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "x"), (None, "no id"), (5, "!!!"), (6, "alpha " * 50), (6, "alpha " * 50)], "item_id long, text string")
     got = {(row.doc_id, row.item_id) for row in decontaminate.find_overlaps(odd, items).collect()}
