@@ -2,7 +2,8 @@
 
 Features are relative frequencies of hashed three- and four-byte strings of the folded text, so a machine's decision is the
 mean of its weights over all places of a text, whatever its length. Machines are trained on a bounded sample of labelled
-rows; prediction is one pass over the texts without a shuffle.
+rows, each pair of labels in a task of its own and with all features of its rows; prediction is one pass over the texts without
+a shuffle.
 """
 
 from __future__ import annotations
@@ -12,19 +13,23 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from papyrine.llm.arrays import flat, text_slices
+from papyrine.llm.scratch import write_and_read
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 ORDERS = (3, 4)
-MOST_FEATURES = 3000
 SAMPLE_PER_LANGUAGE = 1000  # labelled rows used for training, in expectation
+SAMPLE_ROWS = 10_000  # the same over all languages, which then share them evenly
 SAMPLE_CHARS = 20_000  # longer texts are not trained on, which bounds the sample in bytes
+LEAST_ROWS = 20  # a label of fewer rows is not learned, unless a hundredth of the labelled rows have it
+_TASKS = 2048  # that machines are dealt over at most
 
 # Families of languages by code. A language that is not here is a family by itself.
 FAMILIES = {
@@ -79,15 +84,15 @@ def _places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.stack(buckets), begins
 
 
-def _mean_weights(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Mean of the weights (bucket x machine) over the places of each text."""
+def _mean_weights(data: np.ndarray, offsets: np.ndarray, place: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
+    """Mean of each machine's weights (by the place of a bucket) over the places of each text."""
     buckets, begins = _places(data, offsets)
-    total = np.zeros((len(offsets) - 1, weights.shape[1]))
+    total = np.zeros((len(offsets) - 1, len(weights)))
     count = np.zeros(len(offsets) - 1)
-    for order, row in zip(ORDERS, buckets, strict=True):
+    for order, row in zip(ORDERS, place[buckets], strict=True):
         ends = np.maximum(begins[1:] - order + 1, begins[:-1])  # strings do not reach into the next text
-        for machine in range(weights.shape[1]):
-            running = np.append(0.0, np.cumsum(weights[row, machine], dtype=np.float64))
+        for machine, own in enumerate(weights):
+            running = np.append(0.0, np.cumsum(own[row], dtype=np.float64))
             total[:, machine] += running[ends] - running[begins[:-1]]
         count += ends - begins[:-1]
     return total / np.maximum(count, 1)[:, None]
@@ -99,7 +104,7 @@ class Machines:
 
     labels: list[str]
     pairs: list[tuple[int, int]]
-    weights: np.ndarray
+    weights: np.ndarray  # machine x place of a bucket; the last place is that of buckets never seen
     bias: np.ndarray
     slope: np.ndarray
 
@@ -126,55 +131,67 @@ class Machines:
         return result
 
 
-def _train_pair(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float, float]:
-    """Weights, bias and slope of one machine: dual coordinate descent for the L2-regularised hinge loss, then a logistic
-    curve through its margins. Classes weigh the same in both."""
+def _train_pair(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, size: int, rounds: int = 30, gap: float = 0.01) -> tuple[np.ndarray, float, float]:
+    """Weights, bias and slope of one machine: dual coordinate descent for the L2-regularised hinge loss, until no coordinate
+    is off by more than `gap`, then a logistic curve through its margins. Classes weigh the same in both.
+
+    Each row is the numbers of its features, below `size`, and their values."""
     balance = np.where(y > 0, len(y) / (2 * max((y > 0).sum(), 1)), len(y) / (2 * max((y < 0).sum(), 1)))
-    alpha, w = np.zeros(len(y)), np.zeros(x.shape[1], np.float32)
-    norms = np.einsum("ij,ij->i", x, x)
+    alpha, w, bias = np.zeros(len(y)), np.zeros(size), 0.0
+    norms = np.array([values @ values + 1 for _, values in rows])
     order = np.random.default_rng(5)
     for _ in range(rounds):
+        worst = 0.0
         for i in order.permutation(len(y)):
-            gradient = y[i] * (x[i] @ w) - 1
-            fresh = min(max(alpha[i] - gradient / max(norms[i], 1e-12), 0.0), balance[i])
-            if fresh != alpha[i]:
-                w += np.float32((fresh - alpha[i]) * y[i]) * x[i]
+            at, values = rows[i]
+            gradient = y[i] * (values @ w[at] + bias) - 1
+            fresh = min(max(alpha[i] - gradient / norms[i], 0.0), balance[i])
+            step = fresh - alpha[i]
+            if step:
+                worst = max(worst, abs(step) * norms[i])
+                w[at] += step * y[i] * values
+                bias += step * y[i]
                 alpha[i] = fresh
-    margin, slope = x @ w, 1.0
+        if worst <= gap:
+            break
+    margin, slope = np.array([values @ w[at] for at, values in rows]) + bias, 1.0
     target = np.where(y > 0, 0.98, 0.02)
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(slope * margin, -30, 30)))
         curve = (balance * p * (1 - p) * margin**2).sum() + 1e-6
         slope = min(max(slope + (balance * (target - p) * margin).sum() / curve, 0.1), 20.0)
-    return w[:-1], float(w[-1]), slope
+    return w, float(bias), slope
 
 
-def _train_machines(x: np.ndarray, names: list[str]) -> Machines:
-    labels = sorted(set(names))
-    pairs = list(combinations(range(len(labels)), 2))
-    own = np.array([labels.index(name) for name in names])
-    found = []
-    for first, second in pairs:
-        rows = (own == first) | (own == second)
-        found.append(_train_pair(x[rows], np.where(own[rows] == first, 1.0, -1.0)))
-    weights = np.array([w for w, _, _ in found]).T if found else np.zeros((x.shape[1] - 1, 0))
-    return Machines(labels, pairs, weights, np.array([b for _, b, _ in found]), np.array([s for _, _, s in found]))
+def _train_machine(rows: pd.DataFrame) -> pd.DataFrame:
+    """One machine from the texts of its two sides: its buckets with their weights, its bias and slope."""
+    rows = rows.sort_values(["side", "text"])
+    counted = [_relative_counts(text) for text in rows["text"]]
+    buckets, number = np.unique(np.concatenate([found for found, _ in counted]), return_inverse=True)
+    mean = np.bincount(number, np.concatenate([part for _, part in counted]), len(buckets)) / len(counted)
+    scale = 1 / np.sqrt(mean + 1 / BUCKETS)  # frequent strings count less; those in hardly any text do not count more
+    ends = np.cumsum([len(found) for found, _ in counted])
+    vectors = [(number[end - len(part) : end], part * scale[number[end - len(part) : end]]) for (_, part), end in zip(counted, ends, strict=True)]
+    weights, bias, slope = _train_pair(vectors, rows["side"].to_numpy(float), len(buckets))
+    result = [(int(rows["machine"].iloc[0]), buckets.astype(np.int32), (weights * scale).astype(np.float32), bias, slope)]
+    return pd.DataFrame(result, columns=["machine", "buckets", "weights", "bias", "slope"])
 
 
 @dataclass
 class LanguageModel:
-    """Machines between families, and those within each family. All weights lie side by side in one table."""
+    """Machines between families, and those within each family, with the place of each bucket in their weights."""
 
     families: Machines
     languages: dict[str, Machines]
+    place: np.ndarray
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str | None], np.ndarray]:
         """The language of each text and how certain it is; UNDETERMINED and 0 for texts without a letter.
 
         The certainty is that of the family times that of the language within it, each against the closest rival."""
         groups = [self.families, *self.languages.values()]
-        means = _mean_weights(data, offsets, np.concatenate([g.weights for g in groups], axis=1).astype(np.float32))
-        cuts = np.cumsum([0, *(g.weights.shape[1] for g in groups)])
+        means = _mean_weights(data, offsets, self.place, [row for g in groups for row in g.weights])
+        cuts = np.cumsum([0, *(len(g.weights) for g in groups)])
         parts = [g.probabilities(means[:, a:b]) for g, a, b in zip(groups, cuts[:-1], cuts[1:], strict=True)]
         sure = [g.certainties(means[:, a:b]) for g, a, b in zip(groups, cuts[:-1], cuts[1:], strict=True)]
         top = parts[0].argmax(axis=1)
@@ -212,53 +229,71 @@ def _relative_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return found, count / max(count.sum(), 1)
 
 
-def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, longest: int = SAMPLE_CHARS) -> LanguageModel:
+def _labels(usable: DataFrame, least_rows: int) -> dict[str, int]:
+    """Rows of each label that has at least `least_rows`, or a hundredth of all."""
+    counts = write_and_read(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language_rows")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return {row["lang"]: row["n"] for row in counts.filter((F.col("n") >= least_rows) | (F.col("n") * 100 >= total)).collect()}
+
+
+def train(
+    docs: DataFrame,
+    per_language: int = SAMPLE_PER_LANGUAGE,
+    longest: int = SAMPLE_CHARS,
+    sample_rows: int = SAMPLE_ROWS,
+    least_rows: int = LEAST_ROWS,
+) -> LanguageModel:
     """Train on the text and lang of rows that have both, and a doc_id that is not held out.
 
-    The sample is bounded: about `per_language` rows of each language, chosen by a hash of doc_id, with texts of at most
-    `longest` code points. A table without such rows gives a model that knows no language but UNDETERMINED.
+    The sample is bounded: about `per_language` rows of each language, and `sample_rows` of all, chosen by a hash of doc_id,
+    with texts of at most `longest` code points. A label of fewer than `least_rows` rows and less than a hundredth of the
+    labelled ones is taken for a slip and not learned. A table without labelled rows gives a model that knows no language
+    but UNDETERMINED. Each pair of labels is a Spark task; the driver gets a weight for each bucket that a pair has met,
+    65,536 at most.
     """
+    spark = docs.sparkSession
     usable = docs.select("doc_id", "text", "lang").filter(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.char_length("text") <= longest)
     )
-    counts = {row["lang"]: row["n"] for row in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = _labels(usable, least_rows)
+    groups: dict[str | None, list[str]] = {None: sorted({family_of(lang) for lang in counts})}  # None: the families themselves
+    for family in groups[None]:
+        groups[family] = sorted(lang for lang in counts if family_of(lang) == family)
+    machines = [(group, *pair) for group, labels in groups.items() for pair in combinations(labels, 2)]
+    sides = [  # (lang, machine, side): whose rows a machine learns from
+        (lang, number, side)
+        for number, (group, *pair) in enumerate(machines)
+        for label, side in zip(pair, (1, -1), strict=True)
+        for lang in (groups[label] if group is None else [label])
+    ]
+    found, place, used = {}, np.zeros(BUCKETS, np.int32), np.zeros(0, int)
+    if machines:
+        scale, quota = 1 << 30, max(min(per_language, sample_rows // len(counts)), 1)
+        shares = spark.createDataFrame([(lang, min(scale, scale * quota // n)) for lang, n in counts.items()], "lang string, share long")
+        chosen = usable.join(shares, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < F.col("share"))
+        sample = write_and_read(chosen.select("lang", "text"), "language_sample")
+        dealt = sample.join(spark.createDataFrame(sides, "lang string, machine int, side int"), "lang").drop("lang")
+        dealt = dealt.repartition(min(8 * len(machines), _TASKS), "machine")
+        schema = "machine int, buckets array<int>, weights array<float>, bias double, slope double"
+        trained = dealt.groupBy("machine").applyInPandas(_train_machine, schema).toPandas()  # bounded by the number of pairs
+        found = {row.machine: row for row in trained.itertuples()}
+        used = np.unique(np.concatenate([row.buckets for row in found.values()])).astype(int)
+        place[:] = len(used)
+        place[used] = np.arange(len(used))
+
+    def machines_of(group: str | None) -> Machines:
+        own = [found.get(number) for number, machine in enumerate(machines) if machine[0] == group]
+        weights = np.zeros((len(own), len(used) + 1), np.float32)
+        for row, machine in zip(weights, own, strict=True):
+            if machine is not None:
+                row[place[machine.buckets]] = machine.weights
+        bias, slope = ([getattr(x, name) if x is not None else 0.0 for x in own] for name in ("bias", "slope"))
+        pairs = list(combinations(range(len(groups[group])), 2))
+        return Machines(groups[group], pairs, weights, np.array(bias), np.array(slope))
+
     if not counts:
-        nothing = Machines([UNDETERMINED], [], np.zeros((BUCKETS, 0)), np.zeros(0), np.zeros(0))
-        return LanguageModel(nothing, {UNDETERMINED: nothing})
-    scale = 1 << 30
-    share = F.lit(scale)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(scale, scale * per_language // n))).otherwise(share)
-    chosen = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < share)
-    sample = chosen.select("text", "lang").toPandas().sort_values(["lang", "text"])  # bounded as above
-    counted = [_relative_counts(text) for text in sample["text"]]
-    mean = np.zeros(BUCKETS)
-    for found, part in counted:
-        mean[found] += part / len(counted)
-    used = np.sort(np.argsort(-mean, kind="stable")[:MOST_FEATURES])  # frequent strings tell; the others' weights stay 0
-    used = used[mean[used] > 0]
-    scales, place = 1 / np.sqrt(mean[used]), np.full(BUCKETS, -1)
-    place[used] = np.arange(len(used))
-    x = np.ones((len(sample), len(used) + 1), np.float32)
-    x[:, :-1] = 0
-    for i, (found, part) in enumerate(counted):
-        kept = place[found] >= 0
-        x[i, place[found[kept]]] = part[kept] * scales[place[found[kept]]]
-
-    def full(machines: Machines) -> Machines:
-        weights = np.zeros((BUCKETS, machines.weights.shape[1]))
-        weights[used] = machines.weights * scales[:, None]
-        machines.weights = weights
-        return machines
-
-    langs = sample["lang"].tolist()
-    groups = [family_of(lang) for lang in langs]
-    families = full(_train_machines(x, groups))
-    languages = {}
-    for family in families.labels:
-        own = [i for i, group in enumerate(groups) if group == family]
-        languages[family] = full(_train_machines(x[own], [langs[i] for i in own]))
-    return LanguageModel(families, languages)
+        groups = {None: [UNDETERMINED], UNDETERMINED: [UNDETERMINED]}
+    return LanguageModel(machines_of(None), {family: machines_of(family) for family in groups[None]}, place)
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
