@@ -269,8 +269,8 @@ def train(
     found, place, used = {}, np.zeros(BUCKETS, np.int32), np.zeros(0, int)
     if machines:
         scale, quota = 1 << 30, max(min(per_language, sample_rows // len(counts)), 1)
-        shares = spark.createDataFrame([(lang, min(scale, scale * quota // n)) for lang, n in counts.items()], "lang string, share long")
-        chosen = usable.join(shares, "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < F.col("share"))
+        shares = F.create_map([F.lit(x) for lang, n in counts.items() for x in (lang, min(scale, scale * quota // n))])
+        chosen = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < shares[F.col("lang")])  # null where a label is not learned
         sample = write_and_read(chosen.select("lang", "text"), "language_sample")
         dealt = sample.join(spark.createDataFrame(sides, "lang string, machine int, side int"), "lang").drop("lang")
         dealt = dealt.repartition(min(8 * len(machines), _TASKS), "machine")
