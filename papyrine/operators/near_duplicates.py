@@ -5,9 +5,10 @@ two sets agree in such a minimum as often as they share shingles (Jaccard simila
 agree in a whole band meet in a bucket. Everything is expressions and joins; nothing runs in Python.
 
 A bucket's members are compared with one of them, its pivot, exactly and by whole sets: as many comparisons as members, so a
-bucket of thousands of near copies is settled in one pass. A bucket whose members are still not all connected is cut by the
-other bands: sets that are alike agree in many bands, sets that share but a common footer don't. This goes on for `DEPTH`
-bands; what is then left apart is compared with further pivots, until a round brings no link.
+bucket of thousands of near copies is settled in one pass. Where its members are still not all connected, a bucket of at most
+`WHOLE` members is settled by all its pairs. A larger one is cut by the other bands: sets that are alike agree in many bands,
+sets that share but a common footer don't. This goes on for `DEPTH` bands; what is then left apart is compared with ever more
+pivots, four times as many in each round, until a round brings no link or all pairs were compared.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from papyrine.sources.tables import materialize
 WIDTH, LEAST = 5, 0.8
 BANDS, ROWS = 32, 4  # at the least similarity a pair shares no band with a probability of 5e-8
 DEPTH = 3
+WHOLE = 64  # a bucket with so many members is settled by all its pairs, each of which is compared once for all buckets
 PART = 8  # bands whose minima are found in one pass
 # Fixed value: words are runs of letters and digits, in lower case.
 WORD = r"[\p{L}\p{N}]+"
@@ -86,11 +88,19 @@ def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 
 
 def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """The members (bucket, vertex, n) of the buckets that links do not connect yet; a bucket of two is settled."""
+    """The members (bucket, vertex, n, size, root) of the buckets that links do not connect yet; a bucket of two is settled."""
     roots = connected(links).toDF("vertex", "_root")
-    rooted = members.join(roots, "vertex", "left").withColumn("_root", F.coalesce("_root", "vertex"))
-    ends = rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size"), F.min("_root").alias("_first"), F.max("_root").alias("_last"))
-    return rooted.drop("_root").join(ends.filter("_size > 2 AND _first <> _last").select("bucket"), "bucket")
+    rooted = members.join(roots, "vertex", "left").withColumn("root", F.coalesce("_root", "vertex")).drop("_root")
+    ends = rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("_first"), F.max("root").alias("_last"))
+    return rooted.join(ends.filter("size > 2 AND _first <> _last").select("bucket", "size"), "bucket")
+
+
+def _by_pivots(apart: DataFrame, sets: DataFrame, least: float, pivots: int) -> DataFrame:
+    """Links between the members of each bucket and some `pivots` of them; all pairs where a bucket has no more members."""
+    chosen = (F.col("size") <= pivots) | (F.pmod(F.xxhash64("vertex", "bucket"), F.col("size")) < pivots)
+    one = apart.filter(chosen).select("bucket", F.col("vertex").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("_one"))
+    other = apart.select("bucket", F.col("vertex").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("_other"))
+    return _similar(one.join(other, "bucket").filter("_one <> _other"), sets, least)
 
 
 def _links(minima: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -104,25 +114,25 @@ def _links(minima: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         found = links if found is None else found.union(links)
         found = materialize(found, "links")
         apart = materialize(_unsettled(members.select("bucket", "vertex", "n", "band"), found), "apart")
+        found = materialize(found.union(_by_pivots(apart.filter(F.col("size") <= WHOLE), sets, least, WHOLE)), "links")
+        apart = apart.filter(F.col("size") > WHOLE)
         if apart.isEmpty():
             return found
         if depth + 1 < DEPTH:  # by each later band
             others = _banded(minima).select("vertex", F.col("band").alias("_other"), F.col("bucket").alias("_bucket"))
             finer = apart.join(others, "vertex").filter("_other > band")
             banded = finer.select("vertex", "n", F.col("_other").alias("band"), F.xxhash64("bucket", "_bucket").alias("bucket")).distinct()
-    turn = 0
+    pivots = WHOLE
     while True:
-        turn += 1
-        pivot = F.min_by(F.struct("vertex", "n"), F.xxhash64("vertex", F.lit(turn))).alias("_pivot")
-        members = apart.join(apart.groupBy("bucket").agg(pivot), "bucket")
-        pairs = members.select(F.col("_pivot.vertex").alias("a"), F.col("_pivot.n").alias("n_a"), F.col("vertex").alias("b"), F.col("n").alias("n_b"))
-        links = materialize(_similar(pairs, sets, least).join(found, ["a", "b"], "left_anti"), "links")
+        apart = materialize(_unsettled(apart.select("bucket", "vertex", "n"), found), "apart")
+        if apart.isEmpty():
+            return found
+        links = materialize(_by_pivots(apart, sets, least, pivots), "links")
         if links.isEmpty():
             return found
         found = materialize(found.union(links), "links")
-        apart = materialize(_unsettled(apart, found), "apart")
-        if apart.isEmpty():
-            return found
+        apart = apart.filter(F.col("size") > pivots)
+        pivots *= 4
 
 
 def near_duplicates(df: DataFrame, key: str = "pdf_path", text: str = "ocr_text", width: int = WIDTH, least: float = LEAST) -> DataFrame:

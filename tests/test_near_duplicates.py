@@ -90,6 +90,15 @@ def test_buckets_that_stay_apart_get_further_pivots(spark, monkeypatch):
     assert found(spark, rows) == want
 
 
+def test_a_small_bucket_is_settled_at_once(spark):
+    names = [f"v{i}" for i in range(8)]  # pairs are alike, the first two are known to be
+    sets = spark.createDataFrame([(name, [i // 2 * 10 + j for j in range(9)] + [1000 + i // 7]) for i, name in enumerate(names)], "vertex string, shingles array<long>")
+    rows = [("x", name, 10, 8, "v0" if i < 2 else name) for i, name in enumerate(names)]
+    apart = spark.createDataFrame(rows, "bucket string, vertex string, n int, size long, root string")
+    links = N._by_pivots(apart, sets, 0.8, N.WHOLE)
+    assert sorted(map(tuple, links.collect())) == [("v2", "v3"), ("v4", "v5"), ("v6", "v7")]
+
+
 def test_nothing_and_one(spark):
     assert found(spark, [(1, "one text only")]) == [(1, 1)]
     none = spark.createDataFrame([], SCHEMA)
