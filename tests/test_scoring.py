@@ -137,3 +137,23 @@ def test_percentiles_of_nothing_and_of_other_types(spark):
     assert percentiles(spark.range(9).select(F.col("id").cast("tinyint").alias("v")), "v", [0.5]).first().discrete == 4
     with pytest.raises(ValueError):
         percentiles(none, "v", [1.5])
+
+
+def test_words_beyond_the_common_ones_count_as_well(spark, monkeypatch):
+    from papyrine.operators import language_profiles as L
+    from papyrine.operators import scoring as S
+
+    rows = [(i, " ".join(f"{'abcdefgh'[(i * k) % 8]}x" for k in range(1, 9)), "ab"[i % 2]) for i in range(40)] + [(50, None, None), (51, "", "a"), (None, "ax zz", "b"), (3, "yy", "b")]
+    df = spark.createDataFrame(rows, "id int, body string, lang string")
+
+    def both():
+        scored = S.quality_score(df, S.unigram_model(df, "body"), "id", "body")
+        predicted = L.predict_language(df, L.train(df, "lang", "body"), "id", "body")
+        return [{row[0]: tuple(x if x is None or isinstance(x, str) else round(x, 9) for x in row[1:]) for row in part.collect()} for part in (scored, predicted)]
+
+    whole = both()
+    monkeypatch.setattr(S, "COMMON", 2)
+    assert both() == whole and len(whole[0]) == len(whole[1]) == 43
+    model = spark.createDataFrame([("ax", -1.0), ("bx", -2.0), (None, -9.0)], "word string, log_p double")
+    df = spark.createDataFrame([(1, "ax bx cx cx")], "id int, body string")
+    assert S.quality_score(df, model, "id", "body").first().score == -5.25
