@@ -40,12 +40,23 @@ def _sorted_and_placed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
     """Add the 0-based position of each row in the order of `order_by`. One shuffle."""
-    placed = _sorted_and_placed(df, order_by)
+    return _numbered(_sorted_and_placed(df, order_by), df.columns, name)
+
+
+def number_in_any_order(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Add a number to each row, from 0 and without gaps, as the rows come: they are written once and not sorted."""
+    numbers = df.withColumn("_id", F.monotonically_increasing_id())
+    partition = F.shiftright("_id", _PLACE_BITS).alias(PARTITION)
+    place = F.col("_id").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias(PLACE)
+    return _numbered(materialize(numbers.select(*df.columns, partition, place), "numbered"), df.columns, name)
+
+
+def _numbered(placed: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     sizes = placed.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy(PARTITION).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(PARTITION, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     numbered = placed.join(F.broadcast(offsets), PARTITION)  # one row per partition
-    return numbered.select(*df.columns, (F.col("_before") + F.col(PLACE)).alias(name))
+    return numbered.select(*columns, (F.col("_before") + F.col(PLACE)).alias(name))
 
 
 def rank_in_groups(df: DataFrame, group_by: str, order_by: Sequence[str], name: str = "rank") -> DataFrame:

@@ -2,8 +2,9 @@
 
 A store is a folder of Parquet files with one row per prompt that has been answered: the prompt's hash, the reply, and when it
 came. Before a call, prompts are made distinct and those with an answer are left out by an anti-join. Calls go out in batches,
-each of which is a task by itself, in rounds of `round_batches`; what a round brought is appended to the store before the next
-one begins. So a task that fails repeats one batch, and a job that fails loses one round.
+in rounds of `round_batches`; what a round brought is appended to the store before the next one begins. A batch is a task by
+itself while there are few for each core, then a task has up to `TASK_BATCHES` of them. So a task that fails repeats so many
+batches, and a job that fails loses one round.
 """
 
 from __future__ import annotations
@@ -18,9 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyrine.operators.hooks import Factory, _in_batches
-from papyrine.operators.ordering import number_rows
+from papyrine.operators.ordering import number_in_any_order
 from papyrine.sources.tables import materialize
 
+TASK_BATCHES = 16  # a task costs some tenths of a second by itself
+TASKS_PER_CORE = 4  # with fewer batches, each is a task
 STORE_SCHEMA = "prompt_hash string, reply string, answered_at timestamp"
 
 
@@ -71,14 +74,17 @@ def with_retries(
     return call
 
 
+def task_number(batches: int, cores: int) -> int:
+    """How many tasks share the batches of a round."""
+    return max(min(batches, cores * TASKS_PER_CORE), -(-batches // TASK_BATCHES))
+
+
 def _ask(batches: DataFrame, classifier: Factory, size: int, tries: int, wait: float, limit: float | None) -> DataFrame:
     """prompt_hash, reply, error, answered_at for the rows (prompt_hash, prompt) of each partition, `size` prompts at a time."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = None
-        for batch in rows:
-            if not batch.num_rows:
-                continue
+        for batch in (part.slice(start, size) for part in rows for start in range(0, part.num_rows, size)):
             function = function or with_retries(classifier(), tries, wait, limit)
             results = _in_batches(function, batch.column("prompt").to_pylist(), size)
             replies, errors = (list(column) for column in zip(*results, strict=True))
@@ -111,16 +117,18 @@ def ask_once(
     spark = df.sparkSession
     asked = df.filter(F.col(prompt).isNotNull()).select(prompt_hash(F.col(prompt)).alias("prompt_hash"), F.col(prompt).alias("prompt"))
     distinct = asked.groupBy("prompt_hash").agg(F.first("prompt").alias("prompt"))
-    missing = materialize(distinct.join(stored_replies(spark, store).select("prompt_hash"), "prompt_hash", "left_anti"), "missing")
-    total = missing.count()
+    missing = distinct.join(stored_replies(spark, store).select("prompt_hash"), "prompt_hash", "left_anti")
+    numbered = number_in_any_order(missing, "_row").withColumn("_batch", F.floor(F.col("_row") / batch_size))
+    numbered = materialize(numbered, "asked")  # with its place in a batch, so that a round reads its part only
+    total = numbered.count()
     failures = None
     if total:
-        numbered = materialize(number_rows(missing, ["prompt_hash"], "_row").withColumn("_batch", F.floor(F.col("_row") / batch_size)), "asked")
         last = (total - 1) // batch_size
         for first in range(0, last + 1, round_batches):
             some = numbered.filter(F.col("_batch").between(first, first + round_batches - 1))
-            tasks = min(round_batches, last + 1 - first)
-            dealt = some.repartitionById(tasks, (F.col("_batch") - first).cast("int")).select("prompt_hash", "prompt")
+            batches = min(round_batches, last + 1 - first)
+            tasks = task_number(batches, spark.sparkContext.defaultParallelism)
+            dealt = some.repartitionById(tasks, ((F.col("_batch") - first) % tasks).cast("int")).select("prompt_hash", "prompt")
             replied = materialize(_ask(dealt, classifier, batch_size, tries, wait, limit), "replies")
             replied.filter("error IS NULL").drop("error").write.mode("append").parquet(store)
             failed = replied.filter("error IS NOT NULL").select("prompt_hash", "error")

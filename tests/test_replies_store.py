@@ -85,3 +85,15 @@ def test_a_late_batch_is_a_failure():
         S.with_retries(lambda values: time.sleep(2) or values, 2, 0, 0.05)([1])
     assert time.perf_counter() - start < 1.5
     assert S.with_retries(lambda values: values, 1, 0, 5)([1]) == [1]
+
+
+def test_tasks_share_many_batches(spark, tmp_path, monkeypatch):
+    assert S.task_number(13, 8) == 13 and S.task_number(10_000, 12) == 625 and S.task_number(100, 8) == 32
+    monkeypatch.setattr(S, "TASKS_PER_CORE", 0)
+    df = spark.range(100).select(F.col("id").cast("string").alias("prompt")).repartition(7)
+
+    def classifier():
+        return lambda prompts: [str(len(prompts))] * len(prompts)
+
+    replied = S.ask_once(df, classifier, str(tmp_path / "store"), batch_size=2, round_batches=40)
+    assert [row.reply for row in replied.collect()] == ["2"] * 100
