@@ -4,7 +4,7 @@
     spark.read.format("page_files").option("reader", "my_readers:pdf_pages").load("hdfs://cluster/scrape")
 
 Partitions are planned by bytes: small files share one, a large one has one for itself, so no task has a large file and many small
-ones besides. Filters on the path are applied while planning, so files that no one asks for are never opened. Contents are
+ones besides. Where that would make too many, they get more bytes each: a task holds one file at a time, so it takes no more memory. Filters on the path are applied while planning, so files that no one asks for are never opened. Contents are
 read by the tasks, through the same file systems as `walk_files`; the driver sees names and sizes only.
 """
 
@@ -35,6 +35,7 @@ from papyrine.operators.hooks import _PAGE_TYPES, PAGE_SCHEMA, _text_maker
 
 FORMAT = "page_files"
 PARTITION_BYTES = 128 << 20
+MOST_PARTITIONS = 1_000  # unless they would be larger than PARTITION_BYTES
 _ROWS = 1_000  # of a batch
 
 
@@ -62,6 +63,14 @@ def planned(files: Sequence[tuple[str, int]], most: int) -> list[list[str]]:
     return groups
 
 
+def bytes_each(total: int, most: int) -> int:
+    """`most`, or as much more as keeps the partitions of `total` bytes at MOST_PARTITIONS, but PARTITION_BYTES is enough.
+
+    A task has a cost of its own, some tenths of a second for a new worker and its reader.
+    """
+    return max(most, min(PARTITION_BYTES, total // MOST_PARTITIONS))
+
+
 class _Files(InputPartition):
     def __init__(self, paths: list[str]):
         super().__init__(paths)
@@ -96,7 +105,8 @@ class _PageReader(DataSourceReader):
         found = system.get_file_info(fs.FileSelector(top, recursive=True))
         files = [(file.path, file.size or 0) for file in found if file.type == fs.FileType.File]
         kept = [(path, size) for path, size in files if path.lower().endswith(self.extensions) and self._wanted(path)]
-        return [_Files(paths) for paths in planned(kept, self.most)] or [_Files([])]
+        most = bytes_each(sum(size for _, size in kept), self.most)
+        return [_Files(paths) for paths in planned(kept, most)] or [_Files([])]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         system, _ = fs.FileSystem.from_uri(self.root)
@@ -126,7 +136,8 @@ class PageFiles(DataSource):
     """Pages (pdf_path, page_no, text, error) of all files below a folder; pages count from 1.
 
     Options: `path` or load(...), the folder; `reader`, "module:function", from path and bytes to the texts of the pages in order, by
-    default `lines_as_pages`; `extensions`, separated by commas, in any case; `partitionBytes`. A file that fails gives a row
+    default `lines_as_pages`; `extensions`, separated by commas, in any case; `partitionBytes`, which grows with very large
+    inputs as told by `bytes_each`. A file that fails gives a row
     with the error, after the pages read so far. Files below hidden names are files like others.
     """
 

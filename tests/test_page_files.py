@@ -65,3 +65,12 @@ def test_a_file_that_fails_is_a_row(spark, folder):
     assert rows["bad.pdf", None] == (None, "unreadable") and rows["bad.pdf", 1] == ("first", None) and rows["a.pdf", 1] == ("first", None)
     with pytest.raises(Exception, match="folder"):
         spark.read.format(FORMAT).load().collect()
+
+
+def test_many_bytes_make_no_more_partitions_but_larger_ones():
+    from papyrine.sources import page_files as P
+
+    assert P.bytes_each(6 << 30, 1 << 16) == (6 << 30) // P.MOST_PARTITIONS
+    assert P.bytes_each(1 << 20, 1 << 16) == 1 << 16 and P.bytes_each(1 << 50, 1 << 16) == P.PARTITION_BYTES
+    files = [(str(i), 100_000) for i in range(60_000)]
+    assert len(planned(files, P.bytes_each(6 * 10**9, 1 << 16))) < 1_100
