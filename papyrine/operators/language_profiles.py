@@ -3,7 +3,8 @@
 A profile holds how often each run of 1 to `LONGEST` characters occurs in words of a language, with the word's two ends as
 characters. A text is in the language under which its runs are likeliest (multinomial, with `ALPHA` added to each count).
 The likelihood of a word depends on nothing else, so runs are counted over different words, in training as in scoring, and
-texts are only ever joined with their words. Nothing runs in Python, and what grows is joined, not broadcast by force.
+texts are only ever joined with their words. Nothing runs in Python, and what grows is joined: only a bounded number of the
+most frequent words goes to all tasks.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrine.operators.scoring import WORD
+from papyrine.operators import scoring
+from papyrine.operators.scoring import WORD, sums_by_key
 from papyrine.sources.tables import materialize
 
 LONGEST = 3
@@ -99,10 +101,13 @@ def predict_language(df: DataFrame, profiles: Profiles, key: str = "pdf_path", t
     keys = df.select(F.col(key).alias("_key")).distinct()
     if not profiles.labels:
         return keys.select(F.col("_key").alias(key), F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("margin"))
-    counted = materialize(_words(df, text, key).groupBy(F.col(key).alias("_key"), "word").agg(F.count(F.lit(1)).alias("n")), "counted")
-    scored = counted.join(materialize(word_likelihoods(counted, profiles), "words"), "word")
-    sums = [F.sum(F.col("n") * F.col(f"l{i}")).alias(f"l{i}") for i in range(len(profiles.labels))]
-    scored = scored.groupBy("_key").agg(F.sum(F.col("n") * F.col("runs")).alias("runs"), *sums).withColumnRenamed("_key", "_scored")
+    words = _words(df, text, key).withColumnRenamed(key, "_key")
+    counts = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("_n")), "vocabulary")
+    likely = materialize(word_likelihoods(counts, profiles).join(counts, "word"), "words")
+    common = likely.orderBy(F.desc("_n"), "word").limit(scoring.COMMON)
+    summed = ["runs", *(f"l{i}" for i in range(len(profiles.labels)))]
+    counted = sums_by_key(words, likely, common, dict.fromkeys(summed))
+    scored = counted.groupBy("_key").agg(*(F.sum(name).alias(name) for name in summed)).withColumnRenamed("_key", "_scored")
     ranked = F.sort_array(F.array(*(F.struct(F.col(f"l{i}").alias("log"), F.lit(-i).alias("place")) for i in range(len(profiles.labels)))), asc=False)
     names = F.array(*(F.lit(name) for name in profiles.labels))
     both = keys.join(scored.withColumn("_best", ranked), keys["_key"].eqNullSafe(scored["_scored"]), "left")
