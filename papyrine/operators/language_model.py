@@ -12,6 +12,7 @@ grow with the collection and are never collected or broadcast by force; only 4 n
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,33 +109,36 @@ def log_probabilities(runs: DataFrame, model: Model) -> DataFrame:
     """w1 to w`order` and `log_p` of the different n-grams of `runs`.
 
     The probability is that of the longest n-gram that occurs, times what the contexts above it hand on. Every different
-    n-gram is looked up once, however often it occurs; adaptive execution splits the rows of frequent words.
+    n-gram is looked up once, however often it occurs, and among the shorter ones only if it is not found; adaptive execution
+    splits the rows of frequent words.
     """
     order = model.order
     words = _names(order, order)
-    asked = materialize(runs.select(*words).distinct(), "asked")
-    found = asked
+    done, rest = [], runs.select(*words).distinct().withColumn("_share", F.lit(1.0))
     for length in range(order, 0, -1):
-        found = found.join(model.grams[length].withColumnRenamed("p", f"_p{length}"), _names(length, order), "left")
-    for length, context in model.contexts.items():
-        found = found.join(context.withColumnRenamed("handed", f"_h{length}"), _names(length, order)[:-1], "left")
-    p = F.coalesce("_p1", F.lit(model.unknown))
-    for length in range(2, order + 1):
-        handed = F.coalesce(f"_h{length}", F.lit(1.0)) if length in model.contexts else F.lit(1.0)
-        p = F.coalesce(f"_p{length}", handed * p)
-    return found.select(*words, F.ln(p).alias("log_p"))
+        grams = model.grams[length].withColumnRenamed("p", "_p")
+        looked = rest.join(grams, _names(length, order), "left").select(*words, "_share", "_p")
+        looked = materialize(looked, "looked")
+        done.append(looked.filter("_p IS NOT NULL").select(*words, F.ln(F.col("_share") * F.col("_p")).alias("log_p")))
+        rest = looked.filter("_p IS NULL").drop("_p")
+        if length in model.contexts:
+            rest = rest.join(model.contexts[length], _names(length, order)[:-1], "left")
+            rest = rest.select(*words, (F.col("_share") * F.coalesce("handed", F.lit(1.0))).alias("_share"))
+    done.append(rest.select(*words, F.ln(F.col("_share") * model.unknown).alias("log_p")))
+    return reduce(DataFrame.unionByName, done)
 
 
 def perplexity(df: DataFrame, model: Model, key: str = "pdf_path", text: str = "ocr_text") -> DataFrame:
     """`key`, `words` (with the end mark) and `perplexity` of each document; nulls for a null text.
 
     The perplexity is the inverse of the geometric mean of the words' probabilities: the lower, the more the text is like
-    those of the collection. n-grams are counted per document before anything moves. Rows that share a key are one document.
+    those of the collection. The n-grams of documents are shuffled once, to where their probabilities are, and what comes back is
+    summed per document before it moves; few occur twice in a document, so counting them there first would be a shuffle more
+    for as many rows. Rows that share a key are one document.
     """
     words = _names(model.order, model.order)
-    counted = materialize(ngrams(df, text, model.order, key).groupBy(key, *words).agg(F.count(F.lit(1)).alias("n")), "counted")
-    logs = log_probabilities(counted, model)
-    scored = counted.join(logs, words).groupBy(F.col(key).alias("_key"))
-    scored = scored.agg(F.sum("n").alias("words"), F.exp(-F.sum(F.col("n") * F.col("log_p")) / F.sum("n")).alias("perplexity"))
+    runs = ngrams(df, text, model.order, key)
+    scored = runs.join(log_probabilities(runs, model), words).groupBy(F.col(key).alias("_key"))
+    scored = scored.agg(F.count(F.lit(1)).alias("words"), F.exp(-F.sum("log_p") / F.count(F.lit(1))).alias("perplexity"))
     keys = df.select(key).distinct()
     return keys.join(scored, keys[key].eqNullSafe(scored["_key"]), "left").select(keys[key], "words", "perplexity")
