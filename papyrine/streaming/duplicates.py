@@ -29,7 +29,7 @@ def first_of_each_text(arriving: DataFrame, key: str = "pdf_path", text: str = "
         best = None
         for piece in pieces:
             rows = piece if best is None else pd.concat([best, piece], ignore_index=True)
-            best = rows.sort_values(key, na_position="last", kind="stable").head(1)
+            best = rows if len(rows) == 1 else rows.sort_values(key, na_position="last", kind="stable").head(1)
         if best is not None:
             state.update((True,))
             yield best[names]
