@@ -4,6 +4,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -84,6 +85,35 @@ def test_models_of_nothing_and_null_keys(spark):
     assert L.perplexity(none, L.train(df, "body"), "id", "body").collect() == []
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_perplexity_over_many_buckets_slices_and_parts(spark, monkeypatch, order):
+    monkeypatch.setattr(L, "BLOCK", 64)
+    monkeypatch.setattr(L, "COMMON", 3)
+    pick = random.Random(order)
+    texts = [" ".join(pick.choices("a b c d e f g h".split(), weights=[29, 7, 5, 4, 3, 2, 1, 1], k=pick.randrange(0, 30))) for _ in range(60)]
+    model = L.train(spark.createDataFrame([(t,) for t in texts], "body string"), "body", order)
+    assert model.buckets > L.PARTS and len(model.splits) and len(model.common) == 3
+    asked = texts[:9] + ["a a unheard a", "nothing known here here", "", "12 !", "h"]
+    df = spark.createDataFrame([(f"{i}", t) for i, t in enumerate(asked)] + [("none", None)], "id string, body string")
+    got = {row.id: row for row in L.perplexity(df, model, "id", "body").collect()}
+    plain = PlainModel(texts, order)
+    for i, text in enumerate(asked):
+        assert got[f"{i}"].words == len(runs(text, order)) and math.isclose(got[f"{i}"].perplexity, plain.perplexity(text), rel_tol=1e-9)
+    assert len(got) == len(asked) + 1 and got["none"].words is None
+
+
+def test_different_ngrams_take_little_disk(spark):
+    pick = np.random.default_rng(3)
+    words = np.array([f"{a}{b}{c}" for a in "bcdfghklmn" for b in "aeiou" for c in ("ra", "len", "tos", "min", "kit", "dar")])
+    texts = [" ".join(words[pick.integers(0, len(words), 400)]) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, body string").repartition(2)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.rglob("*.parquet"))
+    assert L.perplexity(df, L.train(df, "body"), "id", "body").count() == 300
+    kept = sum(file.stat().st_size for file in set(shared.rglob("*.parquet")) - before)
+    assert kept < 8 * 300 * 400  # bytes for each of the n-grams, which are nearly all different
+
+
 def test_discounts_stay_within_the_counts():
     assert L.discounts(0, 1, 1, 1) == L.discounts(5, 0, 1, 1) == (0.5, 1.0, 1.5)
     one, two, three = L.discounts(100, 40, 20, 12)
