@@ -39,7 +39,7 @@ PARTS = 4  # scoring keeps the n-grams of one part of the buckets on disk at a t
 
 _RARE = np.int64(-(2**63))  # codes of words without a number have this bit, so they are negative
 _PACKED = "bucket int, slice int, kind int, payload binary"
-_COUNTS, _PAIRS, _GRAMS, _RUNS, _WORDS = range(5)  # kinds of packed rows
+_COUNTS, _PAIRS, _GRAMS, _RUNS, _WORDS, _TEXTS = range(6)  # kinds of packed rows
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -171,46 +171,117 @@ def _same_as_before(columns: list[np.ndarray]) -> np.ndarray:
     return same
 
 
+def _different(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values in order, and how often each occurs."""
+    values = np.sort(values)
+    heads = np.flatnonzero(~_same_as_before([values]))
+    return values[heads], np.diff(np.append(heads, len(values)))
+
+
+def _order(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
+    """The order of rows by columns of numbers below `sizes`; as many columns as fit are sorted as one number."""
+    keys, room = [], 0
+    for column, size in zip(columns, sizes, strict=True):
+        bits = max(int(size) - 1, 1).bit_length()
+        if bits <= room:
+            keys[-1] = keys[-1] << bits | column
+            room -= bits
+        else:
+            keys.append(column.astype(np.int64))
+            room = 63 - bits
+    return np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
+
+
+def _find(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """The place of each value in an array in order without repeats, or -1."""
+    if not len(among):
+        return np.full(len(values), -1)
+    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
+    return np.where(among[at] == values, at, -1)
+
+
+def _rare(columns: list[np.ndarray]) -> np.ndarray:
+    return _different(np.concatenate([c[c < 0] for c in columns]))[0]
+
+
+def _ids(codes: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """Numbers of words: those of common ones, after them places among `rare`, or -1. They are in the order of the codes without sign."""
+    ids = codes.copy()
+    at = np.flatnonzero(codes < 0)
+    found = _find(codes[at], rare)
+    ids[at] = np.where(found >= 0, found + COMMON, -1)
+    return ids
+
+
+def _codes(rare: np.ndarray) -> np.ndarray:
+    """The words that have the numbers of `_ids`."""
+    return np.concatenate([np.arange(COMMON), rare])
+
+
 def _merged(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Different n-grams in order of their last context, and the sums of their counts."""
-    order = np.lexsort([columns[-1], *columns[:-1]])
+    rare = _rare(columns)
+    ids = [_ids(c, rare) for c in columns]
+    order = _order([*ids[-2::-1], ids[-1]], [COMMON + len(rare)] * len(ids))
     columns, n = [c[order] for c in columns], n[order]
     heads = np.flatnonzero(~_same_as_before(columns))
     return [c[heads] for c in columns], np.add.reduceat(n, heads) if len(heads) else n
 
 
-def _dealt(coder: _Coder, splits: np.ndarray, order: int, buckets: int, part: int, parts: int, counted: bool):
-    """A function for mapInArrow: from (_doc, _words), packed n-grams of the buckets of a part.
+def _coded(coder: _Coder):
+    """A function for mapInArrow: from (_doc, _words), packed blocks of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for docs, lengths, hashes in _blocks(batches):
+            yield _rows([(-1, -1, _TEXTS, _pack_words([coder(hashes)], lengths, docs))])
+
+    return run
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for *_, payload in _groups(batches):
+        (words,), (lengths, docs) = _unpack_words(payload, 1)
+        yield docs, lengths, words
+
+
+def _dealt(coder: _Coder | None, splits: np.ndarray, order: int, buckets: int, part: int, parts: int, counted: bool):
+    """A function for mapInArrow: from (_doc, _words), or packed texts without a coder, packed n-grams of the buckets of a part.
 
     If `counted`, they are the different n-grams of a block with their counts, else all, with their documents.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs, lengths, hashes in _blocks(batches):
-            words = coder(hashes)
+        coded = _texts(batches) if coder is None else ((docs, lengths, coder(hashes)) for docs, lengths, hashes in _blocks(batches))
+        for docs, lengths, words in coded:
+            rare = _rare([words])
+            ids, codes = _ids(words, rare), _codes(rare)
+            bucket_of, size = _mixed(codes, buckets), len(codes)
+            place = np.empty(size, np.int64)
+            place[np.argsort(bucket_of * 2 + (np.arange(size) < len(splits)), kind="stable")] = np.arange(size)  # by buckets, words with slices last
             last = np.ones(len(words), bool)
             begins = np.cumsum(lengths) - lengths
             for i in range(order - 1):
                 last[(begins + i)[lengths > i]] = False
             last = np.flatnonzero(last)
-            by = words[last - min(order - 1, 1)]
-            bucket = _mixed(by, buckets)
+            by = ids[last - min(order - 1, 1)]
             if parts > 1:
-                mine = np.flatnonzero(bucket % parts == part)
-                last, by, bucket = last[mine], by[mine], bucket[mine]
-            target = bucket << 32
+                mine = np.flatnonzero((bucket_of % parts == part)[by])
+                last, by = last[mine], by[mine]
+            number = np.zeros(len(last), np.int64)
             if order > 2 and len(splits):
-                often = np.flatnonzero((by >= 0) & (by < len(splits)))
-                target[often] += 1 + _mixed(words[last[often] - 2], splits[by[often]])
+                often = np.flatnonzero(by < len(splits))
+                number[often] = 1 + _mixed(words[last[often] - 2], splits[by[often]])
+            context = [ids[last - i] for i in range(2, order)]
+            sort = _order([place[by], number, *context, ids[last]], [size, int(splits.max(initial=0)) + 1, *[size] * max(order - 1, 1)])
+            last = last[sort]
+            target = bucket_of[by[sort]] << 32 | number[sort]
             columns = [words[last - i] for i in range(order - 1, -1, -1)]
-            sort = np.lexsort([columns[-1], *columns[:-1], target])
-            target, columns = target[sort], [c[sort] for c in columns]
             if counted:
                 heads = np.flatnonzero(~_same_as_before([target, *columns]))
+                others = [np.diff(np.append(heads, len(target)))]
                 target, columns = target[heads], [c[heads] for c in columns]
-                others = [np.diff(np.append(heads, len(sort)))]
             else:
-                others = [np.searchsorted(begins, last, "right")[sort] - 1]
+                others = [np.searchsorted(begins, last, "right") - 1]
             ends = np.append(np.flatnonzero(target[1:] != target[:-1]) + 1, len(target)) if len(target) else []
             rows, first = [], 0
             for end in ends:
@@ -243,50 +314,53 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int,
             yield bucket[i].as_py(), part[i].as_py(), kind[i].as_py(), payload[i].as_buffer()
 
 
-def _find(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """The place of each value in an array in order without repeats, or -1."""
-    if not len(among):
-        return np.full(len(values), -1)
-    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
-    return np.where(among[at] == values, at, -1)
+def _firsts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different values in order, a place of each, and how often it occurs."""
+    order = np.argsort(values)
+    values = values[order]
+    heads = np.flatnonzero(~_same_as_before([values]))
+    return values[heads], order[heads], np.diff(np.append(heads, len(values)))
 
 
 class _Counted:
-    """Different n-grams of some buckets' words, and all shorter ones down to pairs: contexts, and counts by length.
+    """Different n-grams, as `_merged` has them, and all shorter ones down to pairs: contexts, and counts by length.
 
     `pairs` (word, next word, count) replaces the counts of pairs where the n-grams are only a slice of those that hold them.
     """
 
     def __init__(self, columns: list[np.ndarray], n: np.ndarray, pairs: list[np.ndarray] | None = None):
         order, more = len(columns), pairs[:2] if pairs else []
-        self.words = np.unique(np.concatenate([*columns, *more]))
-        ids = [np.searchsorted(self.words, c) for c in columns]
-        more = [np.searchsorted(self.words, c) for c in more]
+        self.rare = _rare([*columns, *more])
+        self.size = COMMON + len(self.rare)
+        ids, more = [_ids(c, self.rare) for c in columns], [_ids(c, self.rare) for c in more]
         self.contexts, self.grams, self.n, self.context_of, context = {}, {}, {}, {}, {}
+        new = np.zeros(len(n), bool)
         for length in range(2, order + 1):
+            new |= ~_same_as_before([columns[-length]])
             if length == 2:
-                self.contexts[2] = np.unique(np.concatenate([ids[-2], *more[:1]]))
-                context[2] = np.searchsorted(self.contexts[2], ids[-2])
+                self.contexts[2] = _different(np.concatenate([ids[-2][new], *more[:1]]))[0]
+                self.place = np.full(self.size, -1)
+                self.place[self.contexts[2]] = np.arange(len(self.contexts[2]))
+                context[2] = self.place[ids[-2]]
             else:
-                key = ids[-length] * len(self.contexts[length - 1]) + context[length - 1]
-                self.contexts[length], context[length] = np.unique(key, return_inverse=True)
+                self.contexts[length] = (context[length - 1] * self.size + ids[-length])[new]
+                context[length] = np.cumsum(new) - 1
         rows = np.arange(len(n))
         for length in range(order, 1, -1):
-            key = (context[length] * len(self.words) + ids[-1])[rows]
             if length == 2 and pairs:
-                at, n = np.searchsorted(self.contexts[2], more[0]), pairs[2]
-                key = at * len(self.words) + more[1]
-                sort = np.argsort(key)
-                self.grams[2], self.context_of[2], self.n[2] = key[sort], at[sort], n[sort]
+                at, n = self.place[more[0]], pairs[2]
+                self.grams[2], sort, _ = _firsts(at * self.size + more[1])
+                self.context_of[2], self.n[2] = at[sort], n[sort]
                 continue
-            self.grams[length], heads, counts = np.unique(key, return_index=True, return_counts=True)
+            self.grams[length], heads, counts = _firsts((context[length] * self.size + ids[-1])[rows])
             self.n[length] = n[rows][heads] if length == order else counts
             rows = rows[heads]
             self.context_of[length] = context[length][rows]
 
     def pairs(self) -> list[np.ndarray]:
         """Word, next word and count."""
-        return [self.words[self.contexts[2][self.context_of[2]]], self.words[self.grams[2] % max(len(self.words), 1)], self.n[2]]
+        codes = _codes(self.rare)
+        return [codes[self.contexts[2][self.context_of[2]]], codes[self.grams[2] % self.size], self.n[2]]
 
     def shares(self, lost: dict[int, tuple[float, float, float]]) -> None:
         """What each n-gram keeps, and each context hands on, as shares of the context's total."""
@@ -303,16 +377,16 @@ class _Counted:
         """For n-grams: what longer ones than single words give, and the share of the last word's own probability."""
         order, rows = len(columns), len(columns[0])
         given, share = np.zeros(rows), np.ones(rows)
-        if order == 1 or not len(self.words):
+        if order == 1:
             return given, share
-        ids, found = [_find(c, self.words) for c in columns], {}
-        for length in range(2, order + 1):
-            key = ids[-2] if length == 2 else ids[-length] * len(self.contexts[length - 1]) + found[length - 1]
-            valid = (ids[-length] >= 0) & (found[length - 1] >= 0 if length > 2 else True)
-            found[length] = np.where(valid, _find(key, self.contexts[length]), -1)
+        ids = [_ids(c, self.rare) for c in columns]
+        found = {2: np.where(ids[-2] >= 0, self.place[ids[-2]], -1)}
+        for length in range(3, order + 1):
+            valid = (ids[-length] >= 0) & (found[length - 1] >= 0)
+            found[length] = np.where(valid, _find(found[length - 1] * self.size + ids[-length], self.contexts[length]), -1)
         for length in range(order, 1, -1):
             context = found[length]
-            at = np.where((context >= 0) & (ids[-1] >= 0), _find(context * len(self.words) + ids[-1], self.grams[length]), -1)
+            at = np.where((context >= 0) & (ids[-1] >= 0), _find(context * self.size + ids[-1], self.grams[length]), -1)
             if len(self.kept[length]):
                 given += share * np.where(at >= 0, self.kept[length][at], 0.0)
             if len(self.handed[length]):
@@ -322,7 +396,7 @@ class _Counted:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, _, hashes in _blocks(batches):
-        words, n = np.unique(hashes, return_counts=True)
+        words, n = _different(hashes)
         yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n, pa.int64())], ["word", "n"])
 
 
@@ -343,7 +417,7 @@ def _counting(order: int):
             of_counts[length] += np.bincount(np.minimum(n, 5), minlength=6)[1:5]
 
         def singles(pairs: list[np.ndarray]) -> tuple:
-            words, n = np.unique(pairs[1], return_counts=True)
+            words, n = _different(pairs[1])
             return at[0], -1, _WORDS, _pack_words([words], n)
 
         def end_of_slice() -> list[tuple]:
@@ -513,10 +587,11 @@ def _scored(words, docs, n, given, share) -> pa.RecordBatch:
 
 
 def _log_sums(marked: DataFrame, model: Model) -> DataFrame:
-    """doc, n and log_p, the sum over the n-grams of (_doc, _words). Nothing of a part but one row for each document stays on disk."""
-    coder, parts, done = _Coder(model.common), min(PARTS, model.buckets), []
+    """doc, n and log_p, the sum over the n-grams of (_doc, _words). Packed texts stay on disk, and of a part one row for each document."""
+    texts = materialize(marked.mapInArrow(_coded(_Coder(model.common)), _PACKED), "texts")
+    parts, done = min(PARTS, model.buckets), []
     for part in range(parts):
-        runs = marked.mapInArrow(_dealt(coder, model.splits, model.order, model.buckets, part, parts, False), _PACKED)
+        runs = texts.mapInArrow(_dealt(None, model.splits, model.order, model.buckets, part, parts, False), _PACKED)
         grams = model.grams.filter(F.col("kind").isin(_PAIRS, _GRAMS) & (F.col("bucket") % parts == part))
         both = _by_bucket(grams.unionByName(runs), -(-model.buckets // parts))
         scored = both.mapInArrow(_scoring(model.order, model.lost, model.likely), _SCORED)
